@@ -11,7 +11,7 @@ from wortfund.plans import jobs
 from wortfund.session import scratch_path
 from wortfund.sources.buckets import write_bucketed
 from wortfund.sources.lists import default_stopwords
-from wortfund.sources.tables import read_table
+from wortfund.sources.tables import read_table, spread
 
 TITLE_PATTERN = "<title>(.*?)</title>"
 
@@ -49,7 +49,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         F.col("doc_id").alias("docid"),
         F.concat(F.lit("T"), F.col("doc_id").cast("string")).alias("title"),
         F.col("text").alias("wikitext"),
@@ -57,7 +57,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select(
         F.col("page_id").alias("docid"),
         F.regexp_extract("html", TITLE_PATTERN, 1).alias("title"),
         F.col("html").alias("wikitext"),
@@ -68,10 +68,10 @@ def markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     for found, put in MARKUP:
         text = F.replace(text, F.lit(found), F.lit(put))
-    documents = table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         F.col("doc_id").alias("docid"), F.concat(text, F.lit(MARKUP_END)).alias("body")
     )
-    pages = table(spark, sf_dir, "pages").select(
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html")).select(
         (-1 - F.col("page_id")).alias("docid"), F.col("html").alias("body")
     )
     return documents.unionByName(pages)

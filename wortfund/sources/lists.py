@@ -2,6 +2,7 @@
 
 import os
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +25,9 @@ def default_stopword_list() -> list[str]:
 
 
 def default_stopwords(spark: SparkSession) -> DataFrame:
-    """The package's own list, sent along with the plan: executors need no copy of the file."""
-    return spark.createDataFrame([(word,) for word in default_stopword_list()], "word string")
+    """The package's own list, as rows of the plan: executors need no copy of the file, and
+    Spark knows its size, so that it can broadcast it."""
+    return spark.createDataFrame(pa.table({"word": default_stopword_list()}))
 
 
 def load_search_keys(spark: SparkSession, titles, article_ids, index_ids, words) -> dict:

@@ -66,6 +66,18 @@ def jdbc_index_types() -> dict:
     return {"createTableColumnTypes": "word VARCHAR(65)"}
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out a scan that comes in fewer pieces than there are cores; leave any other alone.
+
+    Tokenizing and cleaning cost far more than moving the compressed text once, and a small table
+    may lie in one Parquet row group. A table of many files is not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(2 * cores)
+
+
 def typed_columns(df: DataFrame, schema) -> DataFrame:
     """Pick and cast the columns of a fixed schema by name; other columns are not read."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -17,10 +17,10 @@ def scan_xml_pages(spark: SparkSession, path: str) -> DataFrame:
     """
     records = spark.read.option("lineSep", "</page>").text(path)
     page = F.concat(F.regexp_extract("value", r"(?s)<page[ >].*", 0), F.lit("</page>"))
-    return (
-        records.where(F.col("value").rlike("<page[ >]"))
-        .select(F.from_xml(page, XML_PAGE, _OPTIONS).alias("page"))
-        .select("page.*")
+    # inline, not "page.*": a later filter then reads the parsed columns, where it would otherwise
+    # be pushed below and parse each page a second time.
+    return records.where(F.col("value").rlike("<page[ >]")).select(
+        F.inline(F.array(F.from_xml(page, XML_PAGE, _OPTIONS)))
     )
 
 
