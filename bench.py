@@ -53,12 +53,12 @@ def index_from_postings(spark, sf_dir):
     return I.postings_to_by_term(X.stored_index(spark, sf_dir, "postings"))
 
 
-def write_postings(spark, sf_dir):
+def write_index(spark, sf_dir, layout):
     jobs.write_index(
         X.articles(spark, sf_dir),
         lists.default_stopwords(spark),
-        "postings",
-        scratch_path(spark, "bench-postings"),
+        layout,
+        scratch_path(spark, f"bench-{layout}"),
     )
 
 
@@ -78,9 +78,10 @@ def timed_jobs():
     return {
         "index_positions": frame(R.positions),
         "index_postings": frame(R.postings),
-        "index_by_term": frame(lambda s, d: I.index_by_term(R.postings(s, d))),
         "by_term_from_stored_postings": frame(index_from_postings),
-        "write_postings": write_postings,
+        "write_postings": lambda s, d: write_index(s, d, "postings"),
+        "write_positions": lambda s, d: write_index(s, d, "positions"),
+        "write_by_term": lambda s, d: write_index(s, d, "by_term"),
         "clean_tag_rules_pages": frame(tag_rules),
         "clean_article_pages": frame(lambda s, d: C.clean_article(X.page_articles(s, d))),
         "clean_article_markup": frame(lambda s, d: C.clean_article(X.markup(s, d), "body")),

@@ -1,5 +1,7 @@
 """Cleaning steps as Column -> Column. Each runs in the JVM, over the whole text."""
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,20 +13,19 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _rule_table(rules) -> Column:
+    # One constant; building it from 200 literal columns takes longer than small jobs run.
+    fields = ("literal", "pattern", "replacement")
+    rows = json.dumps([dict(zip(fields, rule)) for rule in rules])
+    return F.from_json(
+        F.lit(rows), "array<struct<literal: string, pattern: string, replacement: string>>"
+    )
+
+
 def apply_rules(text: Column, rules) -> Column:
     """Run the rules one after another, each only on a text that holds its literal."""
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(literal).alias("literal"),
-                F.lit(pattern).alias("pattern"),
-                F.lit(replacement).alias("replacement"),
-            )
-            for literal, pattern, replacement in rules
-        ]
-    )
     return F.aggregate(
-        table,
+        _rule_table(rules),
         text,
         lambda done, rule: F.when(
             F.contains(done, rule["literal"]),
@@ -33,83 +34,92 @@ def apply_rules(text: Column, rules) -> Column:
     )
 
 
-def _depth(text: Column, token_pattern: str, closes) -> Column:
-    """Deepest running level when every opening token counts up and every closing one down."""
-    level = F.aggregate(
-        F.regexp_extract_all(text, F.lit(token_pattern), F.lit(0)),
-        F.struct(F.lit(0).alias("now"), F.lit(0).alias("top")),
-        lambda at, token: bind(
-            F.when(closes(token), F.greatest(at["now"] - 1, F.lit(0))).otherwise(at["now"] + 1),
-            lambda now: F.struct(now.alias("now"), F.greatest(at["top"], now).alias("top")),
-        ),
-    )
-    return level["top"]
+def _with_closings(text: Column) -> Column:
+    closings = F.array_distinct(F.regexp_extract_all(text, F.lit("</[a-z0-9 ]+>"), F.lit(0)))
+    return F.struct(text.alias("text"), closings.alias("closings"))
 
 
-def _repeat(text: Column, times: Column, pattern: str, replacement: str) -> Column:
-    return F.when(
-        times > 0,
-        F.aggregate(
-            F.sequence(F.lit(1), times),
-            text,
-            lambda done, _: F.regexp_replace(done, F.lit(pattern), F.lit(replacement)),
-        ),
-    ).otherwise(text)
+def apply_element_rules(text: Column, rules) -> Column:
+    """The same for rules whose literal is a closing tag.
 
+    The closing tags of the text are listed once, and again after each rule that ran; most of the
+    many rules then cost a look into a short list and no scan of the text.
+    """
+    return F.aggregate(
+        _rule_table(rules),
+        bind(text, _with_closings),
+        lambda done, rule: F.when(
+            F.array_contains(done["closings"], rule["literal"]),
+            bind(
+                F.regexp_replace(done["text"], rule["pattern"], rule["replacement"]),
+                _with_closings,
+            ),
+        ).otherwise(done),
+        lambda done: done["text"],
+    )
 
-def clean_templates(text: Column) -> Column:
-    """`{{...}}` -> marker, innermost first, as many passes as the braces of the text are deep.
 
-    One pass closes a pair of two braces on every branch, so half the brace depth is enough.
+def _until_stable(text: Column, literal: str, pattern: str, replacement: str) -> Column:
+    """Replace until a pass changes nothing.
+
+    Each pass that changes something uses up one `literal`, so their number bounds the passes.
+    Once the text is stable, what is left of them costs a look at a flag.
     """
 
+    def one_pass(state, _):
+        return F.when(state["stable"], state).otherwise(
+            bind(
+                F.regexp_replace(state["text"], F.lit(pattern), F.lit(replacement)),
+                lambda new: F.struct(new.alias("text"), (new == state["text"]).alias("stable")),
+            )
+        )
+
     def clean(t):
-        depth = _depth(t, r"[{}]", lambda token: token == "}")
+        passes = F.length(t) - F.length(F.replace(t, F.lit(literal), F.lit(literal[1:])))
         return F.when(
-            F.contains(t, F.lit("}}")),
-            bind(
-                F.ceil(depth / 2).cast("int"),
-                lambda times: _repeat(t, times, R.TEMPLATE_PATTERN, R.TEMPLATE_MARKER),
+            F.contains(t, F.lit(literal)),
+            F.aggregate(
+                F.sequence(F.lit(1), passes),
+                F.struct(t.alias("text"), F.lit(False).alias("stable")),
+                one_pass,
+                lambda state: state["text"],
             ),
         ).otherwise(t)
 
     return bind(text, clean)
 
 
+def clean_templates(text: Column) -> Column:
+    """`{{...}}` -> marker, innermost first."""
+    return _until_stable(text, "}", R.TEMPLATE_PATTERN, R.TEMPLATE_MARKER)
+
+
 def clean_wiki_tables(text: Column) -> Column:
     return apply_rules(text, R.WIKI_TABLE_RULES)
 
 
 def clean_drop_tags(text: Column) -> Column:
-    return apply_rules(text, R.DROP_RULES)
+    text = apply_rules(text, R.COMMENT_RULES)
+    text = apply_element_rules(text, R.DROP_ELEMENT_RULES)
+    return apply_rules(text, R.DROP_TAG_RULES)
 
 
 def clean_keep_tags(text: Column) -> Column:
-    return apply_rules(text, R.KEEP_RULES)
+    return apply_element_rules(text, R.KEEP_ELEMENT_RULES)
 
 
 def _innermost(tag: str) -> str:
     # The content is taken in runs and never given back (possessive), so that a long element
-    # needs no stack. It ends before the first closing tag and holds no element of its own.
-    opening = f"{tag}(?:>| [^>]*>)"
+    # needs no stack. It ends before the first closing tag and holds no element of its own;
+    # nor do the attributes hold an opening tag.
+    opening = f"{tag}(?:>| (?:[^<>]++|<(?!{tag}[> ]))*+>)"
     return f"(?s)<{opening}((?:[^<]++|<(?!/{tag}>|{opening}.*?</{tag}>))*+)</{tag}>"
 
 
-def _clean_nested_tag(text: Column, tag: str) -> Column:
-    def clean(t):
-        depth = _depth(t, f"<{tag}[> ]|</{tag}>", lambda token: token == f"</{tag}>")
-        return F.when(
-            F.contains(t, F.lit(f"</{tag}>")),
-            bind(depth, lambda times: _repeat(t, times, _innermost(tag), "$1")),
-        ).otherwise(t)
-
-    return bind(text, clean)
-
-
 def clean_nested_tags(text: Column) -> Column:
     """Self-nesting elements: tags go from the inside out, content stays."""
     for tag in R.NESTED_TAGS:
-        text = _clean_nested_tag(text, tag)
+        text = _until_stable(text, f"</{tag}>", _innermost(tag), "$1")
     return text
 
 

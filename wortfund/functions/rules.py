@@ -48,20 +48,21 @@ def _keep_rule(tag):
     return f"</{tag}>", f"(?s){_open_tag(tag)}(.*?)</{tag}>", "$2"
 
 
-DROP_RULES = (
-    [("-->", r"(?s)<!--.*?-->", "")]
-    + [_drop_rule(tag) for tag in DROP_TAGS]
-    + [
-        ("<b/>", r"<b/>", ""),
-        ("<ref", r"<ref(/>| [^<>]*?/>)", ""),
-        ("<references", r"<references(/>| [^<>]*?/>)", ""),
-        ("<hr>", r"<hr>", ""),
-        ("<wbr>", r"<wbr>", ""),
-        ("<nowiki />", r"<nowiki />", ""),
-    ]
-)
-
-KEEP_RULES = [_keep_rule(tag) for tag in KEEP_TAGS]
+COMMENT_RULES = [("-->", r"(?s)<!--.*?-->", "")]
+
+DROP_ELEMENT_RULES = [_drop_rule(tag) for tag in DROP_TAGS]
+
+# Single tags, after the elements.
+DROP_TAG_RULES = [
+    ("<b/>", r"<b/>", ""),
+    ("<ref", r"<ref(/>| [^<>]*?/>)", ""),
+    ("<references", r"<references(/>| [^<>]*?/>)", ""),
+    ("<hr>", r"<hr>", ""),
+    ("<wbr>", r"<wbr>", ""),
+    ("<nowiki />", r"<nowiki />", ""),
+]
+
+KEEP_ELEMENT_RULES = [_keep_rule(tag) for tag in KEEP_TAGS]
 
 WIKI_TABLE_RULES = [("|}", r"(?s)\{\|.*?\|\}", " ")]
 

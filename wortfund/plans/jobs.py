@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wortfund.operators import index as I
 from wortfund.operators import lookup as L
 from wortfund.operators.clean import clean_article, filter_namespace, project_article
+from wortfund.session import scratch_path
 from wortfund.sources.buckets import BUCKETS, write_bucketed
 from wortfund.sources.tables import append_articles
 from wortfund.sources.xml_dump import scan_xml_pages
@@ -43,9 +44,21 @@ def write_index(
     """Build an index and append it to a table bucketed by `column`.
 
     By `word` the table serves word lookups from one folder; a second copy by `docid` does the
-    same for document lookups.
+    same for document lookups. The by-term layout reads its postings twice, to count and to
+    gather, so they are tokenized once into a table of the shared scratch folder.
     """
-    write_bucketed(build_index(articles, stopwords, layout), path, column, buckets)
+    if layout == "by_term":
+        index = I.index_by_term(_stored_postings(articles, stopwords))
+    else:
+        index = build_index(articles, stopwords, layout)
+    write_bucketed(index, path, column, buckets)
+
+
+def _stored_postings(articles: DataFrame, stopwords: DataFrame) -> DataFrame:
+    spark = articles.sparkSession
+    path = scratch_path(spark, "postings")
+    I.index_postings(articles, stopwords).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def run_lookups(articles: DataFrame, index: DataFrame, keys: dict) -> DataFrame:

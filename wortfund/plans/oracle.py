@@ -73,8 +73,8 @@ def _rules(rules):
 STEPS = {
     "clean_templates": _templates,
     "clean_wiki_tables": _rules(R.WIKI_TABLE_RULES),
-    "clean_drop_tags": _rules(R.DROP_RULES),
-    "clean_keep_tags": _rules(R.KEEP_RULES),
+    "clean_drop_tags": _rules(R.COMMENT_RULES + R.DROP_ELEMENT_RULES + R.DROP_TAG_RULES),
+    "clean_keep_tags": _rules(R.KEEP_ELEMENT_RULES),
     "clean_nested_tags": _nested,
     "clean_internal_links": _rules(R.INTERNAL_LINK_RULES),
     "clean_bold_italic": _rules(R.BOLD_ITALIC_RULES),
