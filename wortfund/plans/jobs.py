@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from wortfund.operators import index as I
 from wortfund.operators import lookup as L
 from wortfund.operators.clean import clean_article, filter_namespace, project_article
-from wortfund.session import scratch_path
+from wortfund.schemas import POSTINGS
+from wortfund.session import drop_scratch, scratch_path
+from wortfund.sources import tables as S
 from wortfund.sources.buckets import BUCKETS, write_bucketed
-from wortfund.sources.tables import append_articles
 from wortfund.sources.xml_dump import scan_xml_pages
 
 
@@ -20,7 +21,7 @@ def articles_from_dump(spark: SparkSession, dump: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, dump: str, target: str | None = None, kind="parquet", **options):
-    append_articles(articles_from_dump(spark, dump), target, kind, **options)
+    S.append_articles(articles_from_dump(spark, dump), target, kind, **options)
 
 
 def build_index(articles: DataFrame, stopwords: DataFrame, layout: str) -> DataFrame:
@@ -47,18 +48,29 @@ def write_index(
     same for document lookups. The by-term layout reads its postings twice, to count and to
     gather, so they are tokenized once into a table of the shared scratch folder.
     """
-    if layout == "by_term":
-        index = I.index_by_term(_stored_postings(articles, stopwords))
-    else:
-        index = build_index(articles, stopwords, layout)
-    write_bucketed(index, path, column, buckets)
+    if layout != "by_term":
+        write_bucketed(build_index(articles, stopwords, layout), path, column, buckets)
+        return
+    spark = articles.sparkSession
+    scratch = scratch_path(spark, "postings")
+    try:
+        I.index_postings(articles, stopwords).write.parquet(scratch)
+        postings = spark.read.schema(POSTINGS).parquet(scratch)
+        write_bucketed(I.index_by_term(postings), path, column, buckets)
+    finally:
+        drop_scratch(spark, scratch)
 
 
-def _stored_postings(articles: DataFrame, stopwords: DataFrame) -> DataFrame:
-    spark = articles.sparkSession
-    path = scratch_path(spark, "postings")
-    I.index_postings(articles, stopwords).write.parquet(path)
-    return spark.read.parquet(path)
+def append_index(
+    articles: DataFrame,
+    stopwords: DataFrame,
+    target: str | None = None,
+    kind: str = "jdbc",
+    **options,
+) -> None:
+    """Build the layout that the target keeps and append it there under the target's names."""
+    index = build_index(articles, stopwords, S.INDEX_LAYOUTS[kind])
+    S.append_table(S.to_target_index(index, kind), target, kind, **options)
 
 
 def run_lookups(articles: DataFrame, index: DataFrame, keys: dict) -> DataFrame:

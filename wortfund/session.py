@@ -1,6 +1,5 @@
 """Session settings for local runs, and the shared scratch folder."""
 
-import os
 import tempfile
 import uuid
 
@@ -25,16 +24,26 @@ def local_session(cores="*", app="wortfund", memory="16g", **conf) -> SparkSessi
     return spark
 
 
+_local_root: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below `spark.checkpoint.dir`, the folder all executors share.
 
     Only a local-mode session may go without that setting: driver and executors are then one
-    process, and a temporary folder of this machine is set as its value.
+    process, and a temporary folder of this machine serves.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="wortfund-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+        if not _local_root:
+            _local_root.append(tempfile.mkdtemp(prefix="wortfund-"))
+        root = _local_root[0]
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table that was written to a scratch path."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -7,15 +7,24 @@ connection settings are plain reader and writer options.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wortfund.schemas import LAYOUTS
+
 # Column names of the target tables, as fixed values: (docid, title, wikitext), then the index
-# layout each target holds.
+# in the layout that each target keeps.
 ARTICLE_NAMES = {
     "parquet": ["docid", "title", "wikitext"],
     "jdbc": ["docID", "title", "wikitext"],
     "cassandra": ["docid", "title", "wikitext"],
     "mongodb": ["_id", "title", "wikitext"],
 }
+INDEX_LAYOUTS = {
+    "parquet": "postings",
+    "jdbc": "positions",
+    "cassandra": "postings",
+    "mongodb": "by_term",
+}
 INDEX_NAMES = {
+    "parquet": ["word", "docid", "occurences"],
     "jdbc": ["word", "docID", "occurence"],
     "cassandra": ["word", "docid", "occurences"],
     "mongodb": ["_id", "invIndex"],
@@ -105,6 +114,11 @@ def to_mongodb_index(by_term: DataFrame) -> DataFrame:
     )
 
 
+def mongodb_word_rows(rows: DataFrame, word: str) -> DataFrame:
+    """The rows of one word, by conditions on `_id` that a connector can push down."""
+    return rows.where((F.col("_id") == word) | F.col("_id").startswith(word + "#"))
+
+
 def from_mongodb_index(rows: DataFrame) -> DataFrame:
     """Tokens are letters or digits only, so "#" always starts a chunk number."""
     parts = F.split("_id", "#")
@@ -115,3 +129,19 @@ def from_mongodb_index(rows: DataFrame) -> DataFrame:
         .cast("array<struct<docid: bigint, occurences: array<int>>>")
         .alias("inv_index"),
     )
+
+
+def to_target_index(index: DataFrame, kind: str) -> DataFrame:
+    """An index in the layout of the target -> the target's column names."""
+    if kind == "mongodb":
+        return to_mongodb_index(index)
+    layout = LAYOUTS[INDEX_LAYOUTS[kind]]
+    return rename_columns(index.select(*layout.names), INDEX_NAMES[kind])
+
+
+def read_index(spark: SparkSession, path: str | None = None, kind="parquet", **options):
+    """The index of any target, in its layout, under the names of that layout."""
+    rows = read_table(spark, path, kind, **options).select(*INDEX_NAMES[kind])
+    if kind == "mongodb":
+        return from_mongodb_index(rows)
+    return rename_columns(rows, LAYOUTS[INDEX_LAYOUTS[kind]].names)
