@@ -196,6 +196,33 @@ def test_upserts(spark):
     assert keyed.positions_upsert(old, old).count() == 1
 
 
+def test_one_row_per_key(spark):
+    rows = spark.createDataFrame([(1, "a", None), (1, "a", "x"), (1, None, "z"), (2, None, None)], schemas.ARTICLES)
+    found = sorted(map(tuple, keyed.one_row_per_key(rows, ["docid"]).collect()))
+    assert found == [(1, "a", "x"), (2, None, None)]
+
+
 def test_upsert_reduces_before_its_shuffle(spark):
     rows = spark.range(5).select(F.col("id").alias("docid"), F.lit("t").alias("title"), F.lit("w").alias("wikitext"))
-    assert "partial_max" in plan_of(keyed.articles_upsert(rows, rows))
+    plan = plan_of(keyed.articles_upsert(rows, rows))
+    assert "partial_max" in plan and "LeftAnti" in plan
+
+
+def test_long_words_in_a_table_make_one_shuffle(spark, tmp_path):
+    postings = I.index_postings(articles(spark, corpus()), stop(spark, "x"))
+    postings.write.parquet(str(tmp_path / "postings"))
+    stored = spark.read.parquet(str(tmp_path / "postings"))
+    I.long_words(stored, 7).write.parquet(str(tmp_path / "long"))
+    long = spark.read.parquet(str(tmp_path / "long"))
+    by_term = I.index_by_term(stored, 7, long)
+    plan = plan_of(by_term, "simple")
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+    assert as_dict(I.by_term_to_postings(by_term)) == brute_force(corpus())
+    assert by_term.count() > 21
+
+
+def test_by_term_job(spark, tmp_path):
+    path = str(tmp_path / "index")
+    jobs.write_index(articles(spark, corpus()), stop(spark, "wa"), "by_term", path, buckets=2)
+    found = as_dict(I.by_term_to_postings(spark.read.parquet(path)))
+    assert found == brute_force(corpus(), {"wa"})

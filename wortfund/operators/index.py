@@ -83,33 +83,38 @@ def index_positions(articles: DataFrame, stopwords: DataFrame) -> DataFrame:
     )
 
 
-def _chunked(postings: DataFrame, max_postings: int) -> DataFrame:
-    """Give each posting the chunk of its word: 0, or a hash of the document for long words.
+def long_words(postings: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
+    """(word, chunks) of the words with more than `max_postings` postings.
 
-    The document counts are combined before their shuffle; only words over the limit are kept
-    and joined back.
+    Counts are combined before their shuffle. At most one word in `max_postings` postings is in.
     """
-    long_words = (
+    return (
         postings.groupBy("word")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > max_postings)
         .select("word", F.ceil(F.col("n") / max_postings).cast("int").alias("chunks"))
     )
-    chunk = F.when(F.col("chunks").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64("docid"), F.col("chunks")).cast("int")
-    )
-    return postings.join(long_words, "word", "left").withColumn("chunk", chunk).drop("chunks")
 
 
-def index_by_term(postings: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
+def index_by_term(
+    postings: DataFrame, max_postings: int = MAX_POSTINGS, long: DataFrame | None = None
+) -> DataFrame:
     """Layout "by term": per word the list of (docid, occurences), ordered by docid.
 
     A word with more than `max_postings` postings is spread over several rows by a hash of the
     docid, so that no task and no row has to hold all of it; nothing is left out.
+
+    `long` takes the long words as a stored table. Spark then knows their size and can broadcast
+    them, and the postings move once; otherwise it may have to join by shuffle first.
     """
+    if long is None:
+        long = long_words(postings, max_postings)
+    chunk = F.when(F.col("chunks").isNull(), 0).otherwise(
+        F.pmod(F.xxhash64("docid"), F.col("chunks")).cast("int")
+    )
     return (
-        _chunked(postings, max_postings)
-        .groupBy("word", "chunk")
+        postings.join(long, "word", "left")
+        .groupBy("word", chunk.alias("chunk"))
         .agg(F.sort_array(F.collect_list(F.struct("docid", "occurences"))).alias("inv_index"))
     )
 

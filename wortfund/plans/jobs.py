@@ -1,5 +1,6 @@
 """The three jobs: ingest a dump, build an index, run the lookups."""
 
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ def ingest(spark: SparkSession, dump: str, target: str | None = None, kind="parq
 
 
 def build_index(articles: DataFrame, stopwords: DataFrame, layout: str) -> DataFrame:
+    """One layout as a lazy DataFrame; `stored_by_term` is the way for large by-term indexes."""
     if layout == "postings":
         return I.index_postings(articles, stopwords)
     if layout == "positions":
@@ -34,6 +36,25 @@ def build_index(articles: DataFrame, stopwords: DataFrame, layout: str) -> DataF
     raise ValueError(f"unknown index layout: {layout}")
 
 
+@contextmanager
+def stored_by_term(postings: DataFrame):
+    """The by-term layout over scratch tables, for the time of the block.
+
+    The layout reads its postings twice, to count and to gather, so they are tokenized once; and
+    with the long words in a table, Spark knows their size before it plans the large shuffle.
+    """
+    spark = postings.sparkSession
+    scratch = scratch_path(spark, "by-term")
+    try:
+        postings.write.parquet(f"{scratch}/postings")
+        postings = spark.read.schema(POSTINGS).parquet(f"{scratch}/postings")
+        I.long_words(postings).write.parquet(f"{scratch}/long")
+        long = spark.read.schema("word string, chunks int").parquet(f"{scratch}/long")
+        yield I.index_by_term(postings, long=long)
+    finally:
+        drop_scratch(spark, scratch)
+
+
 def write_index(
     articles: DataFrame,
     stopwords: DataFrame,
@@ -45,20 +66,13 @@ def write_index(
     """Build an index and append it to a table bucketed by `column`.
 
     By `word` the table serves word lookups from one folder; a second copy by `docid` does the
-    same for document lookups. The by-term layout reads its postings twice, to count and to
-    gather, so they are tokenized once into a table of the shared scratch folder.
+    same for document lookups.
     """
-    if layout != "by_term":
+    if layout == "by_term":
+        with stored_by_term(I.index_postings(articles, stopwords)) as index:
+            write_bucketed(index, path, column, buckets)
+    else:
         write_bucketed(build_index(articles, stopwords, layout), path, column, buckets)
-        return
-    spark = articles.sparkSession
-    scratch = scratch_path(spark, "postings")
-    try:
-        I.index_postings(articles, stopwords).write.parquet(scratch)
-        postings = spark.read.schema(POSTINGS).parquet(scratch)
-        write_bucketed(I.index_by_term(postings), path, column, buckets)
-    finally:
-        drop_scratch(spark, scratch)
 
 
 def append_index(
@@ -69,8 +83,12 @@ def append_index(
     **options,
 ) -> None:
     """Build the layout that the target keeps and append it there under the target's names."""
-    index = build_index(articles, stopwords, S.INDEX_LAYOUTS[kind])
-    S.append_table(S.to_target_index(index, kind), target, kind, **options)
+    if S.INDEX_LAYOUTS[kind] == "by_term":
+        with stored_by_term(I.index_postings(articles, stopwords)) as index:
+            S.append_table(S.to_target_index(index, kind), target, kind, **options)
+    else:
+        index = build_index(articles, stopwords, S.INDEX_LAYOUTS[kind])
+        S.append_table(S.to_target_index(index, kind), target, kind, **options)
 
 
 def run_lookups(articles: DataFrame, index: DataFrame, keys: dict) -> DataFrame:

@@ -397,7 +397,23 @@ def index_positions(spark, sf_dir):
 
 @query("index_by_term", O.BY_TERM)
 def index_by_term(spark, sf_dir):
-    return show_by_term(I.index_by_term(postings(spark, sf_dir)))
+    return show_by_term(I.index_by_term(X.stored_index(spark, sf_dir, "postings")))
+
+
+@query(
+    "long_words",
+    "SELECT word, CAST(ceil(count(*) / 100.0) AS INTEGER) AS chunks "
+    f"FROM ({O.POSTINGS}) GROUP BY word HAVING count(*) > 100",
+)
+def long_words(spark, sf_dir):
+    return I.long_words(X.stored_index(spark, sf_dir, "postings"), 100)
+
+
+@query("index_by_term_in_chunks", O.POSTINGS)
+def index_by_term_in_chunks(spark, sf_dir):
+    """Rows of about 50 postings at most; their postings are all there."""
+    by_term = I.index_by_term(X.stored_index(spark, sf_dir, "postings"), 50)
+    return show_postings(I.by_term_to_postings(by_term))
 
 
 _MERGED_POSTINGS = (
@@ -569,9 +585,6 @@ def run_lookups(spark, sf_dir):
 
 # --- jobs end to end -------------------------------------------------------------------------
 
-_DUMP_MARKUP = f"SELECT docid, body FROM ({O.MARKUP_SQL})"
-
-
 @query("ingest_dump", f"SELECT docid, 'T' || docid AS title, body AS wikitext FROM ({O.cleaned()})")
 def ingest_dump(spark, sf_dir):
     """Markup texts written as a dump, then ingested: split, filtered, cleaned, appended."""
