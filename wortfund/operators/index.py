@@ -42,20 +42,13 @@ def _group_positions(tokens: Column) -> Column:
         )
 
         def runs(first):
-            return F.transform(
-                first,
-                lambda start, n: F.struct(
-                    F.get(pairs, start)["word"].alias("word"),
-                    F.transform(
-                        F.slice(
-                            pairs,
-                            start + 1,
-                            F.coalesce(F.get(first, n + 1), F.size(pairs)) - start,
-                        ),
-                        lambda pair: pair["pos"],
-                    ).alias("occurences"),
-                ),
-            )
+            def entry(start, n):
+                end = F.coalesce(F.get(first, n + 1), F.size(pairs)) - 1
+                places = F.transform(F.sequence(start, end), lambda i: F.get(pairs, i)["pos"])
+                word = F.get(pairs, start)["word"]
+                return F.struct(word.alias("word"), places.alias("occurences"))
+
+            return F.transform(first, entry)
 
         return F.when(F.size(pairs) > 0, bind(starts, runs))
 

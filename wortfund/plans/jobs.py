@@ -91,12 +91,18 @@ def append_index(
         S.append_table(S.to_target_index(index, kind), target, kind, **options)
 
 
-def run_lookups(articles: DataFrame, index: DataFrame, keys: dict) -> DataFrame:
-    """(lookup, key, n) for all four key lists, one job instead of one per key."""
+def run_lookups(
+    articles: DataFrame, index: DataFrame, keys: dict, index_by_docid: DataFrame | None = None
+) -> DataFrame:
+    """(lookup, key, n) for all four key lists, one job instead of one per key.
+
+    `index_by_docid` is a copy of the index bucketed by docid, if there is one.
+    """
+    by_docid = index if index_by_docid is None else index_by_docid
     counts = {
         "title": (L.batch_lookup_title(articles, keys["titles"]), "title"),
         "docid": (L.batch_lookup_docid(articles, keys["article_ids"]), "docid"),
-        "doc_words": (L.batch_lookup_doc_words(index, keys["index_ids"]), "docid"),
+        "doc_words": (L.batch_lookup_doc_words(by_docid, keys["index_ids"]), "docid"),
         "word_docs": (L.batch_lookup_word_docs(index, keys["words"]), "word"),
     }
     return reduce(

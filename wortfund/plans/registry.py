@@ -580,6 +580,7 @@ def run_lookups(spark, sf_dir):
         X.stored_articles(spark, sf_dir),
         X.stored_index(spark, sf_dir, "postings"),
         _search_keys(spark, sf_dir),
+        X.stored_index(spark, sf_dir, "postings", "docid"),
     )
 
 
