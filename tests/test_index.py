@@ -6,11 +6,11 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from explain import plan_of
 from wortfund import schemas
 from wortfund.operators import index as I
 from wortfund.operators import keyed
 from wortfund.plans import jobs
-from wortfund.plans.explain import plan_of
 from wortfund.sources import lists
 
 
@@ -161,7 +161,8 @@ def test_merge_of_partial_indexes(spark):
 
 
 def test_postings_and_positions_need_no_shuffle(spark):
-    scan = spark.read.schema("docid long, wikitext string").parquet("/root/testdata/sf0.001/documents.parquet")
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    scan = documents.selectExpr("doc_id AS docid", "text AS wikitext")
     words = lists.default_stopwords(spark)
     for build in (I.index_postings, I.index_positions):
         plan = plan_of(build(scan, words))
@@ -197,13 +198,15 @@ def test_upserts(spark):
 
 
 def test_one_row_per_key(spark):
-    rows = spark.createDataFrame([(1, "a", None), (1, "a", "x"), (1, None, "z"), (2, None, None)], schemas.ARTICLES)
+    rows = spark.createDataFrame(
+        [(1, "a", None), (1, "a", "x"), (1, None, "z"), (2, None, None)], schemas.ARTICLES
+    )
     found = sorted(map(tuple, keyed.one_row_per_key(rows, ["docid"]).collect()))
     assert found == [(1, "a", "x"), (2, None, None)]
 
 
 def test_upsert_reduces_before_its_shuffle(spark):
-    rows = spark.range(5).select(F.col("id").alias("docid"), F.lit("t").alias("title"), F.lit("w").alias("wikitext"))
+    rows = spark.range(5).selectExpr("id AS docid", "'t' AS title", "'w' AS wikitext")
     plan = plan_of(keyed.articles_upsert(rows, rows))
     assert "partial_max" in plan and "LeftAnti" in plan
 

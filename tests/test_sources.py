@@ -1,14 +1,17 @@
 """Dumps, tables, lists and sinks."""
 
+import bz2
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from explain import plan_of
 from wortfund import schemas
 from wortfund.operators import clean as C
 from wortfund.operators import index as I
 from wortfund.plans import jobs
-from wortfund.plans.explain import plan_of
 from wortfund.sources import lists, xml_dump
 from wortfund.sources import tables as S
 
@@ -62,8 +65,8 @@ def dump(tmp_path):
 def test_dump(spark, dump, scan):
     pages = scan(spark, dump)
     assert pages.schema == schemas.XML_PAGE
-    found = {r.id: (r.ns, r.title, r.revision.text._VALUE if r.revision.text else None) for r in pages.collect()}
-    assert found == {
+    rows = pages.select("id", "ns", "title", "revision.text._VALUE").collect()
+    assert {row[0]: tuple(row[1:]) for row in rows} == {
         1: (0, "Alan & Co", "''Alan'' {{x}} <b>fett</b> &amp; mehr\n"),
         2: (1, "Diskussion:Alan", "weg"),
         3: (0, "Leer", None),
@@ -73,13 +76,12 @@ def test_dump(spark, dump, scan):
 
 def test_dump_is_read_in_many_pieces(spark, tmp_path):
     path = str(tmp_path / "pages")
+    body = F.concat(F.lit(" <page> & </page> \n"), F.repeat(F.lit("xä "), 100))
     pages = spark.range(500).select(
         "id",
         (F.col("id") % 2).alias("ns"),
         F.concat(F.lit("T"), F.col("id").cast("string")).alias("title"),
-        F.struct(
-            F.struct(F.concat(F.lit(" <page> & </page> \n"), F.repeat(F.lit("xä "), 100)).alias("_VALUE")).alias("text")
-        ).alias("revision"),
+        F.struct(F.struct(body.alias("_VALUE")).alias("text")).alias("revision"),
     )
     xml_dump.write_xml_pages(pages.coalesce(1), path)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
@@ -91,9 +93,31 @@ def test_dump_is_read_in_many_pieces(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_packed_dump_is_read_in_many_pieces(spark, tmp_path):
+    # Several bzip2 streams in one file, as the dumps are published.
+    rng = random.Random(2)
+    pages = [
+        f"<page><title>T{i}</title><ns>0</ns><id>{i}</id><revision>"
+        f"<text>{[rng.random() for _ in range(40)]}</text></revision></page>\n"
+        for i in range(3000)
+    ]
+    parts = ["".join(pages[i : i + 500]) for i in range(0, 3000, 500)]
+    parts = ["<mediawiki>\n", *parts, "</mediawiki>"]
+    path = tmp_path / "dump.xml.bz2"
+    path.write_bytes(b"".join(bz2.compress(part.encode(), 1) for part in parts))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        scan = xml_dump.scan_xml_pages(spark, str(path))
+        assert scan.rdd.getNumPartitions() > 3
+        found = {r.id: r.revision.text._VALUE for r in scan.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {i: page.split("text>")[1][:-2] for i, page in enumerate(pages)}
+
+
 def test_namespace_filter_parses_each_page_once(spark, dump):
-    plan = plan_of(C.project_article(C.filter_namespace(xml_dump.scan_xml_pages(spark, dump))), "simple")
-    assert plan.count("from_xml") == 1
+    pages = C.filter_namespace(xml_dump.scan_xml_pages(spark, dump))
+    assert plan_of(C.project_article(pages), "simple").count("from_xml") == 1
 
 
 def test_ingest(spark, dump, tmp_path):
@@ -133,11 +157,13 @@ def test_create_table_refuses_an_existing_one(spark, tmp_path):
 def test_column_names_of_the_targets(spark):
     rows = spark.createDataFrame([(1, "a", "b")], schemas.ARTICLES)
     assert S.rename_columns(rows, S.ARTICLE_NAMES["jdbc"]).columns == ["docID", "title", "wikitext"]
-    assert S.rename_columns(rows, S.ARTICLE_NAMES["mongodb"]).columns == ["_id", "title", "wikitext"]
+    names = S.rename_columns(rows, S.ARTICLE_NAMES["mongodb"]).columns
+    assert names == ["_id", "title", "wikitext"]
 
 
 def test_mongodb_index_shape(spark):
-    postings = spark.createDataFrame([("a", i, [i]) for i in range(6)] + [("b", 1, [0])], schemas.POSTINGS)
+    entries = [("a", i, [i]) for i in range(6)] + [("b", 1, [0])]
+    postings = spark.createDataFrame(entries, schemas.POSTINGS)
     by_term = I.index_by_term(postings, 2)
     rows = S.to_mongodb_index(by_term)
     assert rows.schema.simpleString() == (
@@ -149,7 +175,8 @@ def test_mongodb_index_shape(spark):
 
 
 def test_rows_of_one_word_in_mongodb_shape(spark):
-    postings = spark.createDataFrame([("ab", i, [i]) for i in range(6)] + [("abc", 1, [0])], schemas.POSTINGS)
+    entries = [("ab", i, [i]) for i in range(6)] + [("abc", 1, [0])]
+    postings = spark.createDataFrame(entries, schemas.POSTINGS)
     rows = S.to_mongodb_index(I.index_by_term(postings, 2))
     found = S.from_mongodb_index(S.mongodb_word_rows(rows, "ab")).collect()
     assert {r.word for r in found} == {"ab"}
@@ -175,7 +202,8 @@ def test_index_through_the_shape_of_each_target(spark, tmp_path, monkeypatch, ki
 
 
 def test_typed_columns(spark):
-    rows = spark.createDataFrame([("7", "t", "w", "more")], "docid string, title string, wikitext string, x string")
+    types = "docid string, title string, wikitext string, x string"
+    rows = spark.createDataFrame([("7", "t", "w", "more")], types)
     assert list(map(tuple, S.typed_columns(rows, schemas.ARTICLES).collect())) == [(7, "t", "w")]
 
 
@@ -192,12 +220,12 @@ def test_jdbc_options():
 
 
 def test_lists(spark, tmp_path):
+    words, ids = str(tmp_path / "words"), str(tmp_path / "ids")
     (tmp_path / "words").write_text("der\ndie\nder\nz.B.\n", encoding="utf-8")
-    assert {r.word for r in lists.load_stopwords(spark, str(tmp_path / "words")).collect()} == {"der", "die", "z.B."}
+    found = [r.word for r in lists.load_stopwords(spark, words).collect()]
+    assert sorted(found) == ["der", "die", "z.B."]
     (tmp_path / "ids").write_text("1\n22\n1\n", encoding="utf-8")
-    keys = lists.load_search_keys(
-        spark, str(tmp_path / "words"), str(tmp_path / "ids"), str(tmp_path / "ids"), str(tmp_path / "words")
-    )
+    keys = lists.load_search_keys(spark, words, ids, ids, words)
     assert {r.docid for r in keys["article_ids"].collect()} == {1, 22}
     assert keys["index_ids"].schema.simpleString() == "struct<docid:bigint>"
     assert keys["titles"].columns == ["title"] and keys["words"].columns == ["word"]

@@ -42,7 +42,9 @@ def compound_keys(tokens: Column) -> Column:
             F.size(t) >= 2,
             F.transform(
                 F.slice(t, F.lit(2), F.size(t)),
-                lambda right, i: F.concat(F.least(F.get(t, i), right), F.greatest(F.get(t, i), right)),
+                lambda right, i: F.concat(
+                    F.least(F.get(t, i), right), F.greatest(F.get(t, i), right)
+                ),
             ),
         ).otherwise(F.array().cast("array<string>"))
 

@@ -161,6 +161,7 @@ BY_TERM = by_term()
 def counts(table: str, keys: str, column: str) -> str:
     """(key, n) for every key of a one-column query."""
     return (
-        f"SELECT k.{column}, count(t.{column}) AS n FROM (SELECT DISTINCT {column} FROM ({keys})) k "
+        f"SELECT k.{column}, count(t.{column}) AS n "
+        f"FROM (SELECT DISTINCT {column} FROM ({keys})) k "
         f"LEFT JOIN ({table}) t ON t.{column} = k.{column} GROUP BY k.{column}"
     )

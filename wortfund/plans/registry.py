@@ -73,7 +73,9 @@ def positions(spark, sf_dir) -> DataFrame:
 
 # --- sources ---------------------------------------------------------------------------------
 
-XML_SQL = "SELECT doc_id AS id, doc_id % 3 AS ns, 'T' || doc_id AS title, text AS body FROM documents"
+XML_SQL = (
+    "SELECT doc_id AS id, doc_id % 3 AS ns, 'T' || doc_id AS title, text AS body FROM documents"
+)
 
 
 def _dump(spark, sf_dir) -> str:
@@ -196,7 +198,8 @@ def search_keys(spark, sf_dir):
 
 
 @query(
-    "sink_articles_append", f"SELECT * FROM ({O.ARTICLES}) UNION ALL SELECT * FROM ({O.PAGE_ARTICLES})"
+    "sink_articles_append",
+    f"SELECT * FROM ({O.ARTICLES}) UNION ALL SELECT * FROM ({O.PAGE_ARTICLES})",
 )
 def sink_articles_append(spark, sf_dir):
     path = scratch_path(spark, "append-articles")
@@ -353,8 +356,8 @@ def distinct_terms(spark, sf_dir):
 
 @query(
     "compound_keys",
-    "SELECT docid, coalesce(array_to_string(l, ' '), '') AS tokens, CAST(len(l) AS INTEGER) AS n FROM ("
-    "SELECT docid, list_transform(range(1, len(t)), "
+    "SELECT docid, coalesce(array_to_string(l, ' '), '') AS tokens, "
+    "CAST(len(l) AS INTEGER) AS n FROM (SELECT docid, list_transform(range(1, len(t)), "
     "lambda i: least(t[i], t[i + 1]) || greatest(t[i], t[i + 1])) AS l "
     f"FROM (SELECT docid, {O.keys('body')} AS t FROM ({O.MARKUP_SQL})))",
 )
@@ -416,9 +419,9 @@ def index_by_term_in_chunks(spark, sf_dir):
     return show_postings(I.by_term_to_postings(by_term))
 
 
+_SECOND_PART = f"SELECT -1 - docid AS docid, wikitext FROM ({O.PAGE_ARTICLES})"
 _MERGED_POSTINGS = (
-    f"{O.POSTINGS} UNION ALL "
-    f"{O.postings(O.positions('SELECT -1 - docid AS docid, wikitext FROM (' + O.PAGE_ARTICLES + ')', 'wikitext'))}"
+    f"{O.POSTINGS} UNION ALL {O.postings(O.positions(_SECOND_PART, 'wikitext'))}"
 )
 
 
@@ -560,9 +563,7 @@ def batch_lookup_word_docs(spark, sf_dir):
     return L.batch_lookup_word_docs(X.stored_index(spark, sf_dir, "postings"), keys)
 
 
-@query(
-    "batch_lookup_word_docs_positions", O.counts(O.POSITIONS, WORD_KEYS, "word")
-)
+@query("batch_lookup_word_docs_positions", O.counts(O.POSITIONS, WORD_KEYS, "word"))
 def batch_lookup_word_docs_positions(spark, sf_dir):
     keys = _search_keys(spark, sf_dir)["words"]
     return L.batch_lookup_word_docs(X.stored_index(spark, sf_dir, "positions"), keys)
@@ -570,10 +571,14 @@ def batch_lookup_word_docs_positions(spark, sf_dir):
 
 @query(
     "run_lookups",
-    f"SELECT 'title' AS lookup, title AS key, n FROM ({O.counts(O.ARTICLES, TITLE_KEYS, 'title')}) "
-    f"UNION ALL SELECT 'docid', CAST(docid AS VARCHAR), n FROM ({O.counts(O.ARTICLES, ID_KEYS, 'docid')}) "
-    f"UNION ALL SELECT 'doc_words', CAST(docid AS VARCHAR), n FROM ({O.counts(O.POSTINGS, ID_KEYS, 'docid')}) "
-    f"UNION ALL SELECT 'word_docs', word, n FROM ({O.counts(O.POSTINGS, WORD_KEYS, 'word')})",
+    "SELECT 'title' AS lookup, title AS key, n "
+    f"FROM ({O.counts(O.ARTICLES, TITLE_KEYS, 'title')}) "
+    "UNION ALL SELECT 'docid', CAST(docid AS VARCHAR), n "
+    f"FROM ({O.counts(O.ARTICLES, ID_KEYS, 'docid')}) "
+    "UNION ALL SELECT 'doc_words', CAST(docid AS VARCHAR), n "
+    f"FROM ({O.counts(O.POSTINGS, ID_KEYS, 'docid')}) "
+    "UNION ALL SELECT 'word_docs', word, n "
+    f"FROM ({O.counts(O.POSTINGS, WORD_KEYS, 'word')})",
 )
 def run_lookups(spark, sf_dir):
     return jobs.run_lookups(
