@@ -13,6 +13,8 @@ def local_session(cores="*", app="wortfund", memory="16g", **conf) -> SparkSessi
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
+        # Small data: pieces small enough that all cores write.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
