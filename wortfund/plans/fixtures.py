@@ -105,7 +105,7 @@ def stored_index(spark: SparkSession, sf_dir: str, layout: str, column: str = "w
 
     def write(path):
         stop = default_stopwords(spark)
-        jobs.write_index(articles(spark, sf_dir), stop, layout, path, column)
+        jobs.write_index(articles(spark, sf_dir), stop, layout, path, column, buckets=16)
 
     return read_table(spark, stored(spark, sf_dir, f"{layout}-{column}", write))
 
