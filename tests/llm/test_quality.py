@@ -1,0 +1,65 @@
+import re
+
+from wortfund.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    w = WORD.findall(text)
+    windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    seen = {}
+    for i, x in enumerate(windows):
+        seen.setdefault(x, []).append(i)
+    covered = {i + k for v in seen.values() if len(v) > 1 for i in v for k in range(5)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return {
+        "n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": sum(c in "#*$%&|<>" for c in text),
+        "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
+    }
+
+
+def verdict(m):
+    return not (
+        m["n_words"] < 10 or 100 * m["n_repeat_words"] > 20 * m["n_words"] or 10 * m["n_symbols"] > m["n_words"]
+        or 100 * m["n_dup_lines"] > 40 * m["n_lines"] or not 2 * m["n_words"] <= m["word_chars"] <= 12 * m["n_words"]
+    )
+
+
+TRICKY = ["a b c d e", "a b c d e a b c d e", "a a a a a a", "x\x0by\x85z w", "l\nl\n\n \nl", "#*$%&|<> ##", "a b c d e f a b c d e x " * 3, "1 2 3 4"]
+
+
+def test_measures(spark, documents, odd):
+    extra = spark.createDataFrame([(i, t) for i, t in enumerate(TRICKY)], "doc_id long, text string")
+    for df in (documents, odd, extra):
+        for row in quality.cascade(df.select("doc_id", "text"), complete=True).collect():
+            want = brute(row.text)
+            assert {k: row[k] for k in want} == want
+            assert row.kept == verdict(want) == (row.rejected_by is None)
+
+
+def test_order_only_changes_the_work(documents):
+    names = lambda rules: {(r.doc_id, r.kept) for r in quality.cascade(documents, order=list(rules)).collect()}
+    assert names(quality.RULES) == names(reversed(quality.RULES))
+    ordered = quality.order_rules(documents)
+    assert sorted(r.name for r in ordered) == sorted(r.name for r in quality.RULES)
+
+
+def test_short_circuit(documents):
+    rows = quality.cascade(documents, order=list(quality.RULES)).collect()
+    early = [r for r in rows if r.rejected_by == "few_words"]
+    assert early and all(r.n_repeat_words is None for r in early)
+
+
+def test_native(spark, documents):
+    plan = quality.cascade(documents)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Exchange", plan)
+
+
+def test_odd_and_empty(odd, empty):
+    out = quality.cascade(odd)
+    assert out.count() == 10 and out.columns.count("kept") == 1
+    kept = quality.keep_good(odd)
+    assert kept.columns == odd.columns
+    assert quality.cascade(empty).count() == 0 == quality.keep_good(empty).count()
