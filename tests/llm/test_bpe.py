@@ -1,0 +1,70 @@
+import hashlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from wortfund.llm import bpe
+from wortfund.llm.queries import tokens_of, vocabulary_path
+
+TRICKY = [
+    "", " ", "  two  spaces ", "a\n\n\nb \t c", "I'll we've 'S can't", "x<|endoftext|>y", "<|endoftext|><|endoftext|> <|endoftext|", "naïve café Ελλάδας İstanbul",
+    "\U0001f600\U0001f468‍\U0001f469 中文 १२३ Ⅷ ²", "a b c\u0085d　", "́combining é", "\x00\x01\x1f\x7f", "﻿bom �", "a" * 500, "🂡" * 50, "word " * 2000,
+    "᠎​ x  y", "ﬁ ſ K", "\x1c\x1d a \x1c", "\U000e0001 \U0010ffff",
+]
+
+
+@pytest.fixture(scope="module")
+def content():
+    return bpe.vocabulary(vocabulary_path())
+
+
+@pytest.fixture(scope="module")
+def library():
+    t = Tokenizer.from_file(vocabulary_path())
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+def check(rows, library):
+    for r in rows:
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        assert r.ids == ids, r.text
+        assert r.decoded == library.decode(ids, skip_special_tokens=False), r.text
+        assert (r.text or "") == r.decoded
+
+
+def test_against_the_library(spark, documents, content, library):
+    df = spark.createDataFrame(list(enumerate(TRICKY)), "doc_id long, text string")
+    check(bpe.decode(bpe.encode(df, content), content).collect(), library)
+    some = documents.select("doc_id", "text")
+    rows = bpe.decode(bpe.encode(some, content, block_bytes=40_000), content).collect()
+    assert len(rows) == some.count()
+    check(rows, library)
+
+
+def test_random_characters(spark, content, library):
+    rng = np.random.default_rng(7)
+    points = [p for p in [*rng.integers(0, 0x3000, 6000), *rng.integers(0x3000, 0x110000, 3000)] if not 0xD800 <= p < 0xE000]
+    texts = ["".join(chr(p) + (" " if p % 5 == 0 else "") for p in points[i : i + 30]) for i in range(0, len(points), 30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(bpe.decode(bpe.encode(df, content), content).collect(), library)
+
+
+def test_ids_that_make_no_character(spark, content, library):
+    ids = [[i, 100] for i in range(0, 400, 3)] + [[], [0, 50256]]
+    df = spark.createDataFrame([(x,) for x in ids], "ids array<int>")
+    for r in bpe.decode(df, content).collect():
+        assert r.decoded == library.decode(r.ids, skip_special_tokens=False)
+
+
+def test_odd_and_empty(odd, empty, content, library):
+    out = bpe.decode(bpe.encode(odd, content), content)
+    assert out.columns.count("ids") == out.columns.count("decoded") == 1
+    rows = out.collect()
+    assert len(rows) == 10
+    check(rows, library)
+    assert bpe.encode(empty, content).count() == 0
+    got = {r.doc_id: r for r in tokens_of(odd, content).collect()}
+    assert got[2].n_tokens == 0 and got[2].ids_sha256 == hashlib.sha256(b"").hexdigest()

@@ -134,3 +134,93 @@ def vocabulary_path() -> str:
 @query
 def op10_bpe(spark, sf_dir):
     return tokens_of(read(spark, sf_dir, "documents"), bpe.vocabulary(vocabulary_path()))
+
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLES["op2_mixing"] = """
+WITH RECURSIVE src AS (
+  SELECT source, n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i,
+         greatest(1, CAST(floor(32 * sqrt(n) / sqrt(max(n) OVER ())) AS BIGINT)) AS parts
+  FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)
+), arr AS (SELECT list(parts ORDER BY i) AS a, CAST(sum(parts) AS BIGINT) AS d, count(*) AS k FROM src),
+sim AS (
+  SELECT CAST(-1 AS BIGINT) AS t, list_transform(a, lambda x: CAST(0 AS BIGINT)) AS had, CAST(NULL AS BIGINT) AS pick, a, d, k FROM arr
+  UNION ALL
+  SELECT t, list_transform(range(k), lambda j: had[j + 1] + CASE WHEN j = pick THEN 1 ELSE 0 END), pick, a, d, k
+  FROM (
+    SELECT t + 1 AS t, had, a, d, k, list_min(list_transform(range(k), lambda j:
+      CASE WHEN had[j + 1] < a[j + 1] AND (had[j + 1] * d) // a[j + 1] <= t + 1
+           THEN (((had[j + 1] + 1) * d + a[j + 1] - 1) // a[j + 1]) * k + j END)) % k AS pick
+    FROM sim WHERE t + 1 < d)
+), slots AS (SELECT t AS slot, pick AS i, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS own FROM sim WHERE t >= 0),
+ranked AS (
+  SELECT doc_id, source,
+         row_number() OVER (PARTITION BY source ORDER BY md5(concat('11:', coalesce(CAST(doc_id AS VARCHAR), chr(0)), ':', coalesce(text, chr(0))))) - 1 AS r
+  FROM documents
+), placed AS (
+  SELECT doc_id, ranked.source, r, r // 16 AS mix_block, ((r // 16) // parts) * d + slot AS mix_slot
+  FROM ranked JOIN src ON ranked.source IS NOT DISTINCT FROM src.source, arr JOIN slots ON true
+  WHERE slots.i = src.i AND slots.own = (r // 16) % parts
+)
+SELECT doc_id, source, mix_block, mix_slot, row_number() OVER (ORDER BY mix_slot, r) - 1 AS mix_position FROM placed
+"""
+
+ORACLES["op3_quality_rules"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS u, doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents
+), g AS (
+  SELECT u, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT u, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) > 5)
+), again AS (SELECT u, i FROM g QUALIFY count(*) OVER (PARTITION BY u, g) > 1),
+covered AS (SELECT u, count(DISTINCT i + k) AS n FROM again, (SELECT unnest(range(5)) AS k) GROUP BY u),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN covered USING (u)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 40 * n_lines
+            OR word_chars < 2 * n_words OR word_chars > 12 * n_words) AS kept
+FROM m
+"""
+
+ORACLES["op5_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLES["op6_lm_scoring"] = f"""
+WITH d AS (SELECT row_number() OVER () AS u, doc_id, {_WORDS} AS w FROM documents),
+p AS (SELECT u, i, m, w[i] AS w2, CASE WHEN i > 1 THEN w[i - 1] END AS w1 FROM (SELECT u, w, len(w) AS m, unnest(range(1, len(w) + 1)) AS i FROM d)),
+c AS (
+  SELECT u, m, w1, w1 IS NOT NULL AS second, count(*) OVER () AS n,
+         count(*) OVER (PARTITION BY w2) - count(*) OVER (PARTITION BY u, w2) AS c2,
+         count(*) OVER (PARTITION BY w1, w2) - count(*) OVER (PARTITION BY u, w1, w2) AS c12
+  FROM p
+), one AS (SELECT w2 AS w, count(*) AS c FROM p GROUP BY w2), own AS (SELECT u, w2 AS w, count(*) AS c FROM p GROUP BY u, w2),
+x AS (
+  SELECT c.u, second, n - m AS n, c2, one.c - own.c AS c1, c12
+  FROM c LEFT JOIN one ON one.w = c.w1 LEFT JOIN own ON own.u = c.u AND own.w = c.w1
+), s AS (
+  SELECT u, second AND c12 > 0 AS known, CASE WHEN c2 > 0 THEN CAST(c2 AS DOUBLE) / n ELSE CAST(0.4 AS DOUBLE) / (n + 1) END AS single, second, c1, c12 FROM x
+), t AS (
+  SELECT u, count(*) AS lm_words, count_if(known) AS known,
+         sum(ln(CASE WHEN known THEN CAST(c12 AS DOUBLE) / c1 WHEN second THEN CAST(0.4 AS DOUBLE) * single ELSE single END)) AS total
+  FROM s GROUP BY u
+)
+SELECT doc_id, coalesce(lm_words, 0) AS lm_words, CAST(coalesce(known, 0) AS BIGINT) AS lm_known_bigrams,
+       round(coalesce(total, 0), 4) AS lm_logsum, round(total / lm_words, 6) AS lm_score
+FROM d LEFT JOIN t USING (u)
+"""

@@ -30,10 +30,16 @@ from wortfund.llm.common import packed, quoted, unpacked
 
 BUCKETS, DIM = 1 << 17, 8
 GRAMS = (3, 4, 5)
-STRETCH = 12
+STRETCH = 6
 PER_CLASS = 2_000
 SAMPLE_BYTES = 64 << 20
-STEPS, RATE, DECAY = 120, 0.05, 1e-4
+STEPS, RATE = 120, 0.05
+#: Steps in which a document is its average, before it is its most toxic stretch.
+WARM_STEPS = 40
+#: Weight of all toxic documents in training against all others: labels call ordinary texts toxic, not the reverse.
+POSITIVE_SHARE = 0.35
+#: N-grams in fewer training documents than this keep the vector zero.
+LEAST_DOCS = 5
 
 _WORD = re.compile(r"\w+")
 
@@ -60,13 +66,20 @@ class _Texts:
         self.gram = np.concatenate(bags) if bags else np.empty(0, dtype=np.int64)
         self.word = np.repeat(np.arange(len(bags)), self.size)
 
+    def common_grams(self, least: int) -> np.ndarray:
+        """Which buckets occur in `least` documents or more."""
+        docs = np.zeros(len(self.size), dtype=np.int64)
+        for d in self.docs:
+            docs[np.unique(d)] += 1
+        return np.bincount(self.gram, weights=docs[self.word], minlength=BUCKETS) >= least
+
     def word_scores(self, gram_scores: np.ndarray) -> np.ndarray:
         return np.bincount(self.word, weights=gram_scores[self.gram], minlength=len(self.size)) / np.maximum(self.size, 1)
 
 
-def _best_stretch(score: np.ndarray) -> tuple[int, int, float]:
-    """(start, end, mean) of the stretch of STRETCH words, or of the whole if shorter, with the largest mean."""
-    n = min(STRETCH, len(score))
+def _best_stretch(score: np.ndarray, words: int | None = STRETCH) -> tuple[int, int, float]:
+    """(start, end, mean) of the stretch of so many words with the largest mean; of the whole if it is shorter, or for None."""
+    n = min(words or len(score), len(score))
     if not n:
         return 0, 0, 0.0
     total = np.concatenate([[0.0], np.cumsum(score)])
@@ -83,17 +96,17 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> tuple[np.ndarra
     """(score of each bucket, bias): what the vectors give in the softmax's difference of the two classes."""
     data, y = _Texts(texts), np.asarray(labels, dtype=np.float64)
     rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.1, (BUCKETS, DIM))
+    vectors = rng.normal(0, 0.1, (BUCKETS, DIM)) * data.common_grams(LEAST_DOCS)[:, None]
     softmax = np.stack([-(v := rng.normal(0, 0.5, DIM)), v])  # two classes
     bias = np.array([1.0, -1.0])
-    weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    weight = np.where(y > 0, POSITIVE_SHARE / max(1, y.sum()), (1 - POSITIVE_SHARE) / max(1, (1 - y).sum()))
     state = [np.zeros_like(a) for a in (vectors, softmax, bias) for _ in range(2)]
-    seen = np.unique(data.gram)
-    # short words by themselves, every document by its worst stretch
+    seen = np.flatnonzero(vectors.any(axis=1))
+    fixed = ~vectors.any(axis=1)
     for step in range(1, STEPS + 1):
         slope = softmax[1] - softmax[0]
         word = data.word_scores(vectors @ slope)
-        best = [_best_stretch(word[d]) for d in data.docs]
+        best = [_best_stretch(word[d], None if step <= WARM_STEPS else STRETCH) for d in data.docs]
         logit = np.array([b[2] for b in best]) + bias[1] - bias[0]
         error = (_sigmoid(logit) - y) * weight
         g_word = np.zeros(len(data.size))
@@ -101,7 +114,8 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> tuple[np.ndarra
             np.add.at(g_word, d[a:b], e / max(1, b - a))
         g_gram = np.bincount(data.gram, weights=(g_word / np.maximum(data.size, 1))[data.word], minlength=BUCKETS)
         g_slope = g_gram[seen] @ vectors[seen]
-        grads = (np.outer(g_gram, slope) + DECAY * vectors / BUCKETS, np.stack([-g_slope, g_slope]), np.array([-error.sum(), error.sum()]))
+        g_gram[fixed] = 0
+        grads = (np.outer(g_gram, slope), np.stack([-g_slope, g_slope]), np.array([-error.sum(), error.sum()]))
         for k, (value, g) in enumerate(zip((vectors, softmax, bias), grads)):
             m, v = state[2 * k], state[2 * k + 1]
             m += 0.1 * (g - m)
