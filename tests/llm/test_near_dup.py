@@ -140,5 +140,9 @@ def test_sketch_follows_edits():
     b = a.copy()
     b[rng.choice(300, 6, replace=False)] = 7
     turned = np.concatenate([a[150:], a[:150]])
-    same = lambda x, y: (D.sketch(x) == D.sketch(y)).mean()
+    sketch = lambda x: D.sketches(x, np.array([len(x)]))[0]
+    same = lambda x, y: (sketch(x) == sketch(y)).mean()
+    short = [a[:1], a[:3], a[:5], a[:7]]
+    together = D.sketches(np.concatenate([*short, a]), np.array([1, 3, 5, 7, 300]))
+    assert all((sketch(x) == y).all() for x, y in zip([*short, a], together))
     assert same(a, a) == 1 and same(a, b) > 0.5 > same(a, rng.permutation(a)) and same(a, turned) < 0.9

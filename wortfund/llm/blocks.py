@@ -15,9 +15,9 @@ from wortfund.llm.common import packed, part_bytes, pieces, quoted, spread_key,
 
 
 def in_blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int | None = None) -> tuple[DataFrame, int]:
-    """(row, block) and the number of blocks of about block_bytes of text, by default twice the session's
+    """(row, block) and the number of blocks of about block_bytes of text, by default the session's
     advisory partition size. The text stands in the row only, so that it is moved once."""
-    limit = block_bytes or 2 * part_bytes(df.sparkSession)
+    limit = block_bytes or part_bytes(df.sparkSession)
     blocks = pieces(df.sparkSession, text_bytes(df, text_col), limit)
     block = spread_key(quoted(id_col), quoted(text_col), parts=blocks)
     return df.select(packed(df), block.alias("block")).repartition(blocks, F.col("block")), blocks

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wortfund.llm.common import packed, quoted, stored, words
@@ -36,10 +36,13 @@ K, SIMILARITY = 5, 0.8
 SKETCHES, PICKS = 20, 2
 #: Bins of the word counts.
 BINS = 128
+#: Nodes to verify that are sent to every task: 100 bytes each.
+BROADCAST_ROWS = 200_000
 #: Members that one task compares with one another.
 CHUNK = 1024
 
 _ODD = np.random.default_rng(17).integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LAST = np.uint64(2**64 - 1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -49,69 +52,83 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _occurrences(x: np.ndarray) -> np.ndarray:
-    """For each value, how many equal ones stand before it."""
-    order = np.argsort(x, kind="stable")
-    s = x[order]
-    new = np.r_[True, s[1:] != s[:-1]]
-    out = np.empty(len(x), dtype=np.uint64)
-    at = np.arange(len(x))
+def _occurrences(doc: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """For each value, how many equal ones stand before it in its document."""
+    order = np.lexsort((x, doc))  # stable
+    s, d = x[order], doc[order]
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
+    out, at = np.empty(len(x), dtype=np.uint64), np.arange(len(x))
     out[order] = at - np.maximum.accumulate(np.where(new, at, 0))
     return out
 
 
-def sketch(word: np.ndarray) -> np.ndarray:
-    """The sketches of a text, from the hashes of its words."""
-    n = max(1, len(word) - K + 1)
-    w = np.concatenate([word, np.zeros(max(0, K - len(word)), dtype=np.uint64)])
-    kmer = np.zeros(n, dtype=np.uint64)
-    for i in range(K):
-        kmer = _mixed(kmer + w[i : i + n])
-    label = _mixed(kmer + _occurrences(kmer) * np.uint64(0x9E3779B97F4A7C15))
-    at = np.empty((SKETCHES, min(PICKS, n)), dtype=np.int64)
+def sketches(word: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The sketches (a row each) of texts of so many words, one or more each, from the hashes of their words."""
+    end, doc = np.cumsum(size), np.repeat(np.arange(len(size)), size)
+    kmer = np.zeros(len(word), dtype=np.uint64)
+    for k in range(K):
+        # words past the end of a short text count as zero
+        own = np.zeros(len(word), dtype=np.uint64)
+        rest = max(0, len(word) - k)
+        own[:rest] = np.where(doc[k:] == doc[:rest], word[k:], np.uint64(0))
+        kmer = _mixed(kmer + own)
+    count = np.maximum(1, size - K + 1)
+    start = end - size
+    valid = np.arange(len(word)) - start[doc] < count[doc]
+    label = _mixed(kmer[valid] + _occurrences(doc[valid], kmer[valid]) * np.uint64(0x9E3779B97F4A7C15))
+    begin = np.cumsum(count) - count
+    at = np.empty((len(size), SKETCHES, PICKS), dtype=np.int64)
     every = np.arange(SKETCHES)
-    step = max(1, 2**20 // n)  # sketches at a time, so that a very long text takes little memory
-    for j in range(0, SKETCHES, step):
-        h = label[None, :] * _ODD[j : j + step, None]
-        for k in range(at.shape[1]):
-            at[j : j + step, k] = h.argmin(axis=1)
-            h[np.arange(len(h)), at[j : j + step, k]] = np.uint64(2**64 - 1)
-    out = every.astype(np.uint64)
-    for k in np.sort(at, axis=1).T:
-        out = _mixed(out * np.uint64(31) + label[k])
+    for d, (a, n) in enumerate(zip(begin, count)):
+        step = max(1, 2**20 // n)  # sketches at a time, so that a very long text takes little memory
+        for j in range(0, SKETCHES, step):
+            h = label[None, a : a + n] * _ODD[j : j + step, None]
+            for k in range(PICKS):
+                least = h.argmin(axis=1)
+                at[d, j : j + step, k] = a + least
+                h[every[: len(h)], least] = _LAST
+    # a text with fewer k-mers than picks gives the same one again
+    at.sort(axis=2)
+    out = np.broadcast_to(every.astype(np.uint64), at.shape[:2])
+    for k in range(PICKS):
+        out = _mixed(out * np.uint64(31) + label[at[:, :, k]])
     return out.view(np.int64)
 
 
 def _signed(batches):
     for batch in batches:
-        flat, sketches, bags, sizes = batch["words"], [], [], []
+        flat = batch["words"]
         value = flat.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        offset = flat.offsets.to_numpy() - flat.offsets[0].as_py()
-        for a, b in zip(offset, offset[1:]):
-            sizes.append(b - a)
-            if a == b:
-                sketches.append(None)
-                bags.append(None)
-                continue
-            sketches.append(sketch(value[a:b]))
-            bags.append(np.minimum(np.bincount((value[a:b] % np.uint64(BINS)).astype(np.int64), minlength=BINS), 2**31 - 1).astype(np.int32).tobytes())
+        size = np.diff(flat.offsets.to_numpy())
+        full = size > 0
+        found = iter(sketches(value, size[full]))
+        ends = np.cumsum(size)
+        bins = (value % np.uint64(BINS)).astype(np.int64)
+        bags = [np.bincount(bins[e - n : e], minlength=BINS).astype(np.int32).tobytes() if n else None for e, n in zip(ends, size)]
         yield pa.record_batch(
-            [batch["id"], batch["node"], pa.array(np.asarray(sizes, dtype=np.int64)), pa.array(sketches, pa.list_(pa.int64())), pa.array(bags, pa.binary())],
+            [
+                batch["id"],
+                batch["node"],
+                pa.array(size.astype(np.int64)),
+                pa.array([next(found) if f else None for f in full], pa.list_(pa.int64())),
+                pa.array(bags, pa.binary()),
+            ],
             names=["id", "node", "n", "sketches", "bag"],
         )
 
 
-def node_of(text: Column) -> Column:
-    """The digest of the word sequence; of the text itself where it has no word. Null for null."""
-    sequence = F.array_join(words(text), " ")
-    return F.unhex(F.when(text.isNotNull(), F.md5(F.when(sequence == "", F.concat(F.lit(" "), text)).otherwise(sequence))))
+def _with_nodes(df: DataFrame) -> DataFrame:
+    """df with `w`, the words of its column `text`, and `node`: the digest of the word sequence, or of the text
+    itself where it has no word. Null for null."""
+    sequence = F.when(F.size("w") == 0, F.concat(F.lit(" "), F.col("text"))).otherwise(F.array_join("w", " "))
+    return df.withColumn("w", words(F.col("text"))).withColumn("node", F.unhex(F.when(F.col("text").isNotNull(), F.md5(sequence))))
 
 
 def signatures(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """(id, node, n words, sketches, bag) of every row."""
-    hashes = F.transform(words(quoted(text_col)), lambda w: F.xxhash64(w))
-    rows = df.select(quoted(id_col).cast("long").alias("id"), node_of(quoted(text_col)).alias("node"), hashes.alias("words"))
-    return rows.mapInArrow(_signed, "id long, node binary, n long, sketches array<long>, bag binary")
+    rows = _with_nodes(df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text")))
+    return rows.select("id", "node", F.transform("w", lambda w: F.xxhash64(w)).alias("words")).mapInArrow(_signed, "id long, node binary, n long, sketches array<long>, bag binary")
 
 
 def edit_distances(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
@@ -122,21 +139,24 @@ def edit_distances(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.
     n, m = np.array([len(a) for a, _ in pairs]), np.array([len(b) for _, b in pairs])
     out = np.full(len(pairs), band + 1, dtype=np.int64)
     big, width = 1 << 28, 2 * band + 1
-    left = np.full((len(pairs), n.max(initial=0)), -1, dtype=np.int64)
-    right = np.full((len(pairs), n.max(initial=0) + width), -2, dtype=np.int64)
+    left = np.full((len(pairs), n.max(initial=0)), -1, dtype=np.int32)
+    right = np.full((len(pairs), n.max(initial=0) + width), -2, dtype=np.int32)
     for p, (a, b) in enumerate(pairs):
         left[p, : len(a)] = a
         fits = b[: right.shape[1] - band]
         right[p, band : band + len(fits)] = fits
-    step = np.arange(width)
-    row = np.where(step >= band, step - band, big)[None, :].repeat(len(pairs), axis=0)
+    step = np.arange(width, dtype=np.int32)
+    row = np.where(step >= band, step - band, big).astype(np.int32)[None, :].repeat(len(pairs), axis=0)
     end = m - n + band
     inside = (end >= 0) & (end < width)
     for i in range(n.max(initial=0) + 1):
         if i:
-            below = np.concatenate([row[:, 1:], np.full((len(pairs), 1), big)], axis=1) + 1
-            row = np.minimum(row + (left[:, i - 1 : i] != right[:, i - 1 : i - 1 + width]), below)
-            row = np.minimum.accumulate(row - step, axis=1) + step
+            below = row[:, 1:] + 1
+            row = row + (left[:, i - 1 : i] != right[:, i - 1 : i - 1 + width])
+            np.minimum(row[:, :-1], below, out=row[:, :-1])
+            row -= step
+            np.minimum.accumulate(row, axis=1, out=row)
+            row += step
         ended = np.flatnonzero((n == i) & inside)
         out[ended] = np.minimum(row[ended, end[ended]], band + 1)
         if i % 64 == 63 and (row.min(axis=1) > band)[n > i].all():
@@ -164,13 +184,16 @@ def alike(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> list
     parts = [_numbered(a, b) for a, b in pairs]
     verdict = [False] * len(pairs)
     open_ = [p for p in range(len(pairs)) if abs(len(pairs[p][0]) - len(pairs[p][1])) <= allowed[p]]
-    band = 8
+    band = 16
     while open_:
         open_.sort(key=lambda p: len(parts[p][0]))
         later = []
-        many = max(1, 4096 // (2 * band + 1))
-        for at in range(0, len(open_), many):
-            some = open_[at : at + many]
+        many, at = max(1, 4096 // (2 * band + 1)), 0
+        while at < len(open_):
+            # pairs of about one length, side by side
+            top = 1.3 * len(parts[open_[at]][0]) + 32
+            some = [p for p in open_[at : at + many] if len(parts[p][0]) <= top]
+            at += len(some)
             for p, d in zip(some, edit_distances([parts[p] for p in some], band)):
                 if d <= min(band, allowed[p]):
                     verdict[p] = True
@@ -276,11 +299,7 @@ class _Graph:
     """The nodes' texts, the pairs tested so far, and the classes they make."""
 
     def __init__(self, df: DataFrame, nodes: DataFrame, id_col, text_col, similarity):
-        self.texts = df.select(
-            quoted(id_col).cast("long").alias("id"),
-            node_of(quoted(text_col)).alias("node"),
-            words(quoted(text_col)).alias("w"),
-        )
+        self.texts = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
         self.nodes, self.similarity, self.tested, self.labels = nodes, similarity, None, None
 
     def test(self, pairs: DataFrame) -> bool:
@@ -292,9 +311,13 @@ class _Graph:
         if new.isEmpty():
             return False
         wanted = new.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(self.nodes.select("node", "rep"), "node")
-        # one row of each node; rows that repeat id and text are alike, and so are their verdicts
-        same = (F.col("w.node") == F.col("t.node")) & F.col("w.rep").eqNullSafe(F.col("t.id"))
-        text = self.texts.alias("t").join(wanted.alias("w"), same).select("t.node", F.transform("t.w", lambda x: F.xxhash64(x)).alias("words"))
+        wanted = stored(wanted.select("rep", F.col("node").alias("wanted")), "wanted")
+        # few nodes go to the documents; beyond that, documents and nodes meet by id
+        small = wanted.count() <= BROADCAST_ROWS
+        text = stored(self.texts.join(F.broadcast(wanted) if small else wanted, F.col("id").eqNullSafe(F.col("rep"))), "found")
+        # one row of each node; an id may have other texts, and rows may be repeated. Stored before, so that the
+        # digests of all documents do not become a key of that join
+        text = _with_nodes(text).where("node = wanted").select("node", F.transform("w", lambda x: F.xxhash64(x)).alias("words"))
         text = stored(text.dropDuplicates(["node"]), "texts")
         both = new.join(text.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(
             text.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b"
@@ -373,8 +396,10 @@ def keep_one(df: DataFrame, id_col="doc_id", text_col="text", similarity: float
     Rows without a text all stay."""
     _, classes = near_duplicates(df, id_col, text_col, similarity)
     stay = classes.where("node = class_rep.node").select("node", F.col("class_rep.id").alias("id"))
-    rows = df.select(packed(df), quoted(id_col).cast("long").alias("id"), node_of(quoted(text_col)).alias("node"))
+    rows = _with_nodes(df.select(packed(df), quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text")))
+    # the partition number, which the window reads, keeps filters from being pushed below the digests and repeating them
+    rows = rows.select("row", "id", "node", F.spark_partition_id().alias("at"))
     kept = rows.alias("r").join(stay.alias("s"), (F.col("r.node") == F.col("s.node")) & F.col("r.id").eqNullSafe(F.col("s.id")), "left_semi")
-    first = Window.partitionBy("node", "id").orderBy(F.lit(0))
+    first = Window.partitionBy("node", "id").orderBy("at")
     kept = kept.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
-    return kept.unionByName(rows.where("node IS NULL").select("row.*"))
+    return kept.unionByName(df.where(quoted(text_col).isNull()))
