@@ -11,9 +11,9 @@
 5. Verified pairs are joined into classes by alternating large and small stars.
 
 Large groups: the members are first linked in chunks, each only to the centres of its chunk, which
-joins a group of copies at one link a member. What then still lies in different classes is compared
-in blocks, across the whole group: first the closest pair of each class, at last every pair that the
-bound leaves. So no group is held in one task, no pairs are emitted for a group that hangs together, and
+joins a group of copies at one link a member; only the groups of FIRST_SKETCHES are linked so. What then still
+lies in different classes is compared in blocks, across every whole group: first each member with its closest
+one, at last every pair that the bound leaves. So no group is held in one task, no pairs are emitted for a group that hangs together, and
 no link between classes is lost that shares a sketch.
 
 A null text is compared with nothing. Texts without words are copies if they are equal. Ties are broken
@@ -34,6 +34,8 @@ from wortfund.llm.common import packed, quoted, stored, words
 K, SIMILARITY = 5, 0.8
 #: Sketches of a text, and k-mers in each.
 SKETCHES, PICKS = 20, 2
+#: Sketches whose groups are linked first; the others only link what these leave in different classes.
+FIRST_SKETCHES = 3
 #: Bins of the word counts.
 BINS = 128
 #: Nodes to verify that are sent to every task: 100 bytes each.
@@ -250,19 +252,19 @@ def _centres(similarity: float):
 
 
 def _across(similarity: float, closest: bool):
-    """In a cell, pairs of different classes: of each minor member and class the closest one, or all."""
+    """In a cell, pairs of different classes: all, or each minor member with its closest in the largest class, if
+    it may be similar to one there, else with its closest in any."""
 
     def run(table: pa.Table) -> pa.Table:
         node, n, bag = table["node"].to_pylist(), table["n"].to_numpy(), _bags(table)
-        label, minor = table["label"].to_numpy(zero_copy_only=False), np.asarray(table["minor"])
+        label, minor, major = table["label"].to_numpy(zero_copy_only=False), np.asarray(table["minor"]), np.asarray(table["largest"])
         members, pairs = np.flatnonzero(~minor), []
         for i in np.flatnonzero(minor):
             hits = members[_possible(bag[i], bag[members], n[i], n[members], similarity)]
             hits = hits[label[hits] != label[i]]
             if closest and len(hits):
                 common = np.minimum(bag[i][None, :], bag[hits]).sum(axis=1)
-                order = np.lexsort((-common, label[hits]))
-                hits = hits[order[np.r_[True, label[hits][order][1:] != label[hits][order][:-1]]]]
+                hits = hits[np.lexsort((-common, ~major[hits]))[:1]]
             pairs += [(min(node[i], node[j]), max(node[i], node[j])) for j in hits]
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
 
@@ -302,14 +304,14 @@ class _Graph:
         self.texts = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
         self.nodes, self.similarity, self.tested, self.labels = nodes, similarity, None, None
 
-    def test(self, pairs: DataFrame) -> bool:
-        """Verify pairs not tested before; True if there were any."""
+    def test(self, pairs: DataFrame) -> None:
+        """Verify pairs not tested before, and join what they link."""
         new = pairs.distinct()
         if self.tested is not None:
             new = new.join(self.tested, ["a", "b"], "left_anti")
         new = stored(new, "pairs")
         if new.isEmpty():
-            return False
+            return
         wanted = new.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(self.nodes.select("node", "rep"), "node")
         wanted = stored(wanted.select("rep", F.col("node").alias("wanted")), "wanted")
         # few nodes go to the documents; beyond that, documents and nodes meet by id
@@ -326,7 +328,6 @@ class _Graph:
         done = stored(found, "verified")
         self.tested = done if self.tested is None else self.tested.unionByName(done)
         self.labels = components(self.tested.where("ok").select("a", "b"))
-        return True
 
 
 def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -335,21 +336,19 @@ def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", similarity:
     rows = stored(signatures(df, id_col, text_col), "signatures")
     info = rows.where("node IS NOT NULL").groupBy("node")
     nodes = stored(info.agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bag").alias("bag"), F.first("sketches").alias("sketches")), "nodes")
-    keyed = nodes.where("n > 0").select("node", F.explode("sketches").alias("s"))
-    groups = keyed.groupBy("s").agg(
+    keyed = nodes.where("n > 0").select("node", F.posexplode("sketches").alias("j", "s"))
+    groups = keyed.groupBy("j", "s").agg(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")
     )
-    groups = groups.where("size > 1").groupBy("size", "x", "y").agg(F.min("s").alias("s"))
+    groups = groups.where("size > 1").groupBy("size", "x", "y").agg(F.min(F.struct("j", "s")).alias("first")).select("size", "first.*")
     members = stored(
-        keyed.join(groups.select("s", "size"), "s").join(nodes.select("node", "n", "bag"), "node").select("s", "size", "node", "n", "bag"), "members"
+        keyed.join(groups, ["j", "s"]).join(nodes.select("node", "n", "bag"), "node").select("j", "s", "size", "node", "n", "bag"), "members"
     )
     graph = _Graph(df, nodes, id_col, text_col, similarity)
     chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK)).alias("chunk")
-    centred = members.select("s", chunk, "node", "n", "bag").groupBy("s", "chunk").applyInArrow(_centres(similarity), _PAIRS)
-    found = graph.test(centred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    centred = members.where(F.col("j") < FIRST_SKETCHES).select("s", chunk, "node", "n", "bag").groupBy("s", "chunk").applyInArrow(_centres(similarity), _PAIRS)
+    graph.test(centred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     for closest in (True, False):
-        if not found:
-            break
         graph.test(_open_pairs(members, graph.labels, similarity, closest))
     own = nodes.select("node", "rep")
     labelled = own.withColumn("label", F.col("node")) if graph.labels is None else own.join(graph.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -365,7 +364,7 @@ def _open_pairs(members: DataFrame, labels: DataFrame, similarity: float, closes
     The class with most members of a group is only compared with the others. These lie in blocks,
     all members in chunks; each block meets each chunk in a cell of its own.
     """
-    known = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    known = members.withColumn("label", F.col("node")) if labels is None else members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     by_class = known.groupBy("s", "label").agg(F.count("*").alias("k"))
     apart = by_class.groupBy("s").agg(F.count("*").alias("classes"), F.sum("k").alias("all"), F.max(F.struct("k", "label")).alias("most")).where("classes > 1")
     shape = apart.select(
@@ -377,7 +376,7 @@ def _open_pairs(members: DataFrame, labels: DataFrame, similarity: float, closes
     open_ = known.join(shape, "s")
     part = lambda n: F.pmod(F.xxhash64("node"), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    columns = ["s", "node", "n", "bag", "label"]
+    columns = ["s", "node", "n", "bag", "label", (F.col("label") == F.col("major")).alias("largest")]
     minors = open_.where("label != major").select(*columns, F.lit(True).alias("minor"), part(F.col("blocks")).alias("block"), every(F.col("chunks")).alias("chunk"))
     alls = open_.select(*columns, F.lit(False).alias("minor"), part(F.col("chunks")).alias("chunk"), every(F.col("blocks")).alias("block"))
     return minors.unionByName(alls).groupBy("s", "block", "chunk").applyInArrow(_across(similarity, closest), _PAIRS)
