@@ -1,10 +1,12 @@
 """Byte-pair encoding and decoding by a distinct-word table.
 
-Texts are split into the tokenizer's words (its pre-tokenizer's pieces, special tokens apart). The distinct words of
-each block of documents are sent to a table partitioned by their hash, where each distinct word is encoded
-once; the ids go back to the blocks and are joined to the words by position (see blocks.py). Merges never cross
-words, so the ids are those of encoding the whole text. Decoding joins each id with its piece, the
-vocabulary's bytes, and puts the pieces together in order.
+Spark splits the documents; each task splits its texts into the tokenizer's words (its pre-tokenizer's pieces, special
+tokens apart) and keeps a table of the distinct ones, each encoded once; the ids are joined to the words by position.
+Merges never cross words, so the ids are those of encoding the whole text. Decoding joins each id with its
+piece, the vocabulary's bytes, and puts the pieces together in order. There is no shuffle.
+
+One table for the whole input was built first: blocks of documents sent their distinct words to it by hash and got
+the ids back. It gave the same ids, but moved the texts: see the README for its figures.
 
 The vocabulary file's path is a parameter; its content (1 to 2 MB) goes to the tasks with the functions.
 
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wortfund.llm.blocks import in_blocks, looked_up
-from wortfund.llm.common import packed, quoted
+from wortfund.llm.common import packed, quoted, unpacked
 
 
 def vocabulary(path: str) -> str:
@@ -96,80 +98,33 @@ def _splitter(content: str) -> Splitter:
     return _HELD[key]
 
 
-def _entries(content: str, text_col: str, parts: int):
-    def run(table: pa.Table) -> pa.Table:
-        split, seen = _splitter(content).words, set()
-        for text in table["row"].combine_chunks().field(text_col):
-            seen.update(split(text.as_py()))
-        by_part: list[list[str]] = [[] for _ in range(parts)]
-        for word in sorted(seen):
-            by_part[zlib.crc32(word.encode("utf-8", "surrogatepass")) % parts].append(word)
-        block = table["block"][0].as_py()
-        some = [p for p in range(parts) if by_part[p]]
-        return pa.table(
-            {
-                "block": pa.array([block] * len(some), pa.int32()),
-                "part": pa.array(some, pa.int32()),
-                "words": pa.array([by_part[p] for p in some], pa.list_(pa.string())),
-            }
-        )
-
-    return run
-
-
-def _table(content: str):
-    def run(table: pa.Table) -> pa.Table:
-        """A part of the distinct-word table: each word is encoded once, for all blocks."""
-        column = table["words"].combine_chunks()
-        distinct = column.flatten().dictionary_encode()
-        ids = _splitter(content).encode(distinct.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter((i for w in ids for i in w), dtype=np.int32, count=int(lengths.sum()))
-        start = np.concatenate([[0], np.cumsum(lengths)])
-        at, offset = distinct.indices.to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
-        out_ids, out_lengths = [], []
-        for a, b in zip(offset, offset[1:]):
-            own = at[a:b]
-            n = lengths[own]
-            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            out_ids.append(flat[np.repeat(start[own], n) + inner])
-            out_lengths.append(n.astype(np.int32))
-        kind = pa.list_(pa.int32())
-        return pa.table({"block": table["block"], "part": table["part"], "words": table["words"], "ids": pa.array(out_ids, kind), "lengths": pa.array(out_lengths, kind)})
-
-    return run
+#: Words in a task's table, at most; beyond that it starts anew.
+TABLE_WORDS = 500_000
 
 
-def _joined(content: str, text_col: str):
-    def run(docs: pa.Table, got: pa.Table) -> pa.Table:
-        split = _splitter(content).words
-        words = [w for part in got["words"].to_pylist() for w in part]
-        flat = lambda c: got[c].combine_chunks().flatten().to_numpy() if len(got) else np.empty(0, dtype=np.int32)
-        ids, lengths = flat("ids"), flat("lengths").astype(np.int64)
-        start = np.cumsum(lengths) - lengths
-        number = {w: i for i, w in enumerate(words)}
-        encoded = []
-        for text in docs["row"].combine_chunks().field(text_col):
-            own = np.array([number[w] for w in split(text.as_py())], dtype=np.int64)
-            n = lengths[own]
-            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            encoded.append(ids[np.repeat(start[own], n) + inner])
-        return pa.table({"row": docs["row"].combine_chunks(), "ids": pa.array(encoded, pa.list_(pa.int32()))})
+def _encoded(content: str, text_col: str):
+    def run(batches):
+        splitter, table = _splitter(content), {}
+        for batch in batches:
+            out = []
+            for text in batch["row"].field(text_col):
+                own = splitter.words(text.as_py())
+                new = [w for w in dict.fromkeys(own) if w not in table]
+                if new:
+                    table.update(zip(new, splitter.encode(new)))
+                out.append(np.fromiter(chain.from_iterable(map(table.__getitem__, own)), dtype=np.int32))
+                if len(table) > TABLE_WORDS:
+                    table.clear()
+            yield pa.record_batch([batch["row"], pa.array(out, pa.list_(pa.int32()))], names=["row", "ids"])
 
     return run
 
 
-def encode(df: DataFrame, content: str, id_col="doc_id", text_col="text", ids_col="ids", block_bytes: int | None = None) -> DataFrame:
+def encode(df: DataFrame, content: str, text_col="text", ids_col="ids") -> DataFrame:
     """df with `ids`, the token ids of the text, special tokens' strings as their ids. content: vocabulary(path)."""
-    docs, blocks = in_blocks(df, id_col, text_col, block_bytes)
-    kept = T.StructType([docs.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    out = looked_up(
-        docs, blocks, _entries(content, text_col, blocks), "block int, part int, words array<string>",
-        _table(content), "block int, part int, words array<string>, ids array<int>, lengths array<int>",
-        _joined(content, text_col), kept,
-    )
-    fields = [f.name for f in out.schema["row"].dataType.fields if f.name.lower() != ids_col.lower()]
-    return out.select(*[F.col("row")[f].alias(f) for f in fields], F.col("ids").alias(ids_col))
+    rows = df.select(packed(df))
+    out = rows.mapInArrow(_encoded(content, text_col), T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return out.select(*unpacked(out, ids_col), F.col("ids").alias(ids_col))
 
 
 def _pieces(pieces: list[bytes]):
