@@ -59,6 +59,8 @@ def write_index(spark, sf_dir, layout):
         lists.default_stopwords(spark),
         layout,
         scratch_path(spark, f"bench-{layout}"),
+        "word",
+        buckets=64,
     )
 
 

@@ -124,25 +124,26 @@ def test_layouts_convert_into_each_other(spark):
     assert as_dict(again) == expected
 
 
-@pytest.mark.parametrize("limit", [1, 7, 50])
-def test_long_words_spread_over_rows_and_stay_whole(spark, limit):
+@pytest.mark.parametrize("docids", [1, 7, 50])
+def test_chunks_are_ranges_of_docids(spark, docids):
     texts = corpus()
     expected = brute_force(texts)
     postings = I.index_postings(articles(spark, texts), stop(spark, "x"))
-    rows = I.index_by_term(postings, max_postings=limit).collect()
+    rows = I.index_by_term(postings, docids).collect()
     found = {(r.word, e.docid): list(e.occurences) for r in rows for e in r.inv_index}
     assert found == expected
     assert sum(len(r.inv_index) for r in rows) == len(expected)
-    per_word = defaultdict(int)
-    for word, _ in expected:
-        per_word[word] += 1
-    for word, n in per_word.items():
-        parts = [r for r in rows if r.word == word]
-        assert len({r.chunk for r in parts}) == len(parts) <= -(-n // limit)
-        if n <= limit:
-            assert [r.chunk for r in parts] == [0]
-        elif n > 4 * limit:
-            assert max(len(r.inv_index) for r in parts) < n
+    assert len(rows) == len({(w, d // docids) for w, d in expected})
+    for r in rows:
+        assert {e.docid // docids for e in r.inv_index} == {r.chunk}
+        assert [e.docid for e in r.inv_index] == sorted(e.docid for e in r.inv_index)
+
+
+def test_chunk_of_any_docid(spark):
+    ids = [-(2**63) + 10, -7, -1, 0, 6, 7, 2**53 + 1, 2**63 - 1]
+    rows = spark.createDataFrame([(i,) for i in ids], "docid long")
+    found = [r.c for r in rows.select(I.chunk_of(F.col("docid"), 7).alias("c")).collect()]
+    assert found == [i // 7 for i in ids]
 
 
 def test_merge_of_partial_indexes(spark):
@@ -156,7 +157,7 @@ def test_merge_of_partial_indexes(spark):
     assert as_dict(I.by_term_to_postings(I.index_merge(parts))) == expected
     by_term = [I.index_by_term(part, 7) for part in parts]
     merged = I.merge_by_term(by_term)
-    assert merged.count() == len({w for w, _ in expected})
+    assert merged.count() == len({(w, d // 7) for w, d in expected})
     assert as_dict(I.by_term_to_postings(merged)) == expected
 
 
@@ -171,10 +172,12 @@ def test_postings_and_positions_need_no_shuffle(spark):
         assert "Python" not in plan
 
 
-def test_by_term_moves_the_postings_once(spark):
-    postings = spark.createDataFrame([], schemas.POSTINGS)
-    plan = plan_of(I.index_by_term(postings))
-    assert "partial_collect_list" in plan and "partial_count" in plan
+def test_by_term_reads_and_moves_the_postings_once(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    scan = documents.selectExpr("doc_id AS docid", "text AS wikitext")
+    plan = plan_of(jobs.build_index(scan, lists.default_stopwords(spark), "by_term"), "simple")
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("documents.parquet") == 1
 
 
 def test_unknown_layout(spark):
@@ -211,21 +214,21 @@ def test_upsert_reduces_before_its_shuffle(spark):
     assert "partial_max" in plan and "LeftAnti" in plan
 
 
-def test_long_words_in_a_table_make_one_shuffle(spark, tmp_path):
-    postings = I.index_postings(articles(spark, corpus()), stop(spark, "x"))
-    postings.write.parquet(str(tmp_path / "postings"))
-    stored = spark.read.parquet(str(tmp_path / "postings"))
-    I.long_words(stored, 7).write.parquet(str(tmp_path / "long"))
-    long = spark.read.parquet(str(tmp_path / "long"))
-    by_term = I.index_by_term(stored, 7, long)
-    plan = plan_of(by_term, "simple")
-    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
-    assert as_dict(I.by_term_to_postings(by_term)) == brute_force(corpus())
-    assert by_term.count() > 21
+def test_merge_job(spark, tmp_path):
+    texts, none = corpus(), stop(spark, "x")
+    parts = [str(tmp_path / "a"), str(tmp_path / "b")]
+    for part, some in zip(parts, (texts[::2], texts[1::2])):
+        I.index_by_term(I.index_postings(articles(spark, some), none), 50).write.parquet(part)
+    path = str(tmp_path / "all")
+    jobs.merge_index(spark, parts, path, 2)
+    rows = spark.read.parquet(path)
+    expected = brute_force(texts)
+    assert as_dict(I.by_term_to_postings(rows)) == expected
+    assert rows.count() == len({(w, d // 50) for w, d in expected})
 
 
 def test_by_term_job(spark, tmp_path):
     path = str(tmp_path / "index")
-    jobs.write_index(articles(spark, corpus()), stop(spark, "wa"), "by_term", path, buckets=2)
+    jobs.write_index(articles(spark, corpus()), stop(spark, "wa"), "by_term", path, "word", 2)
     found = as_dict(I.by_term_to_postings(spark.read.parquet(path)))
     assert found == brute_force(corpus(), {"wa"})

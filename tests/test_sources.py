@@ -137,7 +137,7 @@ def test_ingest_then_index(spark, dump, tmp_path):
     articles = jobs.articles_from_dump(spark, dump)
     for layout in schemas.LAYOUTS:
         path = str(tmp_path / layout)
-        jobs.write_index(articles, lists.default_stopwords(spark), layout, path, buckets=4)
+        jobs.write_index(articles, lists.default_stopwords(spark), layout, path, "word", 4)
         index = spark.read.parquet(path)
         # "mehr" is a stop word.
         assert sorted(r.word for r in index.collect()) == ["alan", "fett"]
@@ -242,11 +242,3 @@ def test_default_stopwords(spark):
     assert len(words) == len(set(words)) < 200
     assert {"der", "und", "000", "7"} <= set(words)
     assert lists.default_stopwords(spark).count() == len(words)
-
-
-def test_small_scans_are_dealt_out_and_large_ones_left_alone(spark):
-    scan = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    assert S.spread(scan).rdd.getNumPartitions() == 2 * cores
-    many = scan.repartition(cores)
-    assert S.spread(many) is many

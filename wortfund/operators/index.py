@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from wortfund.functions.markup import bind
 from wortfund.functions.tokens import build_index_keys, tokenize_display
 
-# Most postings that one by-term row holds.
-MAX_POSTINGS = 200_000
+# Width of a chunk of the by-term layout, in docids. It belongs to the layout: tables that are to be
+# merged need the same one. A row holds at most so many postings.
+CHUNK_DOCIDS = 200_000
 
 
 def token_positions(articles: DataFrame) -> DataFrame:
@@ -76,10 +77,10 @@ def index_positions(articles: DataFrame, stopwords: DataFrame) -> DataFrame:
     )
 
 
-def long_words(postings: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
-    """(word, chunks) of the words with more than `max_postings` postings.
+def long_words(postings: DataFrame, max_postings: int = CHUNK_DOCIDS) -> DataFrame:
+    """(word, chunks) of the words with more than `max_postings` postings: a report, no layout uses it.
 
-    Counts are combined before their shuffle. At most one word in `max_postings` postings is in.
+    Counts are combined before their shuffle.
     """
     return (
         postings.groupBy("word")
@@ -89,37 +90,37 @@ def long_words(postings: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFra
     )
 
 
-def index_by_term(
-    postings: DataFrame, max_postings: int = MAX_POSTINGS, long: DataFrame | None = None
-) -> DataFrame:
-    """Layout "by term": per word the list of (docid, occurences), ordered by docid.
+def chunk_of(docid: Column, docids: int = CHUNK_DOCIDS) -> Column:
+    """floor(docid / docids) in whole numbers: the chunk depends on the docid alone."""
+    width = F.lit(docids).cast("long")
+    return F.call_function("div", docid - F.pmod(docid, width), width)
 
-    A word with more than `max_postings` postings is spread over several rows by a hash of the
-    docid, so that no task and no row has to hold all of it; nothing is left out.
 
-    `long` takes the long words as a stored table. Spark then knows their size and can broadcast
-    them, and the postings move once; otherwise it may have to join by shuffle first.
+def index_by_term(postings: DataFrame, docids: int = CHUNK_DOCIDS) -> DataFrame:
+    """Layout "by term": per word and chunk of docids the list of (docid, occurences), by docid.
+
+    A row holds at most `docids` postings, whatever the word, so no task and no row has to hold a
+    whole hot word. Chunks follow each other in docid order, and every load has the same keys. The
+    postings are read once and move once.
     """
-    if long is None:
-        long = long_words(postings, max_postings)
-    chunk = F.when(F.col("chunks").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64("docid"), F.col("chunks")).cast("int")
-    )
-    return (
-        postings.join(long, "word", "left")
-        .groupBy("word", chunk.alias("chunk"))
-        .agg(F.sort_array(F.collect_list(F.struct("docid", "occurences"))).alias("inv_index"))
+    return postings.groupBy("word", chunk_of(F.col("docid"), docids).alias("chunk")).agg(
+        F.sort_array(F.collect_list(F.struct("docid", "occurences"))).alias("inv_index")
     )
 
 
-def index_merge(parts: list[DataFrame], max_postings: int = MAX_POSTINGS) -> DataFrame:
+def index_merge(parts: list[DataFrame], docids: int = CHUNK_DOCIDS) -> DataFrame:
     """Several partial indexes in layout "postings" -> one index in layout "by term"."""
-    return index_by_term(reduce(DataFrame.unionByName, parts), max_postings)
+    return index_by_term(reduce(DataFrame.unionByName, parts), docids)
 
 
-def merge_by_term(parts: list[DataFrame], max_postings: int = MAX_POSTINGS) -> DataFrame:
-    """The same for partial indexes that are already in layout "by term"."""
-    return index_merge([by_term_to_postings(part) for part in parts], max_postings)
+def merge_by_term(parts: list[DataFrame]) -> DataFrame:
+    """The same for partial indexes that are already in layout "by term", with chunks of one width.
+
+    Rows of one word and chunk are put together as they are; no list is taken apart.
+    """
+    rows = reduce(DataFrame.unionByName, [p.select("word", "chunk", "inv_index") for p in parts])
+    lists = F.flatten(F.collect_list("inv_index"))
+    return rows.groupBy("word", "chunk").agg(F.sort_array(lists).alias("inv_index"))
 
 
 def postings_to_positions(postings: DataFrame) -> DataFrame:
@@ -137,12 +138,12 @@ def by_term_to_postings(by_term: DataFrame) -> DataFrame:
     return by_term.select("word", F.inline("inv_index")).select("word", "docid", "occurences")
 
 
-def postings_to_by_term(postings: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
-    return index_by_term(postings, max_postings)
+def postings_to_by_term(postings: DataFrame, docids: int = CHUNK_DOCIDS) -> DataFrame:
+    return index_by_term(postings, docids)
 
 
-def positions_to_by_term(positions: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
-    return index_by_term(positions_to_postings(positions), max_postings)
+def positions_to_by_term(positions: DataFrame, docids: int = CHUNK_DOCIDS) -> DataFrame:
+    return index_by_term(positions_to_postings(positions), docids)
 
 
 def by_term_to_positions(by_term: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wortfund.operators.index import CHUNK_DOCIDS
 from wortfund.sources.buckets import prune_to_key, prune_to_keys
 
 
@@ -31,9 +32,12 @@ def lookup_doc_words(index: DataFrame, docid: int) -> DataFrame:
     return lookup_equals(index, "docid", docid)
 
 
-def lookup_doc_words_by_term(by_term: DataFrame, docid: int) -> DataFrame:
-    """By-term rows that hold the document at any place of their list."""
-    return by_term.where(F.array_contains(F.col("inv_index.docid"), F.lit(docid).cast("long")))
+def lookup_doc_words_by_term(
+    by_term: DataFrame, docid: int, docids: int = CHUNK_DOCIDS
+) -> DataFrame:
+    """By-term rows that hold the document at any place of their list; only its chunk is read."""
+    own = F.col("chunk") == F.lit(docid // docids).cast("long")
+    return by_term.where(own & F.array_contains(F.col("inv_index.docid"), F.lit(docid).cast("long")))
 
 
 def lookup_word_docs(index: DataFrame, word: str) -> DataFrame:

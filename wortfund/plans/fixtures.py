@@ -11,7 +11,7 @@ from wortfund.plans import jobs
 from wortfund.session import scratch_path
 from wortfund.sources.buckets import write_bucketed
 from wortfund.sources.lists import default_stopwords
-from wortfund.sources.tables import read_table, spread
+from wortfund.sources.tables import read_table
 
 TITLE_PATTERN = "<title>(.*?)</title>"
 
@@ -48,8 +48,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_paths: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """Path of a table that `write(path)` makes once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _paths:
+        path = scratch_path(spark, name)
+        write(path)
+        _paths[key] = path
+    return _paths[key]
+
+
+def in_files(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Some columns of a given table, from a copy of 64 files.
+
+    A given table may lie in one Parquet row group, which one task would read.
+    """
+    rows = table(spark, sf_dir, name).select(*columns)
+    path = stored(spark, sf_dir, f"{name}-files", lambda p: rows.repartition(64).write.parquet(p))
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return in_files(spark, sf_dir, "documents", "doc_id", "text").select(
         F.col("doc_id").alias("docid"),
         F.concat(F.lit("T"), F.col("doc_id").cast("string")).alias("title"),
         F.col("text").alias("wikitext"),
@@ -57,7 +80,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select(
+    return in_files(spark, sf_dir, "pages", "page_id", "html").select(
         F.col("page_id").alias("docid"),
         F.regexp_extract("html", TITLE_PATTERN, 1).alias("title"),
         F.col("html").alias("wikitext"),
@@ -68,10 +91,10 @@ def markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     for found, put in MARKUP:
         text = F.replace(text, F.lit(found), F.lit(put))
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    documents = in_files(spark, sf_dir, "documents", "doc_id", "text").select(
         F.col("doc_id").alias("docid"), F.concat(text, F.lit(MARKUP_END)).alias("body")
     )
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html")).select(
+    pages = in_files(spark, sf_dir, "pages", "page_id", "html").select(
         (-1 - F.col("page_id")).alias("docid"), F.col("html").alias("body")
     )
     return documents.unionByName(pages)
@@ -87,19 +110,6 @@ def xml_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_paths: dict[tuple, str] = {}
-
-
-def stored(spark: SparkSession, sf_dir: str, name: str, write) -> str:
-    """Path of a table that `write(path)` makes once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _paths:
-        path = scratch_path(spark, name)
-        write(path)
-        _paths[key] = path
-    return _paths[key]
-
-
 def stored_index(spark: SparkSession, sf_dir: str, layout: str, column: str = "word") -> DataFrame:
     """The index of `documents`, read back from a table bucketed by `column`."""
 
@@ -113,6 +123,6 @@ def stored_index(spark: SparkSession, sf_dir: str, layout: str, column: str = "w
 def stored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The articles, read back from a table bucketed by docid."""
     path = stored(
-        spark, sf_dir, "articles", lambda p: write_bucketed(articles(spark, sf_dir), p, "docid")
+        spark, sf_dir, "articles", lambda p: write_bucketed(articles(spark, sf_dir), p, "docid", 16)
     )
     return read_table(spark, path)

@@ -1,6 +1,5 @@
 """The three jobs: ingest a dump, build an index, run the lookups."""
 
-from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +8,9 @@ from pyspark.sql import functions as F
 from wortfund.operators import index as I
 from wortfund.operators import lookup as L
 from wortfund.operators.clean import clean_article, filter_namespace, project_article
-from wortfund.schemas import POSTINGS
-from wortfund.session import drop_scratch, scratch_path
+from wortfund.schemas import BY_TERM
 from wortfund.sources import tables as S
-from wortfund.sources.buckets import BUCKETS, write_bucketed
+from wortfund.sources.buckets import write_bucketed
 from wortfund.sources.xml_dump import scan_xml_pages
 
 
@@ -26,7 +24,7 @@ def ingest(spark: SparkSession, dump: str, target: str | None = None, kind="parq
 
 
 def build_index(articles: DataFrame, stopwords: DataFrame, layout: str) -> DataFrame:
-    """One layout as a lazy DataFrame; `stored_by_term` is the way for large by-term indexes."""
+    """One layout as a lazy DataFrame."""
     if layout == "postings":
         return I.index_postings(articles, stopwords)
     if layout == "positions":
@@ -36,43 +34,21 @@ def build_index(articles: DataFrame, stopwords: DataFrame, layout: str) -> DataF
     raise ValueError(f"unknown index layout: {layout}")
 
 
-@contextmanager
-def stored_by_term(postings: DataFrame):
-    """The by-term layout over scratch tables, for the time of the block.
-
-    The layout reads its postings twice, to count and to gather, so they are tokenized once; and
-    with the long words in a table, Spark knows their size before it plans the large shuffle.
-    """
-    spark = postings.sparkSession
-    scratch = scratch_path(spark, "by-term")
-    try:
-        postings.write.parquet(f"{scratch}/postings")
-        postings = spark.read.schema(POSTINGS).parquet(f"{scratch}/postings")
-        I.long_words(postings).write.parquet(f"{scratch}/long")
-        long = spark.read.schema("word string, chunks int").parquet(f"{scratch}/long")
-        yield I.index_by_term(postings, long=long)
-    finally:
-        drop_scratch(spark, scratch)
-
-
 def write_index(
-    articles: DataFrame,
-    stopwords: DataFrame,
-    layout: str,
-    path: str,
-    column: str = "word",
-    buckets: int = BUCKETS,
+    articles: DataFrame, stopwords: DataFrame, layout: str, path: str, column: str, buckets: int
 ) -> None:
-    """Build an index and append it to a table bucketed by `column`.
+    """Build an index and append it to a table bucketed by `column` in so many folders.
 
     By `word` the table serves word lookups from one folder; a second copy by `docid` does the
-    same for document lookups.
+    same for document lookups. A further by-term part goes in by `merge_index`.
     """
-    if layout == "by_term":
-        with stored_by_term(I.index_postings(articles, stopwords)) as index:
-            write_bucketed(index, path, column, buckets)
-    else:
-        write_bucketed(build_index(articles, stopwords, layout), path, column, buckets)
+    write_bucketed(build_index(articles, stopwords, layout), path, column, buckets)
+
+
+def merge_index(spark: SparkSession, parts: list[str], path: str, buckets: int) -> None:
+    """Merge stored by-term indexes into a new one at `path`, one row per word and chunk."""
+    index = I.merge_by_term([spark.read.schema(BY_TERM).parquet(part) for part in parts])
+    write_bucketed(index, path, "word", buckets, "errorifexists")
 
 
 def append_index(
@@ -83,12 +59,8 @@ def append_index(
     **options,
 ) -> None:
     """Build the layout that the target keeps and append it there under the target's names."""
-    if S.INDEX_LAYOUTS[kind] == "by_term":
-        with stored_by_term(I.index_postings(articles, stopwords)) as index:
-            S.append_table(S.to_target_index(index, kind), target, kind, **options)
-    else:
-        index = build_index(articles, stopwords, S.INDEX_LAYOUTS[kind])
-        S.append_table(S.to_target_index(index, kind), target, kind, **options)
+    index = build_index(articles, stopwords, S.INDEX_LAYOUTS[kind])
+    S.append_table(S.to_target_index(index, kind), target, kind, **options)
 
 
 def run_lookups(

@@ -147,11 +147,11 @@ def postings(source: str = POSITIONS) -> str:
 POSTINGS = postings()
 
 
-def by_term(source: str = POSTINGS) -> str:
+def by_term(source: str = POSTINGS, docids: int = 200_000) -> str:
     return (
-        "SELECT word, CAST(0 AS INTEGER) AS chunk, "
+        f"SELECT word, CAST((docid - ((docid % {docids}) + {docids}) % {docids}) // {docids} AS BIGINT) AS chunk, "
         "string_agg(docid || ':' || occurences, ';' ORDER BY docid) AS inv_index "
-        f"FROM ({source}) GROUP BY word"
+        f"FROM ({source}) GROUP BY ALL"
     )
 
 

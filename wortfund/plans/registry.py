@@ -414,11 +414,17 @@ def long_words(spark, sf_dir):
 
 @query("index_by_term_in_chunks", O.POSTINGS)
 def index_by_term_in_chunks(spark, sf_dir):
-    """Rows of about 50 postings at most; their postings are all there."""
+    """Rows of 50 postings at most; their postings are all there."""
     by_term = I.index_by_term(X.stored_index(spark, sf_dir, "postings"), 50)
     return show_postings(I.by_term_to_postings(by_term))
 
 
+@query("index_by_term_ranges", O.by_term(docids=50))
+def index_by_term_ranges(spark, sf_dir):
+    """The rows themselves: a chunk holds 50 docids."""
+    return show_by_term(I.index_by_term(X.stored_index(spark, sf_dir, "postings"), 50))
+
+
 _SECOND_PART = f"SELECT -1 - docid AS docid, wikitext FROM ({O.PAGE_ARTICLES})"
 _MERGED_POSTINGS = (
     f"{O.POSTINGS} UNION ALL {O.postings(O.positions(_SECOND_PART, 'wikitext'))}"
@@ -441,6 +447,20 @@ def index_merge_by_term(spark, sf_dir):
     return show_by_term(I.merge_by_term(parts))
 
 
+@query("merge_index", O.by_term(_MERGED_POSTINGS, 50))
+def merge_index(spark, sf_dir):
+    """Two stored by-term indexes, with words and chunks in common, merged into a third."""
+    paths = [scratch_path(spark, "by-term-part") for _ in range(2)]
+    first, second = _two_parts(spark, sf_dir)
+    # the first part is cut across its chunks, so that both parts hold rows of one word and chunk
+    odd = F.col("docid") % 2 == 1
+    I.index_by_term(first.where(odd), 50).write.parquet(paths[0])
+    I.index_by_term(second.unionByName(first.where(~odd)), 50).write.parquet(paths[1])
+    path = scratch_path(spark, "merged-index")
+    jobs.merge_index(spark, paths, path, 16)
+    return show_by_term(S.read_table(spark, path))
+
+
 @query("layout_convert", O.POSTINGS)
 def layout_convert(spark, sf_dir):
     """Positions -> postings -> by term -> postings."""
@@ -510,7 +530,8 @@ def lookup_doc_words_positions(spark, sf_dir):
 
 @query(
     "lookup_doc_words_by_term",
-    f"SELECT * FROM ({O.BY_TERM}) WHERE word IN (SELECT word FROM ({O.POSTINGS}) WHERE docid = 7)",
+    f"SELECT * FROM ({O.BY_TERM}) WHERE chunk = 0 "
+    f"AND word IN (SELECT word FROM ({O.POSTINGS}) WHERE docid = 7)",
 )
 def lookup_doc_words_by_term(spark, sf_dir):
     return show_by_term(

@@ -43,12 +43,11 @@ POSITIONS = T.StructType(
     ]
 )
 
-# Index layout "by term": one row per word. A word with more postings than one row should hold
-# is spread over several rows, told apart by `chunk`.
+# Index layout "by term": one row per word and chunk of docids (chunk: docid / width, rounded down).
 BY_TERM = T.StructType(
     [
         T.StructField("word", T.StringType(), False),
-        T.StructField("chunk", T.IntegerType(), False),
+        T.StructField("chunk", T.LongType(), False),
         T.StructField(
             "inv_index",
             T.ArrayType(

@@ -9,16 +9,12 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 64
-
 
 def bucket_of(value: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(value), F.lit(n)).cast("int")
 
 
-def write_bucketed(
-    df: DataFrame, path: str, column: str, n: int = BUCKETS, mode: str = "append"
-) -> None:
+def write_bucketed(df: DataFrame, path: str, column: str, n: int, mode: str = "append") -> None:
     """Write `df` in `n` folders by the hash of `column`, each file sorted by it.
 
     The rebalance hint lets Spark cut a folder whose rows are too many for one task into several

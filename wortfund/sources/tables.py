@@ -75,18 +75,6 @@ def jdbc_index_types() -> dict:
     return {"createTableColumnTypes": "word VARCHAR(65)"}
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal out a scan that comes in fewer pieces than there are cores; leave any other alone.
-
-    Tokenizing and cleaning cost far more than moving the compressed text once, and a small table
-    may lie in one Parquet row group. A table of many files is not shuffled.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(2 * cores)
-
-
 def typed_columns(df: DataFrame, schema) -> DataFrame:
     """Pick and cast the columns of a fixed schema by name; other columns are not read."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -105,7 +93,7 @@ def append_articles(articles: DataFrame, path: str | None = None, kind="parquet"
 
 
 def to_mongodb_index(by_term: DataFrame) -> DataFrame:
-    """By-term rows with MongoDB's field names. `_id` is unique: long words carry their chunk."""
+    """By-term rows with MongoDB's field names. `_id` is unique: chunks but 0 are told apart."""
     key = F.when(F.col("chunk") == 0, F.col("word")).otherwise(
         F.concat_ws("#", "word", F.col("chunk").cast("string"))
     )
@@ -124,7 +112,7 @@ def from_mongodb_index(rows: DataFrame) -> DataFrame:
     parts = F.split("_id", "#")
     return rows.select(
         parts[0].alias("word"),
-        F.coalesce(F.get(parts, F.lit(1)).cast("int"), F.lit(0)).alias("chunk"),
+        F.coalesce(F.get(parts, F.lit(1)).cast("long"), F.lit(0)).alias("chunk"),
         F.col("invIndex")
         .cast("array<struct<docid: bigint, occurences: array<int>>>")
         .alias("inv_index"),
