@@ -180,12 +180,32 @@ def _numbered(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return number[: len(a)], number[len(a) :]
 
 
+def _may_align(x: np.ndarray, y: np.ndarray, allowed: int) -> bool | None:
+    """What bounds say of the edit distance of two texts as small numbers, None if they leave it open.
+
+    It is no more than the words of the longer one, or than the places in which equally long ones differ; it
+    is no less than the words of the longer one that have no partner in the other, wherever it stands.
+    """
+    longer = max(len(x), len(y))
+    if longer <= allowed or (len(x) == len(y) and np.count_nonzero(x != y) <= allowed):
+        return True
+    kinds = 1 + max(x.max(initial=0), y.max(initial=0))
+    common = np.minimum(np.bincount(x, minlength=kinds), np.bincount(y, minlength=kinds)).sum()
+    return None if longer - common <= allowed else False
+
+
 def alike(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> list[bool]:
     """Whether each pair is within 1 - similarity of the longer one's words."""
     allowed = [int((1 - similarity) * max(len(a), len(b)) + 1e-9) for a, b in pairs]
-    parts = [_numbered(a, b) for a, b in pairs]
-    verdict = [False] * len(pairs)
-    open_ = [p for p in range(len(pairs)) if abs(len(pairs[p][0]) - len(pairs[p][1])) <= allowed[p]]
+    verdict, parts, open_ = [False] * len(pairs), {}, []
+    for p, (a, b) in enumerate(pairs):
+        if abs(len(a) - len(b)) <= allowed[p]:
+            x, y = _numbered(a, b)
+            bound = _may_align(x, y, allowed[p])
+            verdict[p] = bool(bound)
+            if bound is None:
+                parts[p] = x, y
+                open_.append(p)
     band = 16
     while open_:
         open_.sort(key=lambda p: len(parts[p][0]))
@@ -196,10 +216,11 @@ def alike(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> list
             top = 1.3 * len(parts[open_[at]][0]) + 32
             some = [p for p in open_[at : at + many] if len(parts[p][0]) <= top]
             at += len(some)
-            for p, d in zip(some, edit_distances([parts[p] for p in some], band)):
-                if d <= min(band, allowed[p]):
+            own = min(band, max(allowed[p] for p in some))
+            for p, d in zip(some, edit_distances([parts[p] for p in some], own)):
+                if d <= min(own, allowed[p]):
                     verdict[p] = True
-                elif d > band and band < allowed[p]:
+                elif d > own and own < allowed[p]:
                     later.append(p)
         open_, band = later, band * 4
     return verdict
