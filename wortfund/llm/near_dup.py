@@ -255,30 +255,63 @@ def _bags(table: pa.Table) -> np.ndarray:
 _PAIRS = "a binary, b binary"
 
 
+def _in_groups(keys: list[str], pairs_of):
+    """pairs_of(columns of a group) for each run of equal keys in sorted rows. Many small groups share a batch;
+    what is held besides is the last group, as far as it has come."""
+
+    def pairs_in(table: pa.Table, cuts: np.ndarray):
+        node, n, bag = table["node"].to_pylist(), table["n"].to_numpy(), _bags(table)
+        more = [table[c].to_numpy(zero_copy_only=False) for c in table.column_names if c not in (*keys, "node", "n", "bag")]
+        found = []
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a > 1:
+                found += pairs_of(node[a:b], n[a:b], bag[a:b], *[c[a:b] for c in more])
+        ends = list(zip(*found)) or [(), ()]
+        return pa.record_batch([pa.array(x, pa.binary()) for x in ends], names=["a", "b"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            if not len(table):
+                continue
+            key = np.stack([table[k].to_numpy() for k in keys])
+            cuts = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1])
+            held = table.slice(int(cuts[-1]))
+            yield pairs_in(table.slice(0, int(cuts[-1])), cuts)
+        if held is not None:
+            yield pairs_in(held, np.array([0, len(held)]))
+
+    return run
+
+
+def _paired(rows: DataFrame, keys: list[str], pairs_of) -> DataFrame:
+    """(a, b) of all groups; a group's rows come by n and node."""
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "n", "node").mapInArrow(_in_groups(keys, pairs_of), _PAIRS)
+
+
 def _centres(similarity: float):
     """In a chunk, every member is paired with the first centre it may be similar to, or is a new centre."""
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("n", "ascending"), ("node", "ascending")])
-        node, n, bag = table["node"].to_pylist(), table["n"].to_numpy(), _bags(table)
+    def pairs_of(node, n, bag):
         free, pairs = np.arange(len(node)), []
         while len(free):
             rest = free[1:]
             can = _possible(bag[free[0]], bag[rest], n[free[0]], n[rest], similarity)
             pairs += [(node[free[0]], node[i]) for i in rest[can]]
             free = rest[~can]
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
+        return pairs
 
-    return run
+    return pairs_of
 
 
 def _across(similarity: float, closest: bool):
     """In a cell, pairs of different classes: all, or each minor member with its closest in the largest class, if
     it may be similar to one there, else with its closest in any."""
 
-    def run(table: pa.Table) -> pa.Table:
-        node, n, bag = table["node"].to_pylist(), table["n"].to_numpy(), _bags(table)
-        label, minor, major = table["label"].to_numpy(zero_copy_only=False), np.asarray(table["minor"]), np.asarray(table["largest"])
+    def pairs_of(node, n, bag, label, major, minor):
         members, pairs = np.flatnonzero(~minor), []
         for i in np.flatnonzero(minor):
             hits = members[_possible(bag[i], bag[members], n[i], n[members], similarity)]
@@ -287,9 +320,9 @@ def _across(similarity: float, closest: bool):
                 common = np.minimum(bag[i][None, :], bag[hits]).sum(axis=1)
                 hits = hits[np.lexsort((-common, ~major[hits]))[:1]]
             pairs += [(min(node[i], node[j]), max(node[i], node[j])) for j in hits]
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
+        return pairs
 
-    return run
+    return pairs_of
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -367,7 +400,8 @@ def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", similarity:
     )
     graph = _Graph(df, nodes, id_col, text_col, similarity)
     chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK)).alias("chunk")
-    centred = members.where(F.col("j") < FIRST_SKETCHES).select("s", chunk, "node", "n", "bag").groupBy("s", "chunk").applyInArrow(_centres(similarity), _PAIRS)
+    first = members.where(F.col("j") < FIRST_SKETCHES).select("s", chunk, "node", "n", "bag")
+    centred = _paired(first, ["s", "chunk"], _centres(similarity))
     graph.test(centred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     for closest in (True, False):
         graph.test(_open_pairs(members, graph.labels, similarity, closest))
@@ -400,7 +434,8 @@ def _open_pairs(members: DataFrame, labels: DataFrame, similarity: float, closes
     columns = ["s", "node", "n", "bag", "label", (F.col("label") == F.col("major")).alias("largest")]
     minors = open_.where("label != major").select(*columns, F.lit(True).alias("minor"), part(F.col("blocks")).alias("block"), every(F.col("chunks")).alias("chunk"))
     alls = open_.select(*columns, F.lit(False).alias("minor"), part(F.col("chunks")).alias("chunk"), every(F.col("blocks")).alias("block"))
-    return minors.unionByName(alls).groupBy("s", "block", "chunk").applyInArrow(_across(similarity, closest), _PAIRS)
+    cells = minors.unionByName(alls).select("s", "block", "chunk", "node", "n", "bag", "label", "largest", "minor")
+    return _paired(cells, ["s", "block", "chunk"], _across(similarity, closest))
 
 
 def classify(df: DataFrame, id_col="doc_id", text_col="text", similarity: float = SIMILARITY) -> DataFrame:
