@@ -240,5 +240,5 @@ def test_a_key_that_is_no_number_fails(spark, tmp_path):
 def test_default_stopwords(spark):
     words = lists.default_stopword_list()
     assert len(words) == len(set(words)) < 200
-    assert {"der", "und", "000", "7"} <= set(words)
+    assert {"der", "und", "über"} <= set(words)
     assert lists.default_stopwords(spark).count() == len(words)
