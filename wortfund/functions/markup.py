@@ -1,6 +1,7 @@
 """Cleaning steps as Column -> Column. Each runs in the JVM, over the whole text."""
 
 import json
+from functools import partial
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +23,40 @@ def _rule_table(rules) -> Column:
     )
 
 
+def _up_to_last(text: Column, literal: Column, use) -> Column:
+    """`use` on the text up to its last `literal`, then the rest as it is.
+
+    For what ends with the literal: no match begins behind the last one, and without the rest no
+    opening there is followed to the end of the text in vain.
+    """
+
+    def split(t):
+        tail = F.call_function("substring_index", t, literal, F.lit(-1))
+        return F.struct(t.alias("text"), tail.alias("tail"))
+
+    def joined(s):
+        head = F.left(s["text"], F.length(s["text"]) - F.length(s["tail"]))
+        return F.concat(use(head), s["tail"])
+
+    return bind(bind(text, split), joined)
+
+
+def apply_closed_rules(text: Column, rules) -> Column:
+    """The rules one after another, for patterns that end with their literal."""
+    return F.aggregate(
+        _rule_table(rules),
+        text,
+        lambda done, rule: F.when(
+            F.contains(done, rule["literal"]),
+            _up_to_last(
+                done,
+                rule["literal"],
+                lambda head: F.regexp_replace(head, rule["pattern"], rule["replacement"]),
+            ),
+        ).otherwise(done),
+    )
+
+
 def apply_rules(text: Column, rules) -> Column:
     """Run the rules one after another, each only on a text that holds its literal."""
     return F.aggregate(
@@ -51,7 +86,11 @@ def apply_element_rules(text: Column, rules) -> Column:
         lambda done, rule: F.when(
             F.array_contains(done["closings"], rule["literal"]),
             bind(
-                F.regexp_replace(done["text"], rule["pattern"], rule["replacement"]),
+                _up_to_last(
+                    done["text"],
+                    rule["literal"],
+                    lambda head: F.regexp_replace(head, rule["pattern"], rule["replacement"]),
+                ),
                 _with_closings,
             ),
         ).otherwise(done),
@@ -59,27 +98,27 @@ def apply_element_rules(text: Column, rules) -> Column:
     )
 
 
-def _until_stable(text: Column, literal: str, pattern: str, replacement: str) -> Column:
-    """Replace until a pass changes nothing.
+def _until_stable(text: Column, literal: str, used: str, replace) -> Column:
+    """`replace` until a pass changes nothing, for texts that hold the literal.
 
-    Each pass that changes something uses up one `literal`, so their number bounds the passes.
-    Once the text is stable, what is left of them costs a look at a flag.
+    Each pass that changes something uses up two characters `used` and makes none, so their number
+    bounds the passes. Once the text is stable, what is left of them costs a look at a flag.
     """
 
     def one_pass(state, _):
         return F.when(state["stable"], state).otherwise(
             bind(
-                F.regexp_replace(state["text"], F.lit(pattern), F.lit(replacement)),
+                replace(state["text"]),
                 lambda new: F.struct(new.alias("text"), (new == state["text"]).alias("stable")),
             )
         )
 
     def clean(t):
-        passes = F.length(t) - F.length(F.replace(t, F.lit(literal), F.lit(literal[1:])))
+        passes = (F.length(t) - F.length(F.replace(t, F.lit(used), F.lit("")))) / 2 + 1
         return F.when(
             F.contains(t, F.lit(literal)),
             F.aggregate(
-                F.sequence(F.lit(1), passes),
+                F.sequence(F.lit(1), passes.cast("int")),
                 F.struct(t.alias("text"), F.lit(False).alias("stable")),
                 one_pass,
                 lambda state: state["text"],
@@ -91,15 +130,16 @@ def _until_stable(text: Column, literal: str, pattern: str, replacement: str) ->
 
 def clean_templates(text: Column) -> Column:
     """`{{...}}` -> marker, innermost first."""
-    return _until_stable(text, "}", R.TEMPLATE_PATTERN, R.TEMPLATE_MARKER)
+    pattern, marker = F.lit(R.TEMPLATE_PATTERN), F.lit(R.TEMPLATE_MARKER)
+    return _until_stable(text, "}}", "}", lambda t: F.regexp_replace(t, pattern, marker))
 
 
 def clean_wiki_tables(text: Column) -> Column:
-    return apply_rules(text, R.WIKI_TABLE_RULES)
+    return apply_closed_rules(text, R.WIKI_TABLE_RULES)
 
 
 def clean_drop_tags(text: Column) -> Column:
-    text = apply_rules(text, R.COMMENT_RULES)
+    text = apply_closed_rules(text, R.COMMENT_RULES)
     text = apply_element_rules(text, R.DROP_ELEMENT_RULES)
     return apply_rules(text, R.DROP_TAG_RULES)
 
@@ -108,18 +148,53 @@ def clean_keep_tags(text: Column) -> Column:
     return apply_element_rules(text, R.KEEP_ELEMENT_RULES)
 
 
-def _innermost(tag: str) -> str:
-    # The content is taken in runs and never given back (possessive), so that a long element
-    # needs no stack. It ends before the first closing tag and holds no element of its own;
-    # nor do the attributes hold an opening tag.
-    opening = f"{tag}(?:>| (?:[^<>]++|<(?!{tag}[> ]))*+>)"
-    return f"(?s)<{opening}((?:[^<]++|<(?!/{tag}>|{opening}.*?</{tag}>))*+)</{tag}>"
+def _without_innermost(text: Column, tag: str) -> Column:
+    """One pass: the elements of a name that hold none of their own lose their tags.
+
+    Only openings that a closing tag follows count, so the text before the last closing tag is cut
+    at its openings. A piece that holds a closing tag is the end of an innermost element: its
+    opening and the first closing tag in it go. Every step is one scan.
+    """
+    closing = f"</{tag}>"
+    # The attributes hold no opening tag, and are never given back (possessive).
+    opening = F.lit(f"<{tag}(?:>| (?:[^<>]++|<(?!{tag}[> ]))*+>)")
+
+    def cut(t):
+        tail = F.substring_index(t, closing, -1)
+        body = F.left(t, F.length(t) - F.length(tail) - len(closing))
+        return bind(
+            F.struct(body.alias("body"), tail.alias("tail")),
+            lambda s: F.struct(
+                F.split(s["body"], opening, -1).alias("pieces"),
+                F.regexp_extract_all(s["body"], opening, F.lit(0)).alias("openings"),
+                s["tail"].alias("tail"),
+            ),
+        )
+
+    def closed(piece, at, openings):
+        whole = F.concat(F.coalesce(F.get(openings, at - 1), F.lit("")), piece)
+        inner = F.overlay(piece, F.lit(""), F.instr(piece, F.lit(closing)), F.lit(len(closing)))
+        return F.when((at > 0) & F.contains(piece, F.lit(closing)), inner).otherwise(whole)
+
+    def joined(s):
+        last = F.size(s["openings"])
+        pieces = F.transform(
+            s["pieces"],
+            lambda piece, at: bind(
+                F.when(at == last, F.concat(piece, F.lit(closing))).otherwise(piece),
+                lambda p: closed(p, at, s["openings"]),
+            ),
+        )
+        return F.concat(F.array_join(pieces, ""), s["tail"])
+
+    return F.when(F.contains(text, F.lit(closing)), bind(cut(text), joined)).otherwise(text)
 
 
 def clean_nested_tags(text: Column) -> Column:
     """Self-nesting elements: tags go from the inside out, content stays."""
     for tag in R.NESTED_TAGS:
-        text = _until_stable(text, f"</{tag}>", _innermost(tag), "$1")
+        replace = partial(_without_innermost, tag=tag)
+        text = _until_stable(text, f"</{tag}>", ">", replace)
     return text
 
 
