@@ -13,7 +13,7 @@
 Large groups: the members are first linked in chunks, each only to the centres of its chunk, which
 joins a group of copies at one link a member; only the groups of FIRST_SKETCHES are linked so. What then still
 lies in different classes is compared in blocks, across every whole group: first each member with its closest
-one, at last every pair that the bound leaves. So no group is held in one task, no pairs are emitted for a group that hangs together, and
+one, at last every pair that the bound leaves, taken over FINE_BINS bins. So no group is held in one task, no pairs are emitted for a group that hangs together, and
 no link between classes is lost that shares a sketch.
 
 A null text is compared with nothing. Texts without words are copies if they are equal. Ties are broken
@@ -36,8 +36,8 @@ K, SIMILARITY = 5, 0.8
 SKETCHES, PICKS = 20, 2
 #: Sketches whose groups are linked first; the others only link what these leave in different classes.
 FIRST_SKETCHES = 3
-#: Bins of the word counts.
-BINS = 128
+#: Bins of the word counts, and of those that are taken before every pair that is left is compared.
+BINS, FINE_BINS = 128, 2048
 #: Nodes to verify that are sent to every task: 100 bytes each.
 BROADCAST_ROWS = 200_000
 #: Members that one task compares with one another.
@@ -239,28 +239,39 @@ def _verify(similarity: float):
     return run
 
 
-def _possible(one: np.ndarray, rows: np.ndarray, n_one, n_rows, similarity: float) -> np.ndarray:
-    """Which rows may be similar to one: equal words are no more than the bins have in common."""
+def _possible(one: np.ndarray, rows: np.ndarray, n_one, n_rows, similarity: float, spare=None) -> np.ndarray:
+    """Which rows may be similar to one: equal words are no more than the bins have in common, and the `spare`
+    words that both have beyond full bins."""
     longer = np.maximum(n_one, n_rows)
     can = np.minimum(n_one, n_rows) >= similarity * longer - 1e-9
     hits = np.flatnonzero(can)
-    can[hits] = np.minimum(one[None, :], rows[hits]).sum(axis=1) >= similarity * longer[hits] - 1e-9
+    common = np.minimum(one[None, :], rows[hits]).sum(axis=1, dtype=np.int64)
+    if spare is not None:
+        common += spare[hits]
+    can[hits] = common >= similarity * longer[hits] - 1e-9
     return can
 
 
-def _bags(table: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(table["bag"].to_pylist()), dtype=np.int32).reshape(-1, BINS)
+def _fine(batches):
+    """(node, bag): the words of a node in FINE_BINS bins of a byte each; a full bin counts no further."""
+    for batch in batches:
+        bags = []
+        for words in batch["words"]:
+            bins = (words.values.to_numpy().view(np.uint64) % np.uint64(FINE_BINS)).astype(np.int64)
+            bags.append(np.minimum(np.bincount(bins, minlength=FINE_BINS), 255).astype(np.uint8).tobytes())
+        yield pa.record_batch([batch["node"], pa.array(bags, pa.binary())], names=["node", "bag"])
 
 
 _PAIRS = "a binary, b binary"
 
 
-def _in_groups(keys: list[str], pairs_of):
+def _in_groups(keys: list[str], pairs_of, count=np.int32):
     """pairs_of(columns of a group) for each run of equal keys in sorted rows. Many small groups share a batch;
     what is held besides is the last group, as far as it has come."""
 
     def pairs_in(table: pa.Table, cuts: np.ndarray):
-        node, n, bag = table["node"].to_pylist(), table["n"].to_numpy(), _bags(table)
+        node, n = table["node"].to_pylist(), table["n"].to_numpy()
+        bag = np.frombuffer(b"".join(table["bag"].to_pylist()), dtype=count).reshape(len(node), BINS if count == np.int32 else FINE_BINS)
         more = [table[c].to_numpy(zero_copy_only=False) for c in table.column_names if c not in (*keys, "node", "n", "bag")]
         found = []
         for a, b in zip(cuts, cuts[1:]):
@@ -287,9 +298,9 @@ def _in_groups(keys: list[str], pairs_of):
     return run
 
 
-def _paired(rows: DataFrame, keys: list[str], pairs_of) -> DataFrame:
+def _paired(rows: DataFrame, keys: list[str], pairs_of, count=np.int32) -> DataFrame:
     """(a, b) of all groups; a group's rows come by n and node."""
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "n", "node").mapInArrow(_in_groups(keys, pairs_of), _PAIRS)
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "n", "node").mapInArrow(_in_groups(keys, pairs_of, count), _PAIRS)
 
 
 def _centres(similarity: float):
@@ -313,8 +324,9 @@ def _across(similarity: float, closest: bool):
 
     def pairs_of(node, n, bag, label, major, minor):
         members, pairs = np.flatnonzero(~minor), []
+        theirs, spare = bag[members], n - bag.sum(axis=1, dtype=np.int64)
         for i in np.flatnonzero(minor):
-            hits = members[_possible(bag[i], bag[members], n[i], n[members], similarity)]
+            hits = members[_possible(bag[i], theirs, n[i], n[members], similarity, np.minimum(spare[i], spare[members]))]
             hits = hits[label[hits] != label[i]]
             if closest and len(hits):
                 common = np.minimum(bag[i][None, :], bag[hits]).sum(axis=1)
@@ -358,6 +370,18 @@ class _Graph:
         self.texts = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
         self.nodes, self.similarity, self.tested, self.labels = nodes, similarity, None, None
 
+    def words(self, nodes: DataFrame) -> DataFrame:
+        """(node, words) of distinct nodes, the words as hashes."""
+        wanted = nodes.join(self.nodes.select("node", "rep"), "node")
+        wanted = stored(wanted.select("rep", F.col("node").alias("wanted")), "wanted")
+        # few nodes go to the documents; beyond that, documents and nodes meet by id
+        small = wanted.count() <= BROADCAST_ROWS
+        text = stored(self.texts.join(F.broadcast(wanted) if small else wanted, F.col("id").eqNullSafe(F.col("rep"))), "found")
+        # one row of each node; an id may have other texts, and rows may be repeated. Stored before, so that the
+        # digests of all documents do not become a key of that join
+        text = _with_nodes(text).where("node = wanted").select("node", F.transform("w", lambda x: F.xxhash64(x)).alias("words"))
+        return stored(text.dropDuplicates(["node"]), "texts")
+
     def test(self, pairs: DataFrame) -> None:
         """Verify pairs not tested before, and join what they link."""
         new = pairs.distinct()
@@ -366,15 +390,7 @@ class _Graph:
         new = stored(new, "pairs")
         if new.isEmpty():
             return
-        wanted = new.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(self.nodes.select("node", "rep"), "node")
-        wanted = stored(wanted.select("rep", F.col("node").alias("wanted")), "wanted")
-        # few nodes go to the documents; beyond that, documents and nodes meet by id
-        small = wanted.count() <= BROADCAST_ROWS
-        text = stored(self.texts.join(F.broadcast(wanted) if small else wanted, F.col("id").eqNullSafe(F.col("rep"))), "found")
-        # one row of each node; an id may have other texts, and rows may be repeated. Stored before, so that the
-        # digests of all documents do not become a key of that join
-        text = _with_nodes(text).where("node = wanted").select("node", F.transform("w", lambda x: F.xxhash64(x)).alias("words"))
-        text = stored(text.dropDuplicates(["node"]), "texts")
+        text = self.words(new.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = new.join(text.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(
             text.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b"
         )
@@ -404,7 +420,7 @@ def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", similarity:
     centred = _paired(first, ["s", "chunk"], _centres(similarity))
     graph.test(centred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     for closest in (True, False):
-        graph.test(_open_pairs(members, graph.labels, similarity, closest))
+        graph.test(_open_pairs(members, graph, similarity, closest))
     own = nodes.select("node", "rep")
     labelled = own.withColumn("label", F.col("node")) if graph.labels is None else own.join(graph.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), F.col("node").alias("node")))
@@ -413,12 +429,14 @@ def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", similarity:
     return rows.select("id", "node"), classes
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, similarity: float, closest: bool) -> DataFrame:
+def _open_pairs(members: DataFrame, graph: _Graph, similarity: float, closest: bool) -> DataFrame:
     """Pairs that may be similar, of members of a group that lie in different classes so far.
 
     The class with most members of a group is only compared with the others. These lie in blocks,
-    all members in chunks; each block meets each chunk in a cell of its own.
+    all members in chunks; each block meets each chunk in a cell of its own. Where every pair is wanted, their
+    words are read again for finer bins: these leave far fewer pairs of long texts.
     """
+    labels, count = graph.labels, np.int32
     known = members.withColumn("label", F.col("node")) if labels is None else members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     by_class = known.groupBy("s", "label").agg(F.count("*").alias("k"))
     apart = by_class.groupBy("s").agg(F.count("*").alias("classes"), F.sum("k").alias("all"), F.max(F.struct("k", "label")).alias("most")).where("classes > 1")
@@ -429,13 +447,17 @@ def _open_pairs(members: DataFrame, labels: DataFrame, similarity: float, closes
         F.ceil(F.col("all") / CHUNK).alias("chunks"),
     )
     open_ = known.join(shape, "s")
+    if not closest:
+        open_ = stored(open_, "open")
+        fine = graph.words(open_.select("node").distinct()).mapInArrow(_fine, "node binary, bag binary")
+        open_, count = open_.drop("bag").join(stored(fine, "fine"), "node"), np.uint8
     part = lambda n: F.pmod(F.xxhash64("node"), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     columns = ["s", "node", "n", "bag", "label", (F.col("label") == F.col("major")).alias("largest")]
     minors = open_.where("label != major").select(*columns, F.lit(True).alias("minor"), part(F.col("blocks")).alias("block"), every(F.col("chunks")).alias("chunk"))
     alls = open_.select(*columns, F.lit(False).alias("minor"), part(F.col("chunks")).alias("chunk"), every(F.col("blocks")).alias("block"))
     cells = minors.unionByName(alls).select("s", "block", "chunk", "node", "n", "bag", "label", "largest", "minor")
-    return _paired(cells, ["s", "block", "chunk"], _across(similarity, closest))
+    return _paired(cells, ["s", "block", "chunk"], _across(similarity, closest), count)
 
 
 def classify(df: DataFrame, id_col="doc_id", text_col="text", similarity: float = SIMILARITY) -> DataFrame:
