@@ -9,7 +9,10 @@ return the columns of documents.
 - secrets: each is replaced in the text by its kind; no document goes.
 - mixing: the rows in the mixed order of their sources, as the files and the rows in them follow each other;
   none goes.
-- byte-pair encoding: the digest columns of query op10 for every document.
+- byte-pair encoding: the digest columns of query op10 for every document, and `mix_position`, its place in the
+  mixed order: what it has in the files of the stage before.
+
+run() returns the digest columns in the mixed order; run_placed() has the place as a column.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return tokens_of(docs, bpe.vocabulary(vocabulary_path()))
+    return tokens_of(mixing.placed(docs), bpe.vocabulary(vocabulary_path()), "mix_position")
 
 
 STAGES = [
@@ -53,8 +56,12 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
     return docs
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_placed(spark, sf_dir).orderBy("mix_position").drop("mix_position")

@@ -14,10 +14,11 @@ A column of the input named like a new one is replaced.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wortfund.llm.common import packed, quoted, unpacked
+from wortfund.llm.common import packed, quoted, stored, unpacked
 
 #: Sources, and parts of a period, at most: the plan, one row a source, is broadcast.
 MAX_SOURCES, MAX_PARTS = 1_000, 20_000
@@ -152,3 +153,21 @@ def in_order(df: DataFrame, **options) -> DataFrame:
     """The rows of df, as they are, in the mixed order: sorted by ranges, so files follow each other."""
     mixed = mix(df, **options)
     return mixed.orderBy("mix_position").select(*[quoted(c) for c in df.columns])
+
+
+def placed(df: DataFrame, place_col="mix_position") -> DataFrame:
+    """df, reread from the files that in_order's rows were written to, with the place of each row in them, from 0:
+    files follow each other by their part numbers, rows by their index. A table that is in no files is written first."""
+    try:
+        df.select(df.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        df = stored(df, "placed")
+    file = df.metadataColumn("_metadata")
+    rows = df.select(packed(df), file["file_path"].alias("file"), file["row_index"].alias("at"))
+    number = lambda pattern: F.regexp_extract("file", pattern, 1).try_cast("long")
+    # a row a file
+    files = df.select(file["file_path"].alias("file"), file["row_index"].alias("at")).groupBy("file").agg((F.max("at") + 1).alias("n"))
+    follow = Window.orderBy(number(r"part-(\d+)[^/]*$"), number(r"-c(\d+)\.[^/]*$"), "file").rowsBetween(Window.unboundedPreceding, -1)
+    before = files.select("file", F.coalesce(F.sum("n").over(follow), F.lit(0)).alias("before"))
+    out = rows.join(F.broadcast(before), "file")
+    return out.select(*unpacked(out, place_col), (F.col("before") + F.col("at")).alias(place_col))

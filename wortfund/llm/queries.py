@@ -114,15 +114,17 @@ def _digests(batches):
                 pa.array([len(x) for x in ids], pa.int64()),
                 pa.array([sha(x.tobytes()) for x in ids]),
                 pa.array([sha(x.encode()) for x in batch["decoded"].to_pylist()]),
+                *batch.columns[3:],
             ],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *batch.schema.names[3:]],
         )
 
 
-def tokens_of(docs: DataFrame, content: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), content), content)
-    return coded.select("doc_id", "ids", "decoded").mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def tokens_of(docs: DataFrame, content: str, *more: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, and its columns `more`, which are whole numbers."""
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text", *more), content), content)
+    columns = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(f", {c} long" for c in more)
+    return coded.select("doc_id", "ids", "decoded", *more).mapInArrow(_digests, columns)
 
 
 def vocabulary_path() -> str:
