@@ -36,6 +36,15 @@ def test_against_brute_force(spark, monkeypatch):
     assert run(spark, rows) == brute([r[:2] for r in rows], lambda i: i % 10 == 0, 5, 256)
 
 
+def test_repeated_query_rows(spark, monkeypatch):
+    """Own rows with the highest scores, more of them than k."""
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 128)
+    rows = vectors(500, 4)
+    rows = [(i, [4 * c for c in v], s) if i % 10 == 0 else (i, v, s) for i, v, s in rows]
+    rows += [r for r in rows if r[0] % 10 == 0 for _ in range(2 + r[0] % 40 // 5)]
+    assert run(spark, rows) == brute([r[:2] for r in rows], lambda i: i % 10 == 0, 5, 256)
+
+
 def test_ties(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 32)
     rows = [(i, [float(i % 3), 1.0], "x") for i in range(200)]

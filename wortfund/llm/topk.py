@@ -48,8 +48,12 @@ def _exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.array([[int(a) for a in row] for row in q], dtype=object) @ np.array([[int(a) for a in row] for row in x], dtype=object).T
 
 
-def no_random_access(q: np.ndarray, x: np.ndarray, k: int) -> tuple[list[np.ndarray], int]:
-    """For each query, places of the candidates that can be among its k best; and the list entries read."""
+def no_random_access(q: np.ndarray, x: np.ndarray, k: int, own: np.ndarray | None = None) -> tuple[list[np.ndarray], int]:
+    """For each query, places of the candidates that can be among its k best; and the list entries read.
+
+    own [query, candidate]: candidates that are rows of the query itself. They take no place of the k best; they can
+    still be among the places.
+    """
     n, dims = x.shape
     if n <= FEW * k or not dims or np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * dims >= _EXACT:
         return [np.arange(n)] * len(q), n * dims * len(q)
@@ -69,6 +73,8 @@ def no_random_access(q: np.ndarray, x: np.ndarray, k: int) -> tuple[list[np.ndar
         read += 2 * depth * dims
         lower = u @ np.where(high, x, floor_up).T + d @ np.where(low, x, floor_down).T
         upper = u @ np.where(high, x, top).T + d @ np.where(low, x, bottom).T
+        if own is not None:
+            lower[own[open_]] = upper[own[open_]] = -np.inf
         kth = np.partition(lower, n - k, axis=1)[:, n - k]
         can = upper >= kth[:, None]
         few = can.sum(axis=1) <= FEW * k
@@ -90,8 +96,8 @@ def _cell(k: int, scale: int):
         if len(q) and len(x):
             for at in range(0, len(q), 256):
                 some = q[at : at + 256]
-                # a query's own row may stand among its best
-                for i, places in enumerate(no_random_access(some, x, k + 1)[0]):
+                # a query's own rows, however many, may stand among its best
+                for i, places in enumerate(no_random_access(some, x, k, qid[at : at + 256, None] == xid[None, :])[0]):
                     own = qid[at + i]
                     score = _exact_scores(some[i : i + 1], x[places])[0]
                     keep = xid[places] != own
