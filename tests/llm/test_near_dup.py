@@ -134,6 +134,31 @@ def test_odd_and_empty(spark, odd, empty):
     assert D.classify(empty).count() == 0 == D.keep_one(empty).count()
 
 
+def test_one_id_on_many_texts(spark, monkeypatch):
+    """Rows without an id, or all with one: each wanted text is found by itself, and the classes are right."""
+    found, store = [], D.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        if name == "found":
+            found.append(out.count())
+        return out
+
+    monkeypatch.setattr(D, "stored", counted)
+    texts = make(n=15)
+    least = classes(texts)
+    for doc_id in (None, 7):
+        # one row of each class has an id of its own, the others share one or have none
+        rows = [(1000 + i if least[i] == i else doc_id, t) for i, t in enumerate(texts)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        found.clear()
+        kept = D.keep_one(df).collect()
+        assert found and max(found) <= len(texts)
+        assert len(kept) == len(set(least))
+        if doc_id is None:
+            assert sorted(r.doc_id for r in kept) == sorted(1000 + i for i in set(least))
+
+
 def test_sketch_follows_edits():
     rng = np.random.default_rng(2)
     a = rng.integers(0, 2**63, 300, dtype=np.uint64)

@@ -111,12 +111,13 @@ def _signed(batches):
         yield pa.record_batch(
             [
                 batch["id"],
+                batch["key"],
                 batch["node"],
                 pa.array(size.astype(np.int64)),
                 pa.array([next(found) if f else None for f in full], pa.list_(pa.int64())),
                 pa.array(bags, pa.binary()),
             ],
-            names=["id", "node", "n", "sketches", "bag"],
+            names=["id", "key", "node", "n", "sketches", "bag"],
         )
 
 
@@ -127,10 +128,16 @@ def _with_nodes(df: DataFrame) -> DataFrame:
     return df.withColumn("w", words(F.col("text"))).withColumn("node", F.unhex(F.when(F.col("text").isNotNull(), F.md5(sequence))))
 
 
+def _key(text: str):
+    """A narrow key of a text."""
+    return F.xxhash64(text).alias("key")
+
+
 def signatures(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """(id, node, n words, sketches, bag) of every row."""
+    """(id, key of the text, node, n words, sketches, bag) of every row."""
     rows = _with_nodes(df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text")))
-    return rows.select("id", "node", F.transform("w", lambda w: F.xxhash64(w)).alias("words")).mapInArrow(_signed, "id long, node binary, n long, sketches array<long>, bag binary")
+    rows = rows.select("id", _key("text"), "node", F.transform("w", lambda w: F.xxhash64(w)).alias("words"))
+    return rows.mapInArrow(_signed, "id long, key long, node binary, n long, sketches array<long>, bag binary")
 
 
 def edit_distances(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
@@ -367,18 +374,20 @@ class _Graph:
     """The nodes' texts, the pairs tested so far, and the classes they make."""
 
     def __init__(self, df: DataFrame, nodes: DataFrame, id_col, text_col, similarity):
-        self.texts = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
+        self.texts = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text")).select("*", _key("text"))
         self.nodes, self.similarity, self.tested, self.labels = nodes, similarity, None, None
 
     def words(self, nodes: DataFrame) -> DataFrame:
         """(node, words) of distinct nodes, the words as hashes."""
-        wanted = nodes.join(self.nodes.select("node", "rep"), "node")
-        wanted = stored(wanted.select("rep", F.col("node").alias("wanted")), "wanted")
-        # few nodes go to the documents; beyond that, documents and nodes meet by id
+        wanted = nodes.join(self.nodes.select("node", "rep", "rep_key"), "node")
+        wanted = stored(wanted.select("rep", "rep_key", F.col("node").alias("wanted")), "wanted")
+        # few nodes go to the documents; beyond that, documents and nodes meet by id and text: an id, or null, may
+        # stand on many rows with other texts
         small = wanted.count() <= BROADCAST_ROWS
-        text = stored(self.texts.join(F.broadcast(wanted) if small else wanted, F.col("id").eqNullSafe(F.col("rep"))), "found")
-        # one row of each node; an id may have other texts, and rows may be repeated. Stored before, so that the
-        # digests of all documents do not become a key of that join
+        same = (F.col("key") == F.col("rep_key")) & F.col("id").eqNullSafe(F.col("rep"))
+        text = stored(self.texts.join(F.broadcast(wanted) if small else wanted, same), "found")
+        # one row of each node; rows may be repeated, and the key is a hash. Stored before, so that the digests of
+        # all documents do not become a key of that join
         text = _with_nodes(text).where("node = wanted").select("node", F.transform("w", lambda x: F.xxhash64(x)).alias("words"))
         return stored(text.dropDuplicates(["node"]), "texts")
 
@@ -405,7 +414,10 @@ def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", similarity:
     class_id is the least id of the class, class_rep the (id, node) that stands for it."""
     rows = stored(signatures(df, id_col, text_col), "signatures")
     info = rows.where("node IS NOT NULL").groupBy("node")
-    nodes = stored(info.agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bag").alias("bag"), F.first("sketches").alias("sketches")), "nodes")
+    # id and text of one and the same row: the least id, null only where there is no other
+    rep = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("of")
+    info = info.agg(rep, F.first("n").alias("n"), F.first("bag").alias("bag"), F.first("sketches").alias("sketches"))
+    nodes = stored(info.select("node", F.col("of.id").alias("rep"), F.col("of.key").alias("rep_key"), "n", "bag", "sketches"), "nodes")
     keyed = nodes.where("n > 0").select("node", F.posexplode("sketches").alias("j", "s"))
     groups = keyed.groupBy("j", "s").agg(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")
