@@ -134,6 +134,25 @@ def test_odd_and_empty(spark, odd, empty):
     assert D.classify(empty).count() == 0 == D.keep_one(empty).count()
 
 
+def test_recall_at_the_edge(spark):
+    """Pairs that are similar by their words, with 10, 15 and 20 % of single words replaced, end in one class."""
+    rng, texts, pairs = random.Random(8), [], {}
+    for percent in (10, 15, 20):
+        for _ in range(80):
+            base = [f"w{rng.randrange(4000)}" for _ in range(300)]
+            copy = list(base)
+            for at in rng.sample(range(300), 3 * percent):
+                copy[at] = f"n{rng.randrange(10**6)}"
+            pairs.setdefault(percent, []).append(len(texts))
+            texts += [" ".join(base), " ".join(copy)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.class_id for r in D.classify(df).collect()}
+    assert all(similar(texts[i].split(), texts[i + 1].split()) for i in pairs[20][:5])
+    recall = {percent: np.mean([got[i] == got[i + 1] for i in firsts]) for percent, firsts in pairs.items()}
+    assert recall[10] == 1 and recall[15] > 0.97 and recall[20] > 0.93, recall
+    assert all(got[i] // 2 == i // 2 for i in got)
+
+
 def test_one_id_on_many_texts(spark, monkeypatch):
     """Rows without an id, or all with one: each wanted text is found by itself, and the classes are right."""
     found, store = [], D.stored

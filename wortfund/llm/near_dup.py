@@ -13,7 +13,8 @@
 Large groups: the members are first linked in chunks, each only to the centres of its chunk, which
 joins a group of copies at one link a member; only the groups of FIRST_SKETCHES are linked so. What then still
 lies in different classes is compared in blocks, across every whole group: first each member with its closest
-one, at last every pair that the bound leaves, taken over FINE_BINS bins. So no group is held in one task, no pairs are emitted for a group that hangs together, and
+one, then every pair that the bound leaves, taken over FINE_BINS bins; first in the groups of ROUND_SKETCHES, then in
+all others. So no group is held in one task, no pairs are emitted for a group that hangs together, and
 no link between classes is lost that shares a sketch.
 
 A null text is compared with nothing. Texts without words are copies if they are equal. Ties are broken
@@ -32,10 +33,12 @@ from wortfund.llm.common import packed, quoted, stored, words
 
 #: Words in a k-mer, and the similarity from which texts are near-duplicates.
 K, SIMILARITY = 5, 0.8
-#: Sketches of a text, and k-mers in each.
-SKETCHES, PICKS = 20, 2
+#: Sketches of a text, and k-mers in each: enough that texts at the edge of SIMILARITY share one, see the README.
+SKETCHES, PICKS = 100, 2
 #: Sketches whose groups are linked first; the others only link what these leave in different classes.
 FIRST_SKETCHES = 3
+#: Sketches whose groups are compared next; the groups of the others are only compared where these leave different classes.
+ROUND_SKETCHES = 20
 #: Bins of the word counts, and of those that are taken before every pair that is left is compared.
 BINS, FINE_BINS = 128, 2048
 #: Nodes to verify that are sent to every task: 100 bytes each.
@@ -431,8 +434,9 @@ def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", similarity:
     first = members.where(F.col("j") < FIRST_SKETCHES).select("s", chunk, "node", "n", "bag")
     centred = _paired(first, ["s", "chunk"], _centres(similarity))
     graph.test(centred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    for closest in (True, False):
-        graph.test(_open_pairs(members, graph, similarity, closest))
+    for of_round in (F.col("j") < ROUND_SKETCHES, F.col("j") >= ROUND_SKETCHES):
+        for closest in (True, False):
+            graph.test(_open_pairs(members.where(of_round), graph, similarity, closest))
     own = nodes.select("node", "rep")
     labelled = own.withColumn("label", F.col("node")) if graph.labels is None else own.join(graph.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), F.col("node").alias("node")))
