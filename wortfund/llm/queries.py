@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wortfund.llm import bpe, langid, lm, mixing, near_dup, quality, secret_scan, sharding, topk, toxicity
+from wortfund.llm import bpe, hard_negatives, html_text, langid, lm, mixing, near_dup, periodic, quality, secret_scan, sharding, topk, toxicity
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -138,6 +138,38 @@ def op10_bpe(spark, sf_dir):
     return tokens_of(read(spark, sf_dir, "documents"), bpe.vocabulary(vocabulary_path()))
 
 
+@query
+def op11_periodic_runs(spark, sf_dir):
+    docs = periodic.planted(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = periodic.find_runs(docs, keep_text=False)
+    # runs come by start and period, so of equal exponents the first stays
+    longer = lambda best, run: best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+    none = F.lit(None).cast(periodic.RUN)
+    best = F.aggregate("runs", none, lambda best, run: F.when(longer(best, run), run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return out.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    out = hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+    return out.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@query
+def op13_html_extraction(spark, sf_dir):
+    out = html_text.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"), keep_html=False)
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES["op2_mixing"] = """
@@ -226,3 +258,23 @@ SELECT doc_id, coalesce(lm_words, 0) AS lm_words, CAST(coalesce(known, 0) AS BIG
        round(coalesce(total, 0), 4) AS lm_logsum, round(total / lm_words, 6) AS lm_score
 FROM d LEFT JOIN t USING (u)
 """
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v,
+         row_number() OVER () AS u
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.u, q.vec_id AS anchor_id, c.u AS cu, c.vec_id AS id, c.label = q.label AS same,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.u <> c.u AND len(q.v) = len(c.v)
+), p AS (SELECT u, cu, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY u ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT s.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.u, p.cu ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+         s.id AS negative_id, positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.u = p.u AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT * FROM n WHERE rank <= 10
+"""
