@@ -215,7 +215,7 @@ def test_merge_job(spark, tmp_path):
     for part, some in zip(parts, (texts[::2], texts[1::2])):
         I.index_by_term(I.index_postings(articles(spark, some), none), 50).write.parquet(part)
     path = str(tmp_path / "all")
-    jobs.merge_index(spark, parts, path, 2)
+    jobs.merge_index(spark, parts, path, 2, 50)
     rows = spark.read.parquet(path)
     expected = brute_force(texts)
     assert as_dict(I.by_term_to_postings(rows)) == expected

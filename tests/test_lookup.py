@@ -1,7 +1,11 @@
 """Lookups, single and in batches, on plain and on bucketed tables."""
 
+import glob
+import re
 from collections import Counter
 
+import pyarrow.parquet as pq
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +14,8 @@ from wortfund import schemas
 from wortfund.operators import index as I
 from wortfund.operators import lookup as L
 from wortfund.plans import jobs
-from wortfund.sources.buckets import write_bucketed
+from wortfund.sources import tables as S
+from wortfund.sources.buckets import write_bucketed, write_by_term
 
 TEXTS = [(1, "a b a"), (2, "b c"), (3, "a c c"), (4, ""), (5, "b")]
 
@@ -127,3 +132,176 @@ def test_rows_of_a_large_folder_come_back_whole(spark, tmp_path):
     assert hot.count() == 10_000
     files = hot.select(F.input_file_name()).distinct().count()
     assert files > 1
+
+
+def filters_of(plan, kind):
+    """What the scans of a formatted plan filter by."""
+    return re.findall(rf"{kind}: \[(.*?)\]\n", plan)
+
+
+@pytest.fixture(scope="module")
+def kept(spark, tmp_path_factory):
+    """500 articles in a keyed table, an index of them by word, one by term and its dictionary."""
+    root = tmp_path_factory.mktemp("kept")
+    rows = spark.range(500).selectExpr(
+        "id AS docid", "concat('T', id % 250) AS title", "concat('hot w', id % 50, ' v', id) AS wikitext"
+    ).withColumn("wikitext", F.translate("wikitext", "0123456789", "abcdefghij"))
+    paths = {name: str(root / name) for name in ("articles", "postings", "by_term", "docid")}
+    stop = spark.createDataFrame([("x",)], "word string")
+    jobs.upsert_articles(spark, rows, paths["articles"], 8)
+    jobs.upsert_index(spark, rows, stop, "postings", paths["postings"], buckets=8)
+    jobs.write_index(rows, stop, "by_term", paths["by_term"], "word", 4, docids=100)
+    jobs.write_index(rows, stop, "postings", paths["docid"], "docid", 8)
+    return paths
+
+
+def key_file(spark, path, column, values):
+    """Keys as the lookup run reads them: from a file."""
+    spark.createDataFrame([(str(v),) for v in values], "value string").write.text(path)
+    kind = "long" if column == "docid" else "string"
+    return spark.read.text(path).select(F.col("value").cast(kind).alias(column))
+
+
+def test_title_lookup_by_its_index(spark, kept):
+    articles, titles = S.read_articles(spark, kept["articles"]), S.read_titles(spark, kept["articles"])
+    found = L.lookup_title(articles, "T7", titles)
+    assert found.columns == ["docid", "title", "wikitext"]
+    assert sorted(r.docid for r in found.collect()) == [7, 257]
+    plan = plan_of(found)
+    assert "EqualTo(title,T7)" in plan
+    partition = filters_of(plan, "PartitionFilters")
+    assert any("bucket_title_8" in f and "=" in f for f in partition)
+    assert any("bucket_docid_8" in f and "dynamicpruning" in f for f in partition)
+    assert L.lookup_title(articles, "nope", titles).count() == 0
+    assert L.lookup_title(articles, "T7").count() == 2
+
+
+@pytest.mark.parametrize("kind", ["title", "docid", "doc_words", "word_docs", "word_counts", "by_term"])
+def test_batches_prune_folders_while_they_run(spark, kept, tmp_path, kind):
+    lookups = {
+        "title": (L.batch_lookup_title, lambda: S.read_titles(spark, kept["articles"]), "title", {"T7": 2, "T9": 2, "no": 0}),
+        "docid": (L.batch_lookup_docid, lambda: S.read_articles(spark, kept["articles"]), "docid", {7: 1, 499: 1, 500: 0}),
+        "doc_words": (L.batch_lookup_doc_words, lambda: S.read_layout(spark, kept["docid"], "postings"), "docid", {7: 3, 500: 0}),
+        "word_docs": (L.batch_lookup_word_docs, lambda: S.read_layout(spark, kept["postings"], "postings"), "word", {"hot": 500, "wab": 0, "wc": 10}),
+        "word_counts": (L.batch_lookup_word_counts, lambda: S.read_dictionary(spark, kept["postings"]), "word", {"hot": 500, "wab": 0, "wc": 10}),
+        "by_term": (L.batch_lookup_doc_words_by_term, lambda: S.read_layout(spark, kept["by_term"], "by_term"), "docid", {7: 3, 250: 3, 500: 0}),
+    }
+    lookup, table, column, want = lookups[kind]
+    keys, rows = key_file(spark, str(tmp_path / "keys"), column, [*want, *want]), table()
+    spark.sparkContext.setJobGroup(f"planning {kind}", "planning")
+    found = lookup(rows, keys)
+    plan = plan_of(found)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"planning {kind}")) == 0
+    assert "dynamicpruning" in " ".join(filters_of(plan, "PartitionFilters"))
+    assert {r[0]: r.n for r in found.collect()} == want
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_keys_are_read_once(spark, kept, tmp_path):
+    keys = key_file(spark, str(tmp_path / "keys"), "docid", range(0, 500, 7))
+    found = L.batch_lookup_docid(S.read_articles(spark, kept["articles"]), keys)
+    assert sum(r.n for r in found.collect()) == 72
+    final = plan_of(found, "simple").split("== Initial Plan ==")[0]
+    # the distinct keys are shuffled once; their other uses read what that wrote
+    assert final.count("FileScan text") == 1
+    assert "ReusedExchange" in final
+
+
+def test_keys_of_any_kind_of_table(spark, kept):
+    articles = S.read_articles(spark, kept["articles"])
+    # an int finds the folder of a long; null is no key
+    for keys in (spark.createDataFrame([(7,), (None,)], "docid int"), spark.range(7, 8).toDF("docid")):
+        assert {r.docid: r.n for r in L.batch_lookup_docid(articles, keys).collect()} == {7: 1}
+    none = spark.createDataFrame([], "docid long")
+    assert L.batch_lookup_docid(articles, none).count() == 0
+
+
+def test_counts_from_the_dictionary(spark, kept):
+    dictionary = S.read_dictionary(spark, kept["postings"])
+    index = S.read_layout(spark, kept["postings"], "postings")
+    for word in ("hot", "wc", "nope"):
+        found = L.lookup_word_count(dictionary, word)
+        assert found.first().n == L.lookup_counts(index, "word", word).first().n
+        assert found.first().occurrences == found.first().n
+    plan = plan_of(L.lookup_word_count(dictionary, "hot"))
+    assert "bucket_word_8" in filters_of(plan, "PartitionFilters")[0] and "EqualTo(word,hot)" in plan
+    assert L.lookup_equals(dictionary, "word", "hot").count() == 1
+
+
+def test_by_term_lookup_reads_one_chunk(spark, kept):
+    index = S.read_layout(spark, kept["by_term"], "by_term")
+    found = L.lookup_doc_words_by_term(index, 257)
+    assert found.columns == ["word", "chunk", "inv_index"]
+    assert sorted(r.word for r in found.collect()) == ["hot", "vcfh", "wh"]
+    assert {r.chunk for r in found.collect()} == {2}
+    assert "chunk_100" in filters_of(plan_of(found), "PartitionFilters")[0]
+    files = found.select(F.input_file_name().alias("f")).distinct().collect()
+    assert all("chunk_100=2/" in r.f for r in files)
+    word = L.lookup_word_docs(index, "hot")
+    assert sorted(r.chunk for r in word.collect()) == [0, 1, 2, 3, 4]
+    assert "bucket_word_4" in filters_of(plan_of(word), "PartitionFilters")[0]
+
+
+def test_by_term_of_any_width_answers_right(spark, kept, postings, tmp_path):
+    index = S.read_layout(spark, kept["by_term"], "by_term")
+    with pytest.raises(ValueError, match="100"):
+        L.lookup_doc_words_by_term(index, 257, 50)
+    plain = I.index_by_term(postings, 2)
+    for i in range(1, 6):
+        want = {r.word for r in L.lookup_doc_words(postings, i).collect()}
+        assert {r.word for r in L.lookup_doc_words_by_term(plain, i).collect()} == want
+        assert {r.word for r in L.lookup_doc_words_by_term(plain, i, 2).collect()} == want
+
+
+def test_negative_docids_by_term(spark, tmp_path):
+    rows = spark.createDataFrame([("a", -7, [0]), ("a", -1, [1]), ("b", 3, [2])], schemas.POSTINGS)
+    write_by_term(rows, str(tmp_path / "index"), 5, 2)
+    index = S.read_layout(spark, str(tmp_path / "index"), "by_term")
+    assert {i: [r.word for r in L.lookup_doc_words_by_term(index, i).collect()] for i in (-7, -1, 3, 4)} == {-7: ["a"], -1: ["a"], 3: ["b"], 4: []}
+    keys = spark.createDataFrame([(-7,), (3,), (4,)], "docid long")
+    assert {r.docid: r.n for r in L.batch_lookup_doc_words_by_term(index, keys).collect()} == {-7: 1, 3: 1, 4: 0}
+
+
+def test_index_files_of_a_folder_do_not_overlap(spark, tmp_path):
+    """But in a word that is cut at their border, as one with very many rows is more than once."""
+    rows = spark.range(60_000).selectExpr(
+        "IF(id % 3 = 0, 'hot', concat('w', id % 2997)) AS word", "id AS docid", "array(0) AS occurences"
+    )
+    path = str(tmp_path / "index")
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        S.write_layout(rows, "postings", path, "word", 4)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    cut = 0
+    for folder in glob.glob(f"{path}/bucket_word_4=*"):
+        ranges = []
+        for file in glob.glob(f"{folder}/*.parquet"):
+            words = pq.read_table(file, columns=["word"])["word"].to_pylist()
+            assert words == sorted(words)
+            ranges.append((words[0], words[-1]))
+        ranges.sort()
+        for (_, last), (first, _) in zip(ranges, ranges[1:]):
+            # a word may be cut at a border of files
+            assert last <= first
+            cut += last == first == "hot"
+    assert cut > 1
+    index = S.read_layout(spark, path, "postings")
+    assert index.count() == 60_000
+    assert L.lookup_word_docs(index, "hot").count() == 20_000
+    opened = L.lookup_word_docs(index, "w10").select(F.input_file_name()).distinct().count()
+    assert opened <= 2
+
+
+def test_by_term_write_moves_postings_once(spark):
+    from wortfund.sources import buckets
+
+    order = ["chunk_5", "bucket_word_2", "word"]
+    rows = spark.range(100).selectExpr("concat('w', id % 9) AS word", "id AS docid")
+    keyed = rows.select((F.col("docid") % 5).alias("chunk_5"), buckets.bucket_of(F.col("word"), 2).alias("bucket_word_2"), "word", "docid")
+    plan = plan_of(keyed.repartitionByRange(*order).groupBy(*order).agg(F.collect_list("docid")), "simple")
+    assert plan.count("Exchange") == 1

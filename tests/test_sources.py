@@ -122,15 +122,44 @@ def test_namespace_filter_parses_each_page_once(spark, dump):
 
 def test_ingest(spark, dump, tmp_path):
     target = str(tmp_path / "articles")
-    jobs.ingest(spark, dump, target)
-    found = sorted(map(tuple, S.read_articles(spark, target).collect()))
-    assert found == [
+    expected = [
         (1, "Alan & Co", "Alan |TEMPLATE| fett & mehr"),
         (3, "Leer", ""),
         (4, "Ohne Attribut", ""),
     ]
-    jobs.ingest(spark, dump, target)
-    assert S.read_articles(spark, target).count() == 6
+    for _ in range(2):  # a dump that is read again replaces its articles
+        assert jobs.ingest(spark, dump, target) is None
+        articles = S.read_articles(spark, target).select("docid", "title", "wikitext")
+        assert sorted(map(tuple, articles.collect())) == expected
+    found = S.read_titles(spark, target).select("title", "docid").collect()
+    assert sorted(map(tuple, found)) == [("Alan & Co", 1), ("Leer", 3), ("Ohne Attribut", 4)]
+
+
+def test_ingest_appends_to_other_targets(spark, dump, tmp_path, monkeypatch):
+    monkeypatch.setitem(S.FORMATS, "jdbc", "parquet")
+    target = str(tmp_path / "articles")
+    for _ in range(2):
+        jobs.ingest(spark, dump, target, "jdbc")
+    assert S.read_articles(spark, target, "jdbc").count() == 6
+
+
+def test_ingest_with_rejects(spark, dump, tmp_path):
+    with open(dump, encoding="utf-8") as f:
+        text = f.read()
+    bad = "<page><title>x</title><ns>0</ns><id>9</id><revision><text>a &nope; b</text></revision></page>"
+    damaged = tmp_path / "damaged.xml"
+    damaged.write_text(text.replace("</mediawiki>", bad + "</mediawiki>"), encoding="utf-8")
+    target, rejected = str(tmp_path / "articles"), str(tmp_path / "rejected")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        jobs.ingest(spark, str(damaged), target)
+    assert S.versions.versions(spark, target) == []
+    counts = jobs.ingest(spark, str(damaged), target, rejected=rejected)
+    assert counts == {"pages": 5, "rejected": 1}
+    assert sorted(r.docid for r in S.read_articles(spark, target).collect()) == [1, 3, 4]
+    assert [r.page for r in spark.read.parquet(rejected).collect()] == [bad]
+    # a good dump: nothing rejected, nothing changed
+    assert jobs.ingest(spark, dump, target, rejected=rejected) == {"pages": 4, "rejected": 0}
+    assert S.read_articles(spark, target).count() == 3 and spark.read.parquet(rejected).count() == 1
 
 
 def test_ingest_then_index(spark, dump, tmp_path):
@@ -139,8 +168,9 @@ def test_ingest_then_index(spark, dump, tmp_path):
         path = str(tmp_path / layout)
         jobs.write_index(articles, lists.default_stopwords(spark), layout, path, "word", 4)
         index = spark.read.parquet(path)
-        # "mehr" is a stop word.
-        assert sorted(r.word for r in index.collect()) == ["alan", "fett"]
+        # only words of the list go
+        assert "mehr" not in lists.default_stopword_list()
+        assert sorted(r.word for r in index.collect()) == ["alan", "fett", "mehr"]
         assert set(schemas.LAYOUTS[layout].names) <= set(index.columns)
 
 

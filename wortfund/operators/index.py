@@ -4,6 +4,8 @@ Postings and positions are built inside the article row: no shuffle, no state la
 article. Only the by-term layout, which gathers a word over all documents, moves data.
 """
 
+from __future__ import annotations
+
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -108,21 +110,120 @@ def index_by_term(postings: DataFrame, docids: int = CHUNK_DOCIDS) -> DataFrame:
     )
 
 
-def index_merge(parts: list[DataFrame], docids: int = CHUNK_DOCIDS) -> DataFrame:
-    """Several partial indexes in layout "postings" -> one index in layout "by term"."""
-    return index_by_term(reduce(DataFrame.unionByName, parts), docids)
+def without_documents(rows: DataFrame, docids: DataFrame) -> DataFrame:
+    """Postings or positions but those of the given documents. Where Spark can broadcast the docids, nothing moves."""
+    return rows.join(docids.select("docid").distinct(), "docid", "left_anti").select(*rows.columns)
+
+
+def by_term_without_documents(
+    by_term: DataFrame, docids: DataFrame, width: int = CHUNK_DOCIDS
+) -> DataFrame:
+    """The same for by-term rows. Chunks that hold none of the documents pass as they are; the lists of the others are
+    taken apart, and come out as rows of one entry, which merge_by_term puts together."""
+    gone = docids.select("docid").distinct()
+    chunks = gone.select(chunk_of(F.col("docid"), width).alias("chunk")).distinct()
+    names = ["word", "chunk", "inv_index"]
+    untouched = by_term.join(chunks, "chunk", "left_anti").select(*names)
+    entries = by_term.join(chunks, "chunk", "left_semi").select(
+        "word", "chunk", F.explode("inv_index").alias("entry")
+    )
+    kept = entries.withColumn("docid", F.col("entry.docid")).join(gone, "docid", "left_anti")
+    return untouched.unionByName(kept.select("word", "chunk", F.array("entry").alias("inv_index")))
+
+
+def _last_loads(parts: list[DataFrame], loaded: list[DataFrame] | None, without) -> list[DataFrame]:
+    """The parts, oldest first, each without the documents that a later one loaded again."""
+    if loaded is None:
+        return parts
+    if len(loaded) != len(parts):
+        raise ValueError("one table of loaded documents for each part")
+    out = []
+    for i, rows in enumerate(parts):
+        later = [d.select("docid") for d in loaded[i + 1 :]]
+        out.append(without(rows, reduce(DataFrame.unionByName, later)) if later else rows)
+    return out
+
+
+def index_merge(
+    parts: list[DataFrame], docids: int = CHUNK_DOCIDS, loaded: list[DataFrame] | None = None
+) -> DataFrame:
+    """Several partial indexes in layout "postings" -> one index in layout "by term".
+
+    Parts come oldest first. `loaded` holds, for each part, the docids of all documents that it was built from or that were
+    deleted with it: a document of a later part takes the place of an older version, whose words all go, also those that
+    the new version lacks. Without it, no document may stand in two parts.
+    """
+    rows = _last_loads(parts, loaded, without_documents)
+    return index_by_term(reduce(DataFrame.unionByName, rows), docids)
+
+
+def merge_postings(parts: list[DataFrame], loaded: list[DataFrame]) -> DataFrame:
+    """The same with the result in the layout of the parts, "postings" or "positions": they are only filtered."""
+    return reduce(DataFrame.unionByName, _last_loads(parts, loaded, without_documents))
 
 
-def merge_by_term(parts: list[DataFrame]) -> DataFrame:
+def merge_by_term(
+    parts: list[DataFrame], docids: int = CHUNK_DOCIDS, loaded: list[DataFrame] | None = None
+) -> DataFrame:
     """The same for partial indexes that are already in layout "by term", with chunks of one width.
 
-    Rows of one word and chunk are put together as they are; no list is taken apart.
+    Rows of one word and chunk are put together as they are; a list is taken apart only if its chunk holds a document that
+    was loaded again.
     """
-    rows = reduce(DataFrame.unionByName, [p.select("word", "chunk", "inv_index") for p in parts])
+    parts = [p.select("word", "chunk", "inv_index") for p in parts]
+    parts = _last_loads(parts, loaded, lambda p, gone: by_term_without_documents(p, gone, docids))
     lists = F.flatten(F.collect_list("inv_index"))
+    rows = reduce(DataFrame.unionByName, parts)
     return rows.groupBy("word", "chunk").agg(F.sort_array(lists).alias("inv_index"))
 
 
+def recut_by_term(by_term: DataFrame, docids: int) -> DataFrame:
+    """By-term rows cut into chunks of another width."""
+    return index_by_term(by_term_to_postings(by_term), docids)
+
+
+def _dictionary(counts: DataFrame) -> DataFrame:
+    """(word, chunk, documents, occurrences), any number of rows a word and chunk -> a dictionary."""
+    by_chunk = (
+        counts.groupBy("word", "chunk")
+        .agg(F.sum("documents").alias("documents"), F.sum("occurrences").alias("occurrences"))
+        .where(F.col("documents") > 0)
+    )
+    return by_chunk.groupBy("word").agg(
+        F.sum("documents").alias("documents"),
+        F.sum("occurrences").alias("occurrences"),
+        F.sort_array(F.collect_list(F.struct("chunk", "documents", "occurrences"))).alias("chunks"),
+    )
+
+
+def term_dictionary(index: DataFrame, docids: int = CHUNK_DOCIDS) -> DataFrame:
+    """(word, documents, occurrences, chunks) of an index in any layout: in how many documents a word stands, how often in
+    all, and both for each chunk of docids. Counts are combined before they move."""
+    if "inv_index" in index.columns:
+        each = F.transform("inv_index", lambda e: F.size(e["occurences"]))
+        total = F.aggregate(each, F.lit(0).cast("long"), lambda n, x: n + x)
+        counts = index.select("word", "chunk", F.size("inv_index").cast("long").alias("documents"), total.alias("occurrences"))
+        return _dictionary(counts)
+    chunk = chunk_of(F.col("docid"), docids).alias("chunk")
+    if "occurence" in index.columns:
+        index = index.groupBy("word", "docid").agg(F.count("*").alias("occurrences"))
+        occurrences = F.col("occurrences")
+    else:
+        occurrences = F.size("occurences").cast("long").alias("occurrences")
+    return _dictionary(index.select("word", chunk, F.lit(1).cast("long").alias("documents"), occurrences))
+
+
+def merge_dictionaries(parts: list[DataFrame], removed: list[DataFrame] | None = None) -> DataFrame:
+    """The dictionary of indexes without a document in common, less those of postings that were removed from them."""
+
+    def counts(part, sign):
+        rows = part.select("word", F.inline("chunks"))
+        return rows.select("word", "chunk", *[(sign * F.col(c)).alias(c) for c in ("documents", "occurrences")])
+
+    rows = [counts(p, 1) for p in parts] + [counts(p, -1) for p in removed or []]
+    return _dictionary(reduce(DataFrame.unionByName, rows))
+
+
 def postings_to_positions(postings: DataFrame) -> DataFrame:
     return postings.select("word", "docid", F.explode("occurences").alias("occurence"))
 

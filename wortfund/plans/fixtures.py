@@ -11,7 +11,7 @@ from wortfund.plans import jobs
 from wortfund.session import scratch_path
 from wortfund.sources.buckets import write_bucketed
 from wortfund.sources.lists import default_stopwords
-from wortfund.sources.tables import read_table
+from wortfund.sources.tables import read_articles, read_layout, read_titles
 
 TITLE_PATTERN = "<title>(.*?)</title>"
 
@@ -117,7 +117,7 @@ def stored_index(spark: SparkSession, sf_dir: str, layout: str, column: str = "w
         stop = default_stopwords(spark)
         jobs.write_index(articles(spark, sf_dir), stop, layout, path, column, buckets=16)
 
-    return read_table(spark, stored(spark, sf_dir, f"{layout}-{column}", write))
+    return read_layout(spark, stored(spark, sf_dir, f"{layout}-{column}", write), layout)
 
 
 def stored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,4 +125,72 @@ def stored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stored(
         spark, sf_dir, "articles", lambda p: write_bucketed(articles(spark, sf_dir), p, "docid", 16)
     )
-    return read_table(spark, path)
+    return read_articles(spark, path)
+
+
+def kept_articles(spark: SparkSession, sf_dir: str, rows=articles) -> tuple[DataFrame, DataFrame]:
+    """Articles loaded into a keyed table, and the table of titles that is kept with them."""
+    path = stored(
+        spark,
+        sf_dir,
+        f"kept-{rows.__name__}",
+        lambda p: jobs.upsert_articles(spark, rows(spark, sf_dir), p, 16),
+    )
+    return read_articles(spark, path), read_titles(spark, path)
+
+
+def deleted_docids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that a later load deletes, some of which it loads again."""
+    docids = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("docid"))
+    return docids.where(F.col("docid") % 10 == 3)
+
+
+def reloaded_index(spark: SparkSession, sf_dir: str, layout: str, docids: int) -> str:
+    """Path of an index of `documents` into which the web pages were loaded, under docids that were there, and from which
+    documents were deleted."""
+
+    def write(path):
+        stop = default_stopwords(spark)
+        jobs.upsert_index(spark, articles(spark, sf_dir), stop, layout, path, "word", 16, docids=docids)
+        jobs.upsert_index(
+            spark,
+            page_articles(spark, sf_dir),
+            stop,
+            layout,
+            path,
+            "word",
+            16,
+            deleted=deleted_docids(spark, sf_dir),
+            docids=docids,
+        )
+
+    return stored(spark, sf_dir, f"reloaded-{layout}-{docids}", write)
+
+
+def damaged(docid):
+    """How a page of the damaged dump is damaged, if it is: an entity that is not defined, an element without its end, an
+    id that is no number."""
+    return docid % 5
+
+
+def damaged_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a dump of `documents` that holds malformed pages."""
+    escaped = F.coalesce("text", F.lit(""))
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
+        escaped = F.replace(escaped, F.lit(char), F.lit(entity))
+    kind = damaged(F.col("doc_id"))
+    docid = F.col("doc_id").cast("string")
+    return table(spark, sf_dir, "documents").select(
+        F.concat(
+            F.lit("<page><title>T"),
+            docid,
+            F.lit("</title><ns>0</ns><id>"),
+            F.when(kind == 1, F.lit("x")).otherwise(F.lit("")),
+            docid,
+            F.lit("</id><revision><text>"),
+            F.when(kind == 2, F.lit("&nope;")).otherwise(F.lit("")),
+            escaped,
+            F.when(kind == 3, F.lit("")).otherwise(F.lit("</text>")),
+            F.lit("</revision></page>"),
+        ).alias("value")
+    )

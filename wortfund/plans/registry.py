@@ -20,7 +20,7 @@ from wortfund.session import scratch_path
 from wortfund.sources import lists
 from wortfund.sources import tables as S
 from wortfund.sources import xml_dump
-from wortfund.sources.buckets import write_bucketed
+from wortfund.sources.buckets import write_by_term
 
 QUERIES = {}
 ORACLES = {}
@@ -235,6 +235,24 @@ def sink_create_table(spark, sf_dir):
     return S.read_table(spark, path)
 
 
+_RELOADED = (
+    f"SELECT * FROM ({O.PAGE_ARTICLES}) UNION ALL SELECT * FROM ({O.ARTICLES}) "
+    "WHERE docid NOT IN (SELECT page_id FROM pages) AND docid % 10 <> 3"
+)
+
+
+@query("upsert_articles_job", f"SELECT docid, CASE WHEN docid IN (SELECT page_id FROM pages) THEN 'A' || title ELSE title END AS title, wikitext FROM ({_RELOADED})")
+def upsert_articles_job(spark, sf_dir):
+    """A second load of articles that holds each docid three times, the last version with the least title, and deletes some."""
+    path = scratch_path(spark, "kept-articles")
+    jobs.upsert_articles(spark, X.articles(spark, sf_dir), path, 16)
+    versions = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(t).alias("t")) for n, t in ((2, "y"), (3, "A"), (1, "z"))]))
+    pages = X.page_articles(spark, sf_dir).withColumn("v", versions)
+    load = pages.select("docid", F.concat("v.t", "title").alias("title"), "wikitext", F.col("v.n").alias("n"))
+    jobs.upsert_articles(spark, load, path, 16, ["n"], X.deleted_docids(spark, sf_dir))
+    return S.read_articles(spark, path).select("docid", "title", "wikitext")
+
+
 @query(
     "articles_upsert",
     f"SELECT * FROM ({O.PAGE_ARTICLES}) UNION ALL SELECT * FROM ({O.ARTICLES}) "
@@ -454,11 +472,98 @@ def merge_index(spark, sf_dir):
     first, second = _two_parts(spark, sf_dir)
     # the first part is cut across its chunks, so that both parts hold rows of one word and chunk
     odd = F.col("docid") % 2 == 1
-    I.index_by_term(first.where(odd), 50).write.parquet(paths[0])
-    I.index_by_term(second.unionByName(first.where(~odd)), 50).write.parquet(paths[1])
+    write_by_term(first.where(odd), paths[0], 50, 16)
+    write_by_term(second.unionByName(first.where(~odd)), paths[1], 50, 16)
+    path = scratch_path(spark, "merged-index")
+    jobs.merge_index(spark, paths, path, 16, 50)
+    return show_by_term(S.read_layout(spark, path, "by_term"))
+
+
+@query("merge_index_of_other_widths", O.by_term(_MERGED_POSTINGS, 50))
+def merge_index_of_other_widths(spark, sf_dir):
+    """Parts that are cut at 7 docids and at an unknown number come out cut at 50."""
+    paths = [scratch_path(spark, "by-term-part") for _ in range(2)]
+    first, second = _two_parts(spark, sf_dir)
+    write_by_term(first, paths[0], 7, 4)
+    I.index_by_term(second, 30).write.parquet(paths[1])
     path = scratch_path(spark, "merged-index")
-    jobs.merge_index(spark, paths, path, 16)
-    return show_by_term(S.read_table(spark, path))
+    jobs.merge_index(spark, paths, path, 16, 50)
+    return show_by_term(S.read_layout(spark, path, "by_term"))
+
+
+_RELOADED_POSTINGS = O.postings(O.positions(_RELOADED, "wikitext"))
+
+
+@query(
+    "merge_replaced_documents",
+    " UNION ALL ".join(f"SELECT '{name}' AS layout, * FROM ({_RELOADED_POSTINGS})" for name in schemas.LAYOUTS),
+)
+def merge_replaced_documents(spark, sf_dir):
+    """Changed documents loaded again and others deleted: exactly the new postings are left, in every layout."""
+    as_postings = {"postings": lambda df: df, "positions": I.positions_to_postings, "by_term": I.by_term_to_postings}
+    parts = []
+    for layout, convert in as_postings.items():
+        index = S.read_layout(spark, X.reloaded_index(spark, sf_dir, layout, 50), layout)
+        parts.append(show_postings(convert(index)).select(F.lit(layout).alias("layout"), "word", "docid", "occurences"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("merge_replaced_by_term", O.by_term(_RELOADED_POSTINGS, 50))
+def merge_replaced_by_term(spark, sf_dir):
+    """The by-term rows themselves: one for each word and chunk."""
+    return show_by_term(S.read_layout(spark, X.reloaded_index(spark, sf_dir, "by_term", 50), "by_term"))
+
+
+@query("index_merge_replaced", O.by_term(_RELOADED_POSTINGS, 50))
+def index_merge_replaced(spark, sf_dir):
+    """Partial indexes merged in one go, the later one with newer versions of documents of the first."""
+    documents, pages = X.articles(spark, sf_dir), X.page_articles(spark, sf_dir)
+    stop = lists.default_stopwords(spark)
+    gone = pages.select("docid").unionByName(X.deleted_docids(spark, sf_dir))
+    parts = [I.index_postings(documents, stop), I.index_postings(pages, stop)]
+    return show_by_term(I.index_merge(parts, 50, [documents.select("docid"), gone]))
+
+
+def dictionary_sql(postings: str, docids: int) -> str:
+    chunk = f"CAST((docid - ((docid % {docids}) + {docids}) % {docids}) // {docids} AS BIGINT)"
+    places = "len(string_split(occurences, ','))"
+    return (
+        "SELECT word, CAST(sum(documents) AS BIGINT) AS documents, CAST(sum(occurrences) AS BIGINT) AS occurrences, "
+        "string_agg(chunk || ':' || documents || ':' || occurrences, ';' ORDER BY chunk) AS chunks "
+        f"FROM (SELECT word, {chunk} AS chunk, count(*) AS documents, CAST(sum({places}) AS BIGINT) AS occurrences "
+        f"FROM ({postings}) GROUP BY ALL) GROUP BY word"
+    )
+
+
+def show_dictionary(df: DataFrame) -> DataFrame:
+    chunk = F.transform("chunks", lambda c: F.concat_ws(":", c["chunk"], c["documents"], c["occurrences"]))
+    return df.select("word", "documents", "occurrences", F.concat_ws(";", chunk).alias("chunks"))
+
+
+@query(
+    "term_dictionary",
+    " UNION ALL ".join(f"SELECT '{name}' AS layout, * FROM ({dictionary_sql(O.POSTINGS, 50)})" for name in schemas.LAYOUTS),
+)
+def term_dictionary(spark, sf_dir):
+    """Documents and occurrences of every word, from an index in each layout."""
+    parts = []
+    for layout in schemas.LAYOUTS:
+        index = X.stored_index(spark, sf_dir, layout) if layout != "by_term" else I.index_by_term(X.stored_index(spark, sf_dir, "postings"), 50)
+        parts.append(show_dictionary(I.term_dictionary(index, 50)).withColumn("layout", F.lit(layout)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "term_dictionary_kept",
+    " UNION ALL ".join(f"SELECT '{name}' AS layout, * FROM ({dictionary_sql(_RELOADED_POSTINGS, 50)})" for name in schemas.LAYOUTS),
+)
+def term_dictionary_kept(spark, sf_dir):
+    """The dictionary that loads and deletions have carried on."""
+    parts = []
+    for layout in schemas.LAYOUTS:
+        kept = S.read_dictionary(spark, X.reloaded_index(spark, sf_dir, layout, 50))
+        parts.append(show_dictionary(kept).withColumn("layout", F.lit(layout)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("layout_convert", O.POSTINGS)
@@ -511,6 +616,13 @@ def lookup_title(spark, sf_dir):
     return L.lookup_title(X.articles(spark, sf_dir), "T7")
 
 
+@query("lookup_title_indexed", f"SELECT * FROM ({O.ARTICLES}) WHERE title = 'T7'")
+def lookup_title_indexed(spark, sf_dir):
+    """By way of the table of titles: one folder of it, then those of the articles found."""
+    articles, titles = X.kept_articles(spark, sf_dir)
+    return L.lookup_title(articles, "T7", titles)
+
+
 @query("lookup_docid", f"SELECT * FROM ({O.ARTICLES}) WHERE docid = 7")
 def lookup_docid(spark, sf_dir):
     return L.lookup_docid(X.stored_articles(spark, sf_dir), 7)
@@ -560,6 +672,31 @@ def batch_lookup_title(spark, sf_dir):
     return L.batch_lookup_title(X.page_articles(spark, sf_dir), keys)
 
 
+@query("batch_lookup_title_indexed", O.counts(O.PAGE_ARTICLES, TITLE_KEYS, "title"))
+def batch_lookup_title_indexed(spark, sf_dir):
+    """From the table of titles alone."""
+    titles = X.kept_articles(spark, sf_dir, X.page_articles)[1]
+    return L.batch_lookup_title(titles, _search_keys(spark, sf_dir)["titles"])
+
+
+_WORD_THE = f"SELECT * FROM ({_RELOADED_POSTINGS}) WHERE word = 'the'"
+
+
+@query(
+    "lookup_word_count",
+    f"SELECT count(*) AS n, CAST(coalesce(sum(len(string_split(occurences, ','))), 0) AS BIGINT) AS occurrences FROM ({_WORD_THE})",
+)
+def lookup_word_count(spark, sf_dir):
+    """How many documents hold a word, from its row of the dictionary, after documents were replaced."""
+    return L.lookup_word_count(S.read_dictionary(spark, X.reloaded_index(spark, sf_dir, "postings", 50)), "the")
+
+
+@query("batch_lookup_word_counts", O.counts(_RELOADED_POSTINGS, WORD_KEYS, "word"))
+def batch_lookup_word_counts(spark, sf_dir):
+    dictionary = S.read_dictionary(spark, X.reloaded_index(spark, sf_dir, "postings", 50))
+    return L.batch_lookup_word_counts(dictionary, _search_keys(spark, sf_dir)["words"])
+
+
 @query("batch_lookup_docid", O.counts(O.ARTICLES, ID_KEYS, "docid"))
 def batch_lookup_docid(spark, sf_dir):
     keys = _search_keys(spark, sf_dir)["article_ids"]
@@ -628,4 +765,37 @@ def ingest_dump(spark, sf_dir):
 
     target = scratch_path(spark, "ingested")
     jobs.ingest(spark, X.stored(spark, sf_dir, "markup-dump", write), target)
-    return S.read_articles(spark, target)
+    return S.read_articles(spark, target).select("docid", "title", "wikitext")
+
+
+_GOOD = "SELECT doc_id AS docid, coalesce(text, '') AS body FROM documents WHERE doc_id % 5 NOT IN (1, 2, 3)"
+_ESCAPED = "coalesce(text, '')"
+for _char, _entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+    _ESCAPED = f"replace({_ESCAPED}, '{_char}', '{_entity}')"
+_ESCAPED = f"replace({_ESCAPED}, chr(13), '&#13;')"
+_BAD = (
+    "SELECT '<page><title>T' || doc_id || '</title><ns>0</ns><id>' || CASE doc_id % 5 WHEN 1 THEN 'x' ELSE '' END || doc_id "
+    "|| '</id><revision><text>' || CASE doc_id % 5 WHEN 2 THEN '&nope;' ELSE '' END "
+    f"|| {_ESCAPED} || CASE doc_id % 5 WHEN 3 THEN '' ELSE '</text>' END || '</revision></page>' AS page "
+    "FROM documents WHERE doc_id % 5 IN (1, 2, 3)"
+)
+
+
+@query(
+    "ingest_dump_rejects",
+    f"SELECT 'article' AS kind, docid AS n, 'T' || docid AS title, body FROM ({O.cleaned(_GOOD)}) "
+    f"UNION ALL SELECT 'page', 0, '', page FROM ({_BAD}) "
+    "UNION ALL SELECT 'pages', count(*), '', '' FROM documents "
+    f"UNION ALL SELECT 'rejected', count(*), '', '' FROM ({_BAD})",
+)
+def ingest_dump_rejects(spark, sf_dir):
+    """A dump with malformed pages: the good ones as articles, the bad ones as they stand in the dump, and how many there were."""
+    dump = X.stored(spark, sf_dir, "damaged-dump", lambda path: X.damaged_dump(spark, sf_dir).write.text(path))
+    target, rejected = scratch_path(spark, "ingested"), scratch_path(spark, "rejected")
+    counts = jobs.ingest(spark, dump, target, rejected=rejected, buckets=16)
+    columns = "kind string, n long, title string, body string"
+    articles = S.read_articles(spark, target).select(F.lit("article").alias("kind"), F.col("docid").alias("n"), "title", F.col("wikitext").alias("body"))
+    bad = spark.read.parquet(rejected)
+    pages = bad.select(F.lit("page").alias("kind"), F.lit(0).cast("long").alias("n"), F.lit("").alias("title"), F.col("page").alias("body"))
+    totals = spark.createDataFrame([(kind, n, "", "") for kind, n in counts.items()], columns)
+    return articles.unionByName(pages).unionByName(totals)

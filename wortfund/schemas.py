@@ -25,6 +25,32 @@ ARTICLES = T.StructType(
     ]
 )
 
+# Titles of the articles, to find docids by.
+TITLES = T.StructType([T.StructField("title", T.StringType()), T.StructField("docid", T.LongType(), False)])
+
+# The term dictionary of an index: a word's documents and occurrences, in all and by chunk of docids.
+DICTIONARY = T.StructType(
+    [
+        T.StructField("word", T.StringType(), False),
+        T.StructField("documents", T.LongType(), False),
+        T.StructField("occurrences", T.LongType(), False),
+        T.StructField(
+            "chunks",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("chunk", T.LongType(), False),
+                        T.StructField("documents", T.LongType(), False),
+                        T.StructField("occurrences", T.LongType(), False),
+                    ]
+                ),
+                False,
+            ),
+            False,
+        ),
+    ]
+)
+
 # Index layout "postings": one row per word and document.
 POSTINGS = T.StructType(
     [

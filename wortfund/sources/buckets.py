@@ -1,9 +1,11 @@
 """Parquet tables split into folders by a hash of one column, and the matching pruning.
 
-A table written here has a partition column named bucket_<column>_<n>. Spark cannot derive the
-folder from a condition on the column itself, so the lookups add it.
+A table written here has a partition column named bucket_<column>_<n>; a by-term index has another one before it, chunk_<width>. Spark cannot
+derive the folder from a condition on the column itself, so the lookups add it.
 """
 
+from __future__ import annotations
+
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +20,7 @@ def write_bucketed(df: DataFrame, path: str, column: str, n: int, mode: str = "a
     """Write `df` in `n` folders by the hash of `column`, each file sorted by it.
 
     The rebalance hint lets Spark cut a folder whose rows are too many for one task into several
-    files, and put small ones together; a word with very many rows spreads over several tasks.
+    files, and put small ones together; a key with very many rows spreads over several tasks.
     """
     name = f"bucket_{column}_{n}"
     (
@@ -31,6 +33,78 @@ def write_bucketed(df: DataFrame, path: str, column: str, n: int, mode: str = "a
     )
 
 
+def write_in_ranges(
+    df: DataFrame, path: str, column: str, n: int, then: list[str], mode: str = "append"
+) -> None:
+    """The same with files that hold ranges of (folder, column, *then): those of a folder do not overlap but in a key that
+    is cut between them, so a lookup opens only the files of its key.
+
+    Spark draws the borders from a sample of the rows, for which it computes them once more. It cuts a key
+    with very many rows by the columns `then`, and puts ranges together that are small.
+    """
+    name = f"bucket_{column}_{n}"
+    order = [name, column, *then]
+    (
+        df.withColumn(name, bucket_of(F.col(column), n))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .write.mode(mode)
+        .partitionBy(name)
+        .parquet(path)
+    )
+
+
+def write_by_term(
+    postings: DataFrame, path: str, docids: int, buckets: int, mode: str = "append"
+) -> None:
+    """Write postings in layout "by term": folders by chunk of docids, chunk_<docids>=..., and in them by word.
+
+    Postings are moved once: what puts a word and chunk together is also the order of the files. A further load of the
+    same documents, or of others in the same chunks, goes in by a merge, since this appends rows.
+    """
+    chunk, bucket = f"chunk_{docids}", f"bucket_word_{buckets}"
+    width = F.lit(docids).cast("long")
+    keyed = postings.select(
+        F.call_function("div", F.col("docid") - F.pmod("docid", width), width).alias(chunk),
+        bucket_of(F.col("word"), buckets).alias(bucket),
+        "word",
+        F.struct("docid", "occurences").alias("entry"),
+    )
+    order = [chunk, bucket, "word"]
+    (
+        keyed.repartitionByRange(*order)
+        .groupBy(*order)
+        .agg(F.sort_array(F.collect_list("entry")).alias("inv_index"))
+        .select(*order, F.col(chunk).alias("chunk"), "inv_index")
+        .sortWithinPartitions(*order)
+        .write.mode(mode)
+        .partitionBy(chunk, bucket)
+        .parquet(path)
+    )
+
+
+def write_merged_by_term(
+    by_term: DataFrame, path: str, docids: int, buckets: int, mode: str = "append"
+) -> None:
+    """The same for rows that are in layout "by term" already, each word and chunk once."""
+    chunk, bucket = f"chunk_{docids}", f"bucket_word_{buckets}"
+    names = ["word", "chunk", "inv_index"]
+    rows = by_term.select(F.col("chunk").alias(chunk), bucket_of(F.col("word"), buckets).alias(bucket), *names)
+    order = [chunk, bucket, "word"]
+    (
+        rows.hint("rebalance", chunk, bucket)
+        .sortWithinPartitions(*order)
+        .write.mode(mode)
+        .partitionBy(chunk, bucket)
+        .parquet(path)
+    )
+
+
+def bucket_columns(df: DataFrame) -> list[str]:
+    """The partition columns that tell folders apart."""
+    return [c for c in df.columns if re.fullmatch(r"bucket_.+_\d+|chunk_\d+", c)]
+
+
 def _bucket_column(df: DataFrame, column: str) -> tuple[str, int] | None:
     for name in df.columns:
         found = re.fullmatch(rf"bucket_{re.escape(column)}_(\d+)", name)
@@ -49,15 +123,25 @@ def prune_to_key(df: DataFrame, column: str, value) -> DataFrame:
     return df.where(F.col(name) == bucket_of(typed, n)).drop(name)
 
 
-def prune_to_keys(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    """Restrict a bucketed table to the folders of the keys.
+def key_set(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """The distinct keys, in the type that the column has in the table; null is no key."""
+    typed = keys.select(F.col(column).cast(df.schema[column].dataType).alias(column))
+    return typed.where(F.col(column).isNotNull()).distinct()
+
+
+def prune_to_keys(df: DataFrame, distinct_keys: DataFrame, column: str) -> DataFrame:
+    """Restrict a bucketed table to the folders of the keys while it runs, by dynamic partition pruning.
 
-    At most `n` folder numbers come to the driver, whatever the number of keys.
+    What is broadcast are folder numbers, `n` at most. No job runs while the plan is built, and the keys are those of
+    key_set, which Spark computes once for all their uses.
     """
     bucket = _bucket_column(df, column)
     if bucket is None:
         return df
     name, n = bucket
-    typed = F.col(column).cast(df.schema[column].dataType)
-    wanted = [row[0] for row in keys.select(bucket_of(typed, n)).distinct().collect()]
-    return df.where(F.col(name).isin(wanted)).drop(name)
+    # never null, so that Spark adds no filter of its own and the distinct keys stay the same plan everywhere
+    bucket = F.coalesce(bucket_of(F.col(column), n), F.lit(0)).alias(name)
+    # a condition that a filter can test, true for every folder: without one Spark does not prune
+    folders = distinct_keys.groupBy(bucket).agg(F.count("*").alias("keys"))
+    folders = folders.where(F.col("keys") > 0).select(name)
+    return df.join(F.broadcast(folders), name, "left_semi").drop(name)

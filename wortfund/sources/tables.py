@@ -4,10 +4,14 @@ Parquet is the default. JDBC, Cassandra and MongoDB need their driver on the cla
 connection settings are plain reader and writer options.
 """
 
+from __future__ import annotations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wortfund.schemas import LAYOUTS
+from wortfund.schemas import ARTICLES, DICTIONARY, LAYOUTS, TITLES
+from wortfund.sources import versions
+from wortfund.sources.buckets import bucket_columns, write_in_ranges
 
 # Column names of the target tables, as fixed values: (docid, title, wikitext), then the index
 # in the layout that each target keeps.
@@ -80,13 +84,52 @@ def typed_columns(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _read_files(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A Parquet table by its fixed schema, and its folders' columns, which lookups need, at the end."""
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.select(*schema.names, *bucket_columns(rows))
+
+
 def read_articles(spark: SparkSession, path: str | None = None, kind="parquet", **options):
-    """Articles of any target as (docid, title, wikitext)."""
+    """Articles of any target as (docid, title, wikitext); of a Parquet table that jobs.upsert_articles keeps, the newest
+    version, with the column of its folders."""
+    if kind == "parquet":
+        return _read_files(spark, versions.part(spark, path, "articles") or path, ARTICLES)
     names = ARTICLE_NAMES[kind]
     rows = read_table(spark, path, kind, **options).select(*names)
     return rename_columns(rows, ARTICLE_NAMES["parquet"])
 
 
+def read_titles(spark: SparkSession, path: str) -> DataFrame:
+    """(title, docid) in folders by title, kept with the articles at `path`."""
+    return _read_files(spark, _kept_part(spark, path, "titles"), TITLES)
+
+
+def read_layout(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    """An index in Parquet: the newest version of one that jobs.upsert_index keeps, or a plain table."""
+    return _read_files(spark, versions.part(spark, path, "index") or path, LAYOUTS[layout])
+
+
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """The term dictionary kept with the index at `path`."""
+    return _read_files(spark, _kept_part(spark, path, "dictionary"), DICTIONARY)
+
+
+def _kept_part(spark: SparkSession, path: str, name: str) -> str:
+    found = versions.part(spark, path, name)
+    if found is None:
+        raise FileNotFoundError(f"no {name} are kept at {path}")
+    return found
+
+
+def write_layout(index: DataFrame, layout: str, path: str, column: str, buckets: int, mode="append") -> None:
+    """Postings or positions in folders by word or docid, in files that do not overlap."""
+    if layout == "by_term":
+        raise ValueError("write_by_term writes this layout")
+    rest = {"word": ["docid"], "docid": ["word"]}[column]
+    write_in_ranges(index.select(*LAYOUTS[layout].names), path, column, buckets, rest, mode)
+
+
 def append_articles(articles: DataFrame, path: str | None = None, kind="parquet", **options):
     rows = rename_columns(articles.select("docid", "title", "wikitext"), ARTICLE_NAMES[kind])
     append_table(rows, path, kind, **options)

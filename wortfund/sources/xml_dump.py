@@ -48,6 +48,12 @@ def malformed_pages(spark: SparkSession, path: str) -> DataFrame:
     return found.select(F.col(_CORRUPT).alias("page"))
 
 
+def scan_all_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Every page, parsed once: the page columns, and `malformed`, the text of a page that does not parse, else null."""
+    schema = T.StructType([*XML_PAGE.fields, T.StructField(_CORRUPT, T.StringType())])
+    return _parsed(_page_texts(spark, path), schema).withColumnRenamed(_CORRUPT, "malformed")
+
+
 def scan_xml_pages_whole(spark: SparkSession, path: str) -> DataFrame:
     """The same through Spark's XML source: one task per file, so only for many small files. A
     malformed page fails the job."""
