@@ -148,6 +148,63 @@ def clean_keep_tags(text: Column) -> Column:
     return apply_element_rules(text, R.KEEP_ELEMENT_RULES)
 
 
+def let(value: str, name: str, use: str) -> str:
+    """SQL: `use` with `value` under a name, computed once."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
+
+
+def bind_sql(value: Column, name: str, use: str) -> Column:
+    """The same for a Column: `use` is SQL that refers to it by name. Long expressions are built faster that way."""
+    return F.get(F.call_function("transform", F.array(value), F.expr(f"{name} -> {use}")), F.lit(0))
+
+
+#: Tags after which the list of what was found is started anew, so that no long array is copied a tag at a time.
+_TAGS_AT_ONCE = 256
+
+
+def _have_partner(kinds: str) -> str:
+    """SQL: for tags in order, 1 for one kind and -1 for the other, whether each of the second kind closes one of the first before it.
+
+    How many of the first kind are open is carried along; one of the second kind closes the last of them, if there is one.
+    """
+    pieces = f"transform(sequence(0, cast(size({kinds}) div {_TAGS_AT_ONCE} AS int)), i -> slice({kinds}, i * {_TAGS_AT_ONCE} + 1, {_TAGS_AT_ONCE}))"
+    look = (
+        "(s, x) -> named_struct('open', CASE WHEN x > 0 THEN s.open + 1 WHEN s.open > 0 THEN s.open - 1 ELSE 0 END, "
+        "'closes', concat(s.closes, array(x < 0 AND s.open > 0)))"
+    )
+    some = f"aggregate(some, named_struct('open', st.open, 'closes', cast(array() AS array<boolean>)), {look})"
+    after = let(some, "d", "named_struct('open', d.open, 'closes', concat(st.closes, array(d.closes)))")
+    start = "named_struct('open', 0, 'closes', cast(array() AS array<array<boolean>>))"
+    return f"aggregate({pieces}, {start}, (st, some) -> {after}, st -> flatten(st.closes))"
+
+
+def _without_partners(text: Column, tag: str) -> Column:
+    """One pass: all opening and closing tags of a name that belong together go, however deep they nest; null if what is left
+    holds a tag that stands in none of its pieces, which might have to come before those farther out.
+
+    Only openings that a closing tag follows count, so the text before the last closing tag is cut at its tags. A closing tag
+    belongs to the last opening before it that has no other. Every step is one scan.
+    """
+    closing = f"</{tag}>"
+    # The attributes hold no opening tag, and are never given back (possessive).
+    any_tag = f"r'<{tag}(?:>| (?:[^<>]++|<(?!{tag}[> ]))*+>)|{closing}'"
+    tail = f"substring_index(t, '{closing}', -1)"
+    body = f"left(t, length(t) - length({tail}) - {len(closing)})"
+    pieces = f"concat(split({body}, {any_tag}, -1), array({tail}))"
+    goes = "get(gone.closes, i - 1) OR get(gone.opens, i - 1)"
+    parts = f"flatten(transform({pieces}, (p, i) -> array(IF(i = 0 OR {goes}, '', get(tags, i - 1)), p)))"
+    joined = "array_join(parts, '')"
+    own = f"flatten(transform(parts, p -> regexp_extract_all(p, {any_tag}, 0)))"
+    use = let(parts, "parts", f"IF(regexp_extract_all({joined}, {any_tag}, 0) = {own}, {joined}, NULL)")
+    # read from the end, with the kinds exchanged, an opening closes a closing tag
+    gone = f"named_struct('closes', {_have_partner('k.forth')}, 'opens', reverse({_have_partner('k.back')}))"
+    forth = f"transform(tags, x -> IF(x = '{closing}', -1, 1))"
+    back = f"reverse(transform(tags, x -> IF(x = '{closing}', 1, -1)))"
+    use = let(let(f"named_struct('forth', {forth}, 'back', {back})", "k", gone), "gone", use)
+    use = let(f"concat(regexp_extract_all({body}, {any_tag}, 0), array('{closing}'))", "tags", use)
+    return bind_sql(text, "t", f"IF(contains(t, '{closing}'), {use}, t)")
+
+
 def _without_innermost(text: Column, tag: str) -> Column:
     """One pass: the elements of a name that hold none of their own lose their tags.
 
@@ -191,10 +248,16 @@ def _without_innermost(text: Column, tag: str) -> Column:
 
 
 def clean_nested_tags(text: Column) -> Column:
-    """Self-nesting elements: tags go from the inside out, content stays."""
+    """Self-nesting elements: tags go from the inside out, content stays.
+
+    One pass takes all levels at once, unless that makes a new tag out of pieces; such a text takes a pass for each level.
+    """
+
+    def one_pass(tag, text):
+        return F.coalesce(_without_partners(text, tag), _without_innermost(text, tag))
+
     for tag in R.NESTED_TAGS:
-        replace = partial(_without_innermost, tag=tag)
-        text = _until_stable(text, f"</{tag}>", ">", replace)
+        text = _until_stable(text, f"</{tag}>", ">", partial(one_pass, tag))
     return text
 
 
@@ -259,7 +322,7 @@ def clean_newlines(text: Column) -> Column:
     return apply_rules(text, R.NEWLINE_RULES)
 
 
-# The steps before and after entity decoding, in order.
+# The steps before and after entity decoding (entities.py), in order.
 BEFORE_ENTITIES = [
     clean_templates,
     clean_wiki_tables,

@@ -167,6 +167,50 @@ def reloaded_index(spark: SparkSession, sf_dir: str, layout: str, docids: int) -
     return stored(spark, sf_dir, f"reloaded-{layout}-{docids}", write)
 
 
+# The elements that go with their content, those whose tags go, and the single tags that go; written down
+# here once more, so that the texts below do not depend on the rules that they check.
+DROPPED = (
+    "table gallery math code syntaxhighlight score noinclude onlyinclude includeonly categorytree ce graph hiero imagemap "
+    "indicator inputbox ref references source timeline templatedata time var ruby rb dl ol ul"
+).split() + ["math chem"]
+UNWRAPPED = (
+    "h1 h2 h3 h4 h5 h6 small blockquote sup sub u del ins s p abbr b bdi bdo cite data dfn em i kbd mark q samp strong big "
+    "center font tt div poem pre"
+).split()
+SINGLE = ["<b/>", "<ref/>", '<ref name="x" />', "<references/>", "<references a />", "<hr>", "<wbr>", "<nowiki />"]
+
+
+def element_texts(text: str, kind: str) -> tuple[str, str]:
+    """SQL of a text in which every element of a kind stands bare, with attributes, over lines, closed twice and unclosed, and of
+    what is left of it; one of them holds the text of the expression `text`, which should hold no tags."""
+    body, left = ["'begin '"], ["'begin '"]
+    if kind == "single":
+        for tag in SINGLE:
+            body.append(f"'a{tag}b\n'")
+            left.append("'ab\n'")
+        return " || ".join([text, *body]), " || ".join([text, *left])
+    keeps = kind == "keep"
+    for tag in UNWRAPPED if keeps else DROPPED:
+        over_lines = f'<{tag} k="v">y\nz</{tag}>'
+        # a quote does not go over lines
+        kept_lines = over_lines if tag == "q" else "y\nz"
+        body += [f"'1<{tag}>'", text if tag in ("p", "table") else "'x'", f"'</{tag}>2{over_lines}3</{tag}>4<{tag}>5\n'"]
+        left += ["'1'", (text if tag == "p" else "'x'") if keeps else "''", f"'2{kept_lines if keeps else ''}3</{tag}>4<{tag}>5\n'"]
+    return " || ".join(body), " || ".join(left)
+
+
+def without_tags(text: str) -> str:
+    """SQL: a text without what could be part of a tag."""
+    return f"replace(replace(coalesce({text}, ''), '<', ' '), '>', ' ')"
+
+
+def elements(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """(docid, body): every document's text among all elements of a kind."""
+    body, _ = element_texts(without_tags("text"), kind)
+    documents = in_files(spark, sf_dir, "documents", "doc_id", "text")
+    return documents.select(F.col("doc_id").alias("docid"), F.expr(body).alias("body"))
+
+
 def damaged(docid):
     """How a page of the damaged dump is damaged, if it is: an entity that is not defined, an element without its end, an
     id that is no number."""

@@ -316,6 +316,57 @@ for _step in M.BEFORE_ENTITIES + M.AFTER_ENTITIES:
     _add_step(_step)
 
 
+def _add_elements(kind, clean):
+    """All elements of a kind, against what is left of each: the SQL holds no pattern."""
+    left = X.element_texts(X.without_tags("text"), kind)[1]
+
+    @query(f"clean_elements_{kind}", f"SELECT doc_id AS docid, {left} AS body FROM documents")
+    def run(spark, sf_dir):
+        return X.elements(spark, sf_dir, kind).select("docid", clean(F.col("body")).alias("body"))
+
+
+for _kind, _clean in (("drop", M.clean_drop_tags), ("keep", M.clean_keep_tags), ("single", M.clean_drop_tags)):
+    _add_elements(_kind, _clean)
+
+
+def _nested(spark, sf_dir):
+    """Each document's text within as many elements as its docid tells, some closed twice, some not at all."""
+    levels = (F.col("doc_id") % 300).cast("int")
+    text = F.expr(X.without_tags("text"))
+    body = F.concat(F.repeat(F.lit("<span a>"), levels), F.lit("<div>"), text, F.repeat(F.lit("</span>"), levels + 1), F.lit("<span>"))
+    return X.in_files(spark, sf_dir, "documents", "doc_id", "text").select(F.col("doc_id").alias("docid"), body.alias("body"))
+
+
+@query(
+    "clean_nested_deep",
+    f"SELECT doc_id AS docid, '<div>' || {X.without_tags('text')} || '</span><span>' AS body FROM documents",
+)
+def clean_nested_deep(spark, sf_dir):
+    return _nested(spark, sf_dir).select("docid", M.clean_nested_tags(F.col("body")).alias("body"))
+
+
+# What stands for a reference, and what it says; decoded once.
+_REFERENCES = [
+    ("&auml;", "ä"), ("&#228;", "ä"), ("&#xE4;", "ä"), ("&#XE4", "ä"), ("&amp;lt;", "&lt;"), ("&amp", "&"), ("&notit;", "¬it;"),
+    ("&nope;", "&nope;"), ("&;", "&;"), ("&#128;", "€"), ("&#x1F600;", "\U0001f600"), ("&#0;", "\ufffd"), ("&#11;", ""),
+    ("&NotEqualTilde;", "\u2242\u0338"), ("&hellip", "&hellip"), ("&copy2024", "©2024"),
+]
+
+
+def _referring(sayings: int) -> str:
+    """SQL: a document's words without ampersands, with a reference (0) or what it says (1) before each end of a sentence."""
+    plain = "replace(replace(coalesce(text, ''), '&', ' '), ';', ' ')"
+    parts = "".join(saying[sayings] + " " for saying in _REFERENCES)
+    return f"replace({plain}, '. ', ' {parts}. ') || ' {parts}'"
+
+
+@query("clean_references", f"SELECT doc_id AS docid, {_referring(1)} AS body FROM documents")
+def clean_references(spark, sf_dir):
+    """Named, numeric, unterminated, unknown and twice escaped references in the documents' texts."""
+    documents = X.in_files(spark, sf_dir, "documents", "doc_id", "text")
+    return C.clean_unescape_html(documents.select(F.col("doc_id").alias("docid"), F.expr(_referring(0)).alias("body")), "body")
+
+
 @query("clean_unescape_html", O.step("clean_unescape_html"))
 def clean_unescape_html(spark, sf_dir):
     return C.clean_unescape_html(X.markup(spark, sf_dir), "body")
