@@ -190,3 +190,29 @@ def test_sketch_follows_edits():
     together = D.sketches(np.concatenate([*short, a]), np.array([1, 3, 5, 7, 300]))
     assert all((sketch(x) == y).all() for x, y in zip([*short, a], together))
     assert same(a, a) == 1 and same(a, b) > 0.5 > same(a, rng.permutation(a)) and same(a, turned) < 0.9
+
+
+def test_long_near_copies(spark):
+    """30,000 words, a few of them replaced, dropped and put in; and a long text that shares only its half."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(5000)}" for _ in range(30_000)]
+    near, half = list(base), base[:15_000] + [f"n{rng.randrange(10**6)}" for _ in range(15_000)]
+    for _ in range(200):
+        at = rng.randrange(len(near))
+        near[at : at + rng.randrange(2)] = [f"x{rng.randrange(10**6)}"] * rng.randrange(2)
+    df = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(half))], "doc_id long, text string")
+    assert {r.id: r.class_id for r in D.classify(df).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_scratch_tables_go(spark, monkeypatch):
+    import os
+
+    kept = []
+    store = D.stored
+    monkeypatch.setattr(D, "stored", lambda df, name: kept.append(store(df, name)) or kept[-1])
+    df = spark.createDataFrame(list(enumerate(make(n=12))), "doc_id long, text string")
+    assert D.classify(df).count() == df.count()
+    left = [t.stored_at for t in kept if os.path.isdir(t.stored_at)]
+    # what the lazy result reads: rows, nodes, the last labels, and the tested pairs
+    assert {os.path.basename(p).split("-")[0] for p in left} <= {"rows", "nodes", "stars", "verified"}
+    assert sum("nodes-" in p or "rows-" in p or "stars-" in p for p in left) == 3

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wortfund.session import scratch_path
+from wortfund.session import drop_scratch, scratch_path
 
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -64,7 +64,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete the files of stored tables, once all that is made of them is stored itself."""
+    for table in tables:
+        drop_scratch(table.sparkSession, table.stored_at)
 
 
 def spread_key(*columns: Column, parts: int, seed: int = 0) -> Column:

@@ -12,10 +12,14 @@
 
 Large groups: the members are first linked in chunks, each only to the centres of its chunk, which
 joins a group of copies at one link a member; only the groups of FIRST_SKETCHES are linked so. What then still
-lies in different classes is compared in blocks, across every whole group: first each member with its closest
-one, then every pair that the bound leaves, taken over FINE_BINS bins; first in the groups of ROUND_SKETCHES, then in
-all others. So no group is held in one task, no pairs are emitted for a group that hangs together, and
-no link between classes is lost that shares a sketch.
+lies in different classes is compared in blocks: first each member with the closest one of its smallest group, then, across every
+whole group, every pair that the bound leaves, taken over FINE_BINS bins, in the least of the groups that both are in; first in
+the groups of ROUND_SKETCHES, then in all others. So no group is held in one task, no pairs are emitted for a group that hangs together, a pair
+comes up once, and no link between classes is lost that shares a sketch.
+
+Long texts: the band starts narrow, so near copies of any length take time and memory in proportion to their words and changes. A
+pair that all bounds leave open though it is not similar takes words x 0.2 words steps (400 million at 45,000 words, a few seconds),
+and memory for one row of the band only.
 
 A null text is compared with nothing. Texts without words are copies if they are equal. Ties are broken
 by id. Repeated rows are copies. Rows without an id take part; a class of such rows only has no id. An empty
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wortfund.llm.common import packed, quoted, stored, words
+from wortfund.llm.common import dropped, packed, quoted, stored, words
 
 #: Words in a k-mer, and the similarity from which texts are near-duplicates.
 K, SIMILARITY = 5, 0.8
@@ -48,6 +52,8 @@ CHUNK = 1024
 
 _ODD = np.random.default_rng(17).integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LAST = np.uint64(2**64 - 1)
+#: The last bits of a sketch tell which of the SKETCHES it is.
+_PLACES = (1 << (SKETCHES - 1).bit_length()) - 1
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -98,6 +104,7 @@ def sketches(word: np.ndarray, size: np.ndarray) -> np.ndarray:
     out = np.broadcast_to(every.astype(np.uint64), at.shape[:2])
     for k in range(PICKS):
         out = _mixed(out * np.uint64(31) + label[at[:, :, k]])
+    out = (out & ~np.uint64(_PLACES)) | every.astype(np.uint64)
     return out.view(np.int64)
 
 
@@ -110,7 +117,8 @@ def _signed(batches):
         found = iter(sketches(value, size[full]))
         ends = np.cumsum(size)
         bins = (value % np.uint64(BINS)).astype(np.int64)
-        bags = [np.bincount(bins[e - n : e], minlength=BINS).astype(np.int32).tobytes() if n else None for e, n in zip(ends, size)]
+        # a byte each: a full bin counts no further
+        bags = [np.minimum(np.bincount(bins[e - n : e], minlength=BINS), 255).astype(np.uint8).tobytes() if n else None for e, n in zip(ends, size)]
         yield pa.record_batch(
             [
                 batch["id"],
@@ -275,13 +283,13 @@ def _fine(batches):
 _PAIRS = "a binary, b binary"
 
 
-def _in_groups(keys: list[str], pairs_of, count=np.int32):
+def _in_groups(keys: list[str], pairs_of, bins: int):
     """pairs_of(columns of a group) for each run of equal keys in sorted rows. Many small groups share a batch;
     what is held besides is the last group, as far as it has come."""
 
     def pairs_in(table: pa.Table, cuts: np.ndarray):
         node, n = table["node"].to_pylist(), table["n"].to_numpy()
-        bag = np.frombuffer(b"".join(table["bag"].to_pylist()), dtype=count).reshape(len(node), BINS if count == np.int32 else FINE_BINS)
+        bag = np.frombuffer(b"".join(table["bag"].to_pylist()), dtype=np.uint8).reshape(len(node), bins)
         more = [table[c].to_numpy(zero_copy_only=False) for c in table.column_names if c not in (*keys, "node", "n", "bag")]
         found = []
         for a, b in zip(cuts, cuts[1:]):
@@ -308,19 +316,19 @@ def _in_groups(keys: list[str], pairs_of, count=np.int32):
     return run
 
 
-def _paired(rows: DataFrame, keys: list[str], pairs_of, count=np.int32) -> DataFrame:
+def _paired(rows: DataFrame, keys: list[str], pairs_of, bins: int = BINS) -> DataFrame:
     """(a, b) of all groups; a group's rows come by n and node."""
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "n", "node").mapInArrow(_in_groups(keys, pairs_of, count), _PAIRS)
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "n", "node").mapInArrow(_in_groups(keys, pairs_of, bins), _PAIRS)
 
 
 def _centres(similarity: float):
     """In a chunk, every member is paired with the first centre it may be similar to, or is a new centre."""
 
     def pairs_of(node, n, bag):
-        free, pairs = np.arange(len(node)), []
+        free, pairs, spare = np.arange(len(node)), [], n - bag.sum(axis=1, dtype=np.int64)
         while len(free):
             rest = free[1:]
-            can = _possible(bag[free[0]], bag[rest], n[free[0]], n[rest], similarity)
+            can = _possible(bag[free[0]], bag[rest], n[free[0]], n[rest], similarity, np.minimum(spare[free[0]], spare[rest]))
             pairs += [(node[free[0]], node[i]) for i in rest[can]]
             free = rest[~can]
         return pairs
@@ -329,10 +337,11 @@ def _centres(similarity: float):
 
 
 def _across(similarity: float, closest: bool):
-    """In a cell, pairs of different classes: all, or each minor member with its closest in the largest class, if
-    it may be similar to one there, else with its closest in any."""
+    """In a cell, pairs of different classes: each minor member with its closest in the largest class, if it may be similar to
+    one there, else with its closest in any; or all pairs, but those that have a lesser group in common (`less`: the groups
+    of a member that are less than this one)."""
 
-    def pairs_of(node, n, bag, label, major, minor):
+    def pairs_of(node, n, bag, label, major, minor, less):
         members, pairs = np.flatnonzero(~minor), []
         theirs, spare = bag[members], n - bag.sum(axis=1, dtype=np.int64)
         for i in np.flatnonzero(minor):
@@ -341,6 +350,9 @@ def _across(similarity: float, closest: bool):
             if closest and len(hits):
                 common = np.minimum(bag[i][None, :], bag[hits]).sum(axis=1)
                 hits = hits[np.lexsort((-common, ~major[hits]))[:1]]
+            if len(less[i]):
+                known = set(less[i].tolist())
+                hits = [j for j in hits if known.isdisjoint(less[j].tolist())]
             pairs += [(min(node[i], node[j]), max(node[i], node[j])) for j in hits]
         return pairs
 
@@ -351,11 +363,11 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label): label is the least node of the component, for edges (a, b).
 
     Alternating large and small stars; every round is stored, and only a count and a checksum are
-    brought to the driver.
+    brought to the driver. The result lies in the last round's table, `stored_at`.
     """
     mark = lambda e: e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
-    state = None
+    state = last = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -364,13 +376,17 @@ def components(edges: DataFrame) -> DataFrame:
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
         small = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         edges = stored(small.where("a != b").distinct(), "stars")
-        now = mark(edges)
+        if last is not None:
+            dropped(last)
+        last, now = edges, mark(edges)
         if now == state:
             break
         state = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
+    out = edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     )
+    out.stored_at = edges.stored_at
+    return out
 
 
 class _Graph:
@@ -391,16 +407,21 @@ class _Graph:
         text = stored(self.texts.join(F.broadcast(wanted) if small else wanted, same), "found")
         # one row of each node; rows may be repeated, and the key is a hash. Stored before, so that the digests of
         # all documents do not become a key of that join
+        found = text
         text = _with_nodes(text).where("node = wanted").select("node", F.transform("w", lambda x: F.xxhash64(x)).alias("words"))
-        return stored(text.dropDuplicates(["node"]), "texts")
+        text = stored(text.dropDuplicates(["node"]), "texts")
+        dropped(wanted, found)
+        return text
 
-    def test(self, pairs: DataFrame) -> None:
-        """Verify pairs not tested before, and join what they link."""
+    def test(self, pairs: DataFrame, *made_from: DataFrame) -> None:
+        """Verify pairs not tested before, and join what they link. made_from: stored tables that only the pairs need."""
         new = pairs.distinct()
         if self.tested is not None:
             new = new.join(self.tested, ["a", "b"], "left_anti")
         new = stored(new, "pairs")
+        dropped(*made_from)
         if new.isEmpty():
+            dropped(new)
             return
         text = self.words(new.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = new.join(text.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(
@@ -408,35 +429,41 @@ class _Graph:
         )
         found = both.select("a", "b", "wa", "wb").mapInArrow(_verify(self.similarity), "a binary, b binary, ok boolean")
         done = stored(found, "verified")
+        dropped(new, text)
         self.tested = done if self.tested is None else self.tested.unionByName(done)
-        self.labels = components(self.tested.where("ok").select("a", "b"))
+        edges, old = done.where("ok").select("a", "b"), self.labels
+        if old is not None:  # what hangs together so far goes in as stars
+            edges = edges.unionByName(old.select(F.col("label").alias("a"), F.col("node").alias("b")))
+        self.labels = components(edges)
+        if old is not None:
+            dropped(old)
 
 
 def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): rows (id, node) for every row of df; classes (node, class_id, class_rep):
     class_id is the least id of the class, class_rep the (id, node) that stands for it."""
-    rows = stored(signatures(df, id_col, text_col), "signatures")
-    info = rows.where("node IS NOT NULL").groupBy("node")
+    signed = stored(signatures(df, id_col, text_col), "signatures")
+    info = signed.where("node IS NOT NULL").groupBy("node")
     # id and text of one and the same row: the least id, null only where there is no other
     rep = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("of")
     info = info.agg(rep, F.first("n").alias("n"), F.first("bag").alias("bag"), F.first("sketches").alias("sketches"))
-    nodes = stored(info.select("node", F.col("of.id").alias("rep"), F.col("of.key").alias("rep_key"), "n", "bag", "sketches"), "nodes")
-    keyed = nodes.where("n > 0").select("node", F.posexplode("sketches").alias("j", "s"))
-    groups = keyed.groupBy("j", "s").agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")
-    )
-    groups = groups.where("size > 1").groupBy("size", "x", "y").agg(F.min(F.struct("j", "s")).alias("first")).select("size", "first.*")
-    members = stored(
-        keyed.join(groups, ["j", "s"]).join(nodes.select("node", "n", "bag"), "node").select("j", "s", "size", "node", "n", "bag"), "members"
-    )
+    # a number for each node, which takes less room than its digest; it is written down, so that it stays
+    number = F.monotonically_increasing_id().alias("no")
+    full = stored(info.select(number, "node", F.col("of.id").alias("rep"), F.col("of.key").alias("rep_key"), "n", "bag", "sketches"), "nodes")
+    rows = stored(signed.select("id", "node"), "rows")
+    dropped(signed)
+    members = _members(full)
+    nodes = stored(full.select("node", "rep", "rep_key"), "nodes")
+    dropped(full)
     graph = _Graph(df, nodes, id_col, text_col, similarity)
     chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK)).alias("chunk")
-    first = members.where(F.col("j") < FIRST_SKETCHES).select("s", chunk, "node", "n", "bag")
+    first = members.where(_place("s") < FIRST_SKETCHES).select("s", chunk, "node", "n", "bag")
     centred = _paired(first, ["s", "chunk"], _centres(similarity))
     graph.test(centred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    for of_round in (F.col("j") < ROUND_SKETCHES, F.col("j") >= ROUND_SKETCHES):
+    for of_round in (_place("s") < ROUND_SKETCHES, _place("s") >= ROUND_SKETCHES):
         for closest in (True, False):
-            graph.test(_open_pairs(members.where(of_round), graph, similarity, closest))
+            graph.test(*_open_pairs(members.where(of_round), graph, similarity, closest))
+    dropped(members)
     own = nodes.select("node", "rep")
     labelled = own.withColumn("label", F.col("node")) if graph.labels is None else own.join(graph.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = F.min(F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("id"), F.col("node").alias("node")))
@@ -445,35 +472,68 @@ def near_duplicates(df: DataFrame, id_col="doc_id", text_col="text", similarity:
     return rows.select("id", "node"), classes
 
 
-def _open_pairs(members: DataFrame, graph: _Graph, similarity: float, closest: bool) -> DataFrame:
-    """Pairs that may be similar, of members of a group that lie in different classes so far.
+def _place(sketch: str):
+    """Which of the SKETCHES a sketch is: its last bits."""
+    return F.col(sketch).bitwiseAND(F.lit(_PLACES))
+
+
+def _members(nodes: DataFrame) -> DataFrame:
+    """(s, size, node, n, bag) of the nodes in each group, the nodes with sketch s; of groups with the same nodes the first.
+
+    What every sketch of every node moves is a count by sketch, and the node's number to the sketches that are shared.
+    """
+    keyed = nodes.where("n > 0").select("no", F.explode("sketches").alias("s"))
+    shared = keyed.groupBy("s").agg(F.count("*").alias("size")).where("size > 1").select("s")
+    linked = stored(keyed.join(shared, "s"), "linked")
+    groups = linked.groupBy("s").agg(
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("no")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "no")).alias("y")
+    )
+    first = F.min(F.struct(_place("s").alias("place"), "s")).alias("first")
+    groups = groups.groupBy("size", "x", "y").agg(first).select(F.col("first.s").alias("s"), "size")
+    of_groups = linked.join(groups, "s").join(nodes.select("no", "node", "n", "bag"), "no")
+    members = stored(of_groups.select("s", "size", "node", "n", "bag"), "members")
+    dropped(linked)
+    return members
+
+
+def _open_pairs(members: DataFrame, graph: _Graph, similarity: float, closest: bool) -> tuple[DataFrame, ...]:
+    """Pairs that may be similar, of members of a group that lie in different classes so far; and the stored tables that they need.
 
     The class with most members of a group is only compared with the others. These lie in blocks,
-    all members in chunks; each block meets each chunk in a cell of its own. Where every pair is wanted, their
-    words are read again for finer bins: these leave far fewer pairs of long texts.
+    all members in chunks; each block meets each chunk in a cell of its own. For its closest one, a member is compared in its smallest
+    group only. Where every pair is wanted, their words are read again for finer bins: these leave far fewer pairs of long texts.
     """
-    labels, count = graph.labels, np.int32
+    labels = graph.labels
     known = members.withColumn("label", F.col("node")) if labels is None else members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     by_class = known.groupBy("s", "label").agg(F.count("*").alias("k"))
-    apart = by_class.groupBy("s").agg(F.count("*").alias("classes"), F.sum("k").alias("all"), F.max(F.struct("k", "label")).alias("most")).where("classes > 1")
-    shape = apart.select(
-        "s",
-        F.col("most.label").alias("major"),
-        F.ceil((F.col("all") - F.col("most.k")) / CHUNK).alias("blocks"),
-        F.ceil(F.col("all") / CHUNK).alias("chunks"),
-    )
-    open_ = known.join(shape, "s")
-    if not closest:
-        open_ = stored(open_, "open")
-        fine = graph.words(open_.select("node").distinct()).mapInArrow(_fine, "node binary, bag binary")
-        open_, count = open_.drop("bag").join(stored(fine, "fine"), "node"), np.uint8
+    apart = by_class.groupBy("s").agg(F.count("*").alias("classes"), F.max(F.struct("k", "label")).alias("most")).where("classes > 1")
+    shape = apart.select("s", F.col("most.label").alias("major"))
+    open_ = stored(known.join(shape, "s"), "open")
+    minors, tables = open_.where("label != major"), [open_]
+    if closest:
+        smallest = minors.groupBy("node").agg(F.min(F.struct("size", "s")).alias("least")).select("node", F.col("least.s").alias("s"))
+        minors = minors.join(smallest, ["node", "s"], "left_semi")
+        alls, bins = open_.withColumn("less", F.array().cast("array<bigint>")), BINS
+        minors = minors.withColumn("less", F.array().cast("array<bigint>"))
+    else:
+        text = graph.words(open_.select("node").distinct())
+        fine = stored(text.mapInArrow(_fine, "node binary, bag binary"), "fine")
+        dropped(text)
+        # the groups of a node, so that a pair comes up in the least that both are in
+        groups = open_.groupBy("node").agg(F.collect_list("s").alias("groups"))
+        alls, bins = open_.drop("bag").join(fine, "node").join(groups, "node"), FINE_BINS
+        alls = alls.withColumn("less", F.filter("groups", lambda g: g < F.col("s"))).drop("groups")
+        minors = alls.where("label != major")
+        tables.append(fine)
+    blocks = minors.groupBy("s").agg(F.ceil(F.count("*") / CHUNK).alias("blocks"))
     part = lambda n: F.pmod(F.xxhash64("node"), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    columns = ["s", "node", "n", "bag", "label", (F.col("label") == F.col("major")).alias("largest")]
-    minors = open_.where("label != major").select(*columns, F.lit(True).alias("minor"), part(F.col("blocks")).alias("block"), every(F.col("chunks")).alias("chunk"))
-    alls = open_.select(*columns, F.lit(False).alias("minor"), part(F.col("chunks")).alias("chunk"), every(F.col("blocks")).alias("block"))
-    cells = minors.unionByName(alls).select("s", "block", "chunk", "node", "n", "bag", "label", "largest", "minor")
-    return _paired(cells, ["s", "block", "chunk"], _across(similarity, closest), count)
+    chunks = F.ceil(F.col("size") / CHUNK)
+    columns = ["s", "node", "n", "bag", "label", (F.col("label") == F.col("major")).alias("largest"), "less"]
+    minors = minors.join(blocks, "s").select(*columns, F.lit(True).alias("minor"), part(F.col("blocks")).alias("block"), every(chunks).alias("chunk"))
+    alls = alls.join(blocks, "s").select(*columns, F.lit(False).alias("minor"), part(chunks).alias("chunk"), every(F.col("blocks")).alias("block"))
+    cells = minors.unionByName(alls).select("s", "block", "chunk", "node", "n", "bag", "label", "largest", "minor", "less")
+    return _paired(cells, ["s", "block", "chunk"], _across(similarity, closest), bins), *tables
 
 
 def classify(df: DataFrame, id_col="doc_id", text_col="text", similarity: float = SIMILARITY) -> DataFrame:
