@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -68,3 +69,19 @@ def test_odd_and_empty(odd, empty, content, library):
     assert bpe.encode(empty, content).count() == 0
     got = {r.doc_id: r for r in tokens_of(odd, content).collect()}
     assert got[2].n_tokens == 0 and got[2].ids_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_a_full_table_starts_anew(documents, content, library, monkeypatch):
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 20_000)
+    monkeypatch.setattr(bpe, "TEXT_BYTES", 5_000)
+    splitter = bpe.Splitter(content)
+    table, cleared = bpe._Table(splitter), []
+    clear = table.clear
+    monkeypatch.setattr(table, "clear", lambda: (cleared.append(len(table.number)), clear()))
+    texts = [r.text for r in documents.select("text").collect()] + TRICKY
+    for text in texts:
+        assert table.encode(splitter.words(text)).tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert len(cleared) > 3 and min(cleared) > 10
+    batch = pa.record_batch([pa.array(range(len(texts)))], names=["at"])
+    slices = list(bpe._some_rows(batch, np.array([len((t or "").encode()) for t in texts])))
+    assert [x for s in slices for x in s["at"].to_pylist()] == list(range(len(texts))) and len(slices) > 3

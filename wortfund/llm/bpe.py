@@ -2,7 +2,8 @@
 
 Spark splits the documents; each task splits its texts into the tokenizer's words (its pre-tokenizer's pieces, special
 tokens apart) and keeps a table of the distinct ones, each encoded once; the ids are joined to the words by position.
-Merges never cross words, so the ids are those of encoding the whole text. Decoding joins each id with its
+Merges never cross words, so the ids are those of encoding the whole text. The table holds its ids in one array and starts anew
+when it has TABLE_BYTES; texts are put out TEXT_BYTES at a time, and a task hands its memory back at its end. Decoding joins each id with its
 piece, the vocabulary's bytes, and puts the pieces together in order. There is no shuffle.
 
 One table for the whole input was built first: blocks of documents sent their distinct words to it by hash and got
@@ -18,16 +19,16 @@ from __future__ import annotations
 
 import json
 import os
-import zlib
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wortfund.llm.common import packed, quoted, unpacked
+from wortfund.llm.common import hand_back_memory, packed, quoted, unpacked
 
 
 def vocabulary(path: str) -> str:
@@ -88,37 +89,76 @@ def piece_bytes(content: str) -> list[bytes]:
     return out
 
 
-_HELD: dict[int, Splitter] = {}
-
-
-def _splitter(content: str) -> Splitter:
-    """One splitter in a Python worker."""
-    key = zlib.crc32(content.encode())
-    if key not in _HELD:
-        # Spark's tasks share out the cores
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _HELD[key] = Splitter(content)
-    return _HELD[key]
-
-
-#: Words in a task's table, at most; beyond that it starts anew.
-TABLE_WORDS = 500_000
+#: Bytes of a task's table, about, and of the texts that are put out together; a longer text is put out alone.
+TABLE_BYTES, TEXT_BYTES = 48 << 20, 4 << 20
+#: Bytes of a word in the table besides its characters: the string, its entry and number, and where its ids are.
+_ENTRY_BYTES = 180
+
+
+class _Table:
+    """The distinct words of a task, numbered, and their ids one after another."""
+
+    def __init__(self, splitter: Splitter):
+        self.splitter = splitter
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.end, self.bytes = np.empty(1 << 16, dtype=np.int32), np.zeros(1 << 14, dtype=np.int64), 0
+
+    def _add(self, words: list[str]) -> None:
+        found = self.splitter.encode(words)
+        n, at = len(self.number), int(self.end[len(self.number)])
+        ends = at + np.cumsum([len(f) for f in found])
+        while len(self.end) <= n + len(words):
+            self.end = np.concatenate([self.end, np.zeros_like(self.end)])
+        while len(self.ids) < ends[-1]:
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.end[n + 1 : n + 1 + len(words)] = ends
+        self.ids[at : ends[-1]] = np.fromiter(chain.from_iterable(found), dtype=np.int32)
+        self.number.update(zip(words, range(n, n + len(words))))
+        self.bytes += int(ends[-1] - at) * 4 + sum(map(len, words)) + _ENTRY_BYTES * len(words)
+
+    def encode(self, words: list[str]) -> np.ndarray:
+        """The ids of words, one after another."""
+        if self.bytes > TABLE_BYTES:
+            self.clear()
+        new = [w for w in dict.fromkeys(words) if w not in self.number]
+        if new:
+            self._add(new)
+        own = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        start, size = self.end[own], self.end[own + 1] - self.end[own]
+        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        return self.ids[np.repeat(start, size) + inner]
+
+
+def _some_rows(batch: pa.RecordBatch, sizes: np.ndarray):
+    """Slices of a batch with about TEXT_BYTES each."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > TEXT_BYTES:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    yield batch.slice(start)
+
+
+def _text_sizes(texts) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
 
 
 def _encoded(content: str, text_col: str):
     def run(batches):
-        splitter, table = _splitter(content), {}
+        # Spark's tasks share out the cores
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        splitter = Splitter(content)
+        table = _Table(splitter)
         for batch in batches:
-            out = []
-            for text in batch["row"].field(text_col):
-                own = splitter.words(text.as_py())
-                new = [w for w in dict.fromkeys(own) if w not in table]
-                if new:
-                    table.update(zip(new, splitter.encode(new)))
-                out.append(np.fromiter(chain.from_iterable(map(table.__getitem__, own)), dtype=np.int32))
-                if len(table) > TABLE_WORDS:
-                    table.clear()
-            yield pa.record_batch([batch["row"], pa.array(out, pa.list_(pa.int32()))], names=["row", "ids"])
+            for some in _some_rows(batch, _text_sizes(batch["row"].field(text_col))):
+                out = [table.encode(splitter.words(text.as_py())) for text in some["row"].field(text_col)]
+                yield pa.record_batch([some["row"], pa.array(out, pa.list_(pa.int32()))], names=["row", "ids"])
+        del splitter, table
+        hand_back_memory()
 
     return run
 
@@ -135,14 +175,17 @@ def _pieces(pieces: list[bytes]):
         size = np.array([len(p) for p in pieces], dtype=np.int64)
         flat, start = np.frombuffer(b"".join(pieces), dtype=np.uint8), np.cumsum(size) - size
         for batch in batches:
-            out = []
-            for ids in batch["ids"]:
-                own = ids.values.to_numpy() if ids.is_valid else np.empty(0, dtype=np.int64)
-                n = size[own]
-                inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                # bytes that make no character become the replacement character
-                out.append(flat[np.repeat(start[own], n) + inner].tobytes().decode("utf-8", "replace"))
-            yield pa.record_batch([batch["row"], pa.array(out, pa.string())], names=["row", "decoded"])
+            sizes = 4 * pc.fill_null(pc.list_value_length(batch["ids"]), 0).to_numpy(zero_copy_only=False)
+            for some in _some_rows(batch, sizes):
+                out = []
+                for ids in some["ids"]:
+                    own = ids.values.to_numpy() if ids.is_valid else np.empty(0, dtype=np.int64)
+                    n = size[own]
+                    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    # bytes that make no character become the replacement character
+                    out.append(flat[np.repeat(start[own], n) + inner].tobytes().decode("utf-8", "replace"))
+                yield pa.record_batch([some["row"], pa.array(out, pa.string())], names=["row", "decoded"])
+        hand_back_memory()
 
     return run
 

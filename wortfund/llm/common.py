@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +79,14 @@ def dropped(*tables: DataFrame) -> None:
         drop_scratch(table.sparkSession, table.stored_at)
 
 
+def hand_back_memory() -> None:
+    """At the end of a task: give what Arrow and the C library hold free back to the system, since the Python worker lives on."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def spread_key(*columns: Column, parts: int, seed: int = 0) -> Column:
     """A number below `parts` from a seeded hash of the columns and of the input partition.
 

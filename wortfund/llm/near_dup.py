@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wortfund.llm.common import dropped, packed, quoted, stored, words
+from wortfund.llm.common import dropped, hand_back_memory, packed, quoted, stored, words
 
 #: Words in a k-mer, and the similarity from which texts are near-duplicates.
 K, SIMILARITY = 5, 0.8
@@ -130,6 +130,7 @@ def _signed(batches):
             ],
             names=["id", "key", "node", "n", "sketches", "bag"],
         )
+    hand_back_memory()
 
 
 def _with_nodes(df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wortfund.llm import bpe, hard_negatives, html_text, langid, lm, mixing, near_dup, periodic, quality, secret_scan, sharding, topk, toxicity
+from wortfund.llm.common import hand_back_memory
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -118,6 +119,7 @@ def _digests(batches):
             ],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *batch.schema.names[3:]],
         )
+    hand_back_memory()
 
 
 def tokens_of(docs: DataFrame, content: str, *more: str) -> DataFrame:
