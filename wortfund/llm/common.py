@@ -74,9 +74,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def dropped(*tables: DataFrame) -> None:
-    """Delete the files of stored tables, once all that is made of them is stored itself."""
+    """Delete the files of stored tables, once all that is made of them is stored itself.
+
+    Spark deletes the shuffle files of a job that has ended when the driver's JVM collects its plan, which a driver with little to
+    do may put off for half an hour; so it is asked to.
+    """
     for table in tables:
         drop_scratch(table.sparkSession, table.stored_at)
+    if tables:
+        spark = tables[0].sparkSession
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def hand_back_memory() -> None:

@@ -50,8 +50,9 @@ BROADCAST_ROWS = 200_000
 #: Members that one task compares with one another.
 CHUNK = 1024
 
-_ODD = np.random.default_rng(17).integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LAST = np.uint64(2**64 - 1)
+# Multipliers of the hash functions that pick k-mers. 32 bits do: a tie between k-mers of a text only makes a sketch less telling.
+_ODD = np.random.default_rng(17).integers(1, 2**31, SKETCHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_LAST = np.uint32(2**32 - 1)
 #: The last bits of a sketch tell which of the SKETCHES it is.
 _PLACES = (1 << (SKETCHES - 1).bit_length()) - 1
 
@@ -65,12 +66,20 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def _occurrences(doc: np.ndarray, x: np.ndarray) -> np.ndarray:
     """For each value, how many equal ones stand before it in its document."""
-    order = np.lexsort((x, doc))  # stable
-    s, d = x[order], doc[order]
-    new = np.ones(len(x), dtype=bool)
-    new[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
-    out, at = np.empty(len(x), dtype=np.uint64), np.arange(len(x))
-    out[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+    out = np.zeros(len(x), dtype=np.uint64)
+    # most stand once: only what a quick sort finds repeated is sorted by document, value and place
+    key = _mixed(x + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(key)
+    same = key[order[1:]] == key[order[:-1]]
+    again = np.zeros(len(x), dtype=bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    places = np.flatnonzero(again)
+    if len(places):
+        order = places[np.lexsort((x[places], doc[places]))]  # stable
+        s, d, at = x[order], doc[order], np.arange(len(order))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
+        out[order] = at - np.maximum.accumulate(np.where(new, at, 0))
     return out
 
 
@@ -88,13 +97,17 @@ def sketches(word: np.ndarray, size: np.ndarray) -> np.ndarray:
     start = end - size
     valid = np.arange(len(word)) - start[doc] < count[doc]
     label = _mixed(kmer[valid] + _occurrences(doc[valid], kmer[valid]) * np.uint64(0x9E3779B97F4A7C15))
+    short = (label >> np.uint64(32)).astype(np.uint32)
     begin = np.cumsum(count) - count
     at = np.empty((len(size), SKETCHES, PICKS), dtype=np.int64)
     every = np.arange(SKETCHES)
+    room = np.empty(max(1 << 20, SKETCHES * int(min(count.max(initial=1), 1 << 14))), dtype=np.uint32)
     for d, (a, n) in enumerate(zip(begin, count)):
         step = max(1, 2**20 // n)  # sketches at a time, so that a very long text takes little memory
         for j in range(0, SKETCHES, step):
-            h = label[None, a : a + n] * _ODD[j : j + step, None]
+            odd = _ODD[j : j + step, None]
+            h = room[: len(odd) * n].reshape(len(odd), n) if len(odd) * n <= len(room) else np.empty((len(odd), n), dtype=np.uint32)
+            np.multiply(short[None, a : a + n], odd, out=h)
             for k in range(PICKS):
                 least = h.argmin(axis=1)
                 at[d, j : j + step, k] = a + least
