@@ -80,3 +80,61 @@ def test_sample_is_bounded(documents, spark, sf):
     texts, y = toxicity.sample(documents, labels, per_class=3)
     assert 0 < len(texts) <= 6 and sorted(set(y)) == [0, 1]
     assert documents.where(F.col("text").isin(texts)).count() >= len(set(texts))
+
+
+def test_many_languages(spark):
+    """600 languages of made-up words; each text goes to its own."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = [["".join(rng.choice(letters, 6)) for _ in range(6)] for _ in range(600)]
+    rows = [(f"l{i:03d}", " ".join(rng.choice(words[i], 30))) for i in range(600)]
+    model = langid.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(model[0]) == 600
+    for i in range(0, 600, 60):
+        assert model[0][int(langid.infer(model[1], rows[i][1].encode()).argmax())] == rows[i][0]
+
+
+def test_proportions_against_a_plain_loop(spark, documents):
+    """Expectation-maximisation over the trigrams one by one."""
+    model = langid.fit(documents)
+    for row in documents.where("n_chars between 200 and 2000").limit(5).collect():
+        bucket, count = np.unique(langid.trigrams(row.text.encode()), return_counts=True)
+        like = np.exp(model[1][:, bucket].T.astype(float) - model[1][:, bucket].max(axis=0)[:, None])
+        share = [1 / 4] * 4
+        for _ in range(langid.ROUNDS):
+            new = [0.0] * 4
+            for p, c in zip(like, count):
+                total = sum(a * b for a, b in zip(p, share))
+                for k in range(4):
+                    new[k] += c * p[k] * share[k] / total
+            share = [x / count.sum() for x in new]
+        assert np.allclose(langid._proportions(like, count)[0], share)
+
+
+def test_sample_passes_over_what_does_not_fit(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 2_000)
+    monkeypatch.setattr(toxicity, "LONGEST_TEXT", 1_000)
+    texts = {i: f"text number {i}" for i in range(40)} | {3: "x" * 5_000, 4: "y" * 999, 5: "z" * 998, 6: "u" * 997}
+    docs = spark.createDataFrame([*texts.items(), *[(7, texts[7])] * 500, (8, "another text of one id"), (9, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(45)] + [(1, None), (None, 1)], "doc_id long, toxic int")
+    got, y = toxicity.sample(docs, labels)
+    assert sum(len(t) for t in got) <= 2_000 and texts[3] not in got
+    # one row of each id, its shortest text; every short text fits, and one or two of the long ones
+    short = {t for i, t in texts.items() if i not in (3, 4, 5, 6)}
+    assert len(got) == len(set(got)) and short <= set(got) and 1 <= len(set(got) - short) <= 2
+    known = {t: int(i % 4 == 0) for i, t in texts.items()}
+    assert [known[t] for t in got] == y
+    got, y = toxicity.sample(docs, labels, per_class=3)
+    assert sorted(y) == [0, 0, 0, 1, 1, 1]
+    assert toxicity.sample(docs.limit(0), labels) == ([], []) == toxicity.sample(docs, labels.limit(0))
+
+
+def test_scores_against_a_plain_loop(spark, documents):
+    """The most toxic stretch, word by word."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = toxicity.fit(documents, labels)
+    for row in toxicity.predict(documents.where("n_chars < 1500").limit(40), model).collect():
+        value = [np.mean([model[0][g] for g in toxicity.bag(w)]) for w in toxicity.tokens(row.text)]
+        width = min(toxicity.STRETCH, len(value))
+        best = max((np.mean(value[i : i + width]) for i in range(len(value) - width + 1)), default=0.0) if value else 0.0
+        assert np.isclose(row.toxicity, 1 / (1 + np.exp(-(best + model[1]))), atol=1e-6)

@@ -13,7 +13,7 @@ def brute(rows, is_query, k, scale):
         if vid is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
             sound[i] = (vid, [math.floor(scale * x) for x in v])
     out = set()
-    for qid, q in {vid: v for vid, v in sound.values() if is_query(vid)}.items():
+    for qid, q in [(vid, v) for vid, v in sound.values() if is_query(vid)]:
         scored = sorted((-sum(a * b for a, b in zip(q, v)), vid) for vid, v in sound.values() if vid != qid and len(v) == len(q))
         out |= {(qid, r + 1, vid, -s) for r, (s, vid) in enumerate(scored[:k])}
     return out
@@ -45,6 +45,26 @@ def test_repeated_query_rows(spark, monkeypatch):
     assert run(spark, rows) == brute([r[:2] for r in rows], lambda i: i % 10 == 0, 5, 256)
 
 
+def test_unlike_query_rows_of_one_id(spark, monkeypatch):
+    """Every row is answered; none of the answers holds a row of its id."""
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 64)
+    rows = [(50, [1.0, 0.0], "x"), (50, [0.0, 1.0], "x"), *[(i, [i / 10, -i / 7], "x") for i in range(1, 40)]]
+    got = run(spark, rows, every=50)
+    assert got == brute([r[:2] for r in rows], lambda i: i % 50 == 0, 5, 256) and len(got) == 10
+    df = spark.createDataFrame(rows + rows[:2], "vec_id long, embedding array<float>, score string")
+    assert topk.top_k(df, F.col("vec_id") % 50 == 0).count() == 20
+
+
+def test_rows_that_repeat_themselves_spread_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 100)
+    rows = [(7, [1.0, 2.0], "x")] * 2000 + [(10, [1.0, 1.0], "x")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string")
+    parts = topk.stored(df.withColumn("uid", F.monotonically_increasing_id()), "vectors")
+    sizes = parts.groupBy(F.pmod(F.xxhash64(F.lit(2), "uid"), F.lit(21))).count().collect()
+    assert max(r["count"] for r in sizes) < 200
+    assert [r.score for r in topk.top_k(df, F.col("vec_id") == 10, 3).collect()] == [3 * 256 * 256] * 3
+
+
 def test_ties(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 32)
     rows = [(i, [float(i % 3), 1.0], "x") for i in range(200)]

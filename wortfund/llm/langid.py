@@ -7,7 +7,7 @@ penalised likelihood: a language joins the set only if it raises the log-likelih
 PENALTY * ln(trigrams). The largest proportion gives the language.
 
 Counts are summed over all labelled texts by Spark; the model that goes to the tasks has BUCKETS numbers for
-each language and grows with the number of languages only. A null text, or one without a letter, is `und` with
+each language, 128 KB, and grows with the number of languages only, which has no limit but the memory of a task. A null text, or one without a letter, is `und` with
 score 0. Repeated rows and ties are treated alike (ties go to the first language by name). With no labelled text
 every document is `und`. An empty table gives an empty result. A column of the input named like a new one is replaced.
 """
@@ -23,8 +23,6 @@ from pyspark.sql import types as T
 from wortfund.llm.common import packed, quoted, unpacked
 
 BUCKETS = 1 << 15
-#: Languages at most: 128 MB of model.
-MAX_LANGUAGES = 500
 ROUNDS, PENALTY, SMOOTH = 12, 3.0, 0.1
 
 # ASCII letters in lower case, everything else in ASCII one space; bytes of other characters stay
@@ -77,8 +75,6 @@ def fit(df: DataFrame, lang_col="lang", text_col="text") -> tuple[list[str], np.
     packed_rows = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c"))  # BUCKETS at most
     model = {}
     for row in packed_rows.select("lang", F.col("c.bucket").alias("b"), F.col("c.n").alias("n")).toLocalIterator():
-        if len(model) == MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
         own = np.zeros(BUCKETS)
         own[np.array(row.b)] = np.array(row.n, dtype=float)
         model[row.lang] = np.log((own + SMOOTH) / (own.sum() + SMOOTH * BUCKETS)).astype(np.float32)

@@ -10,8 +10,9 @@ qualify; a query stops when the ones that can are few, and their final scores ar
 the lists are read to the end. The k best of each block are then ranked for each query.
 
 A vector that is null or holds a null or non-finite component takes no part, as query or as candidate. Only vectors
-of one length are compared. Ties go to the smaller id; rows that repeat an id are candidates of
-their own, and a repeated query is answered once, for one of its rows. Fewer candidates than
+of one length are compared. Ties go to the smaller id. Rows that repeat an id are candidates of their own, and every query row is
+answered: an id on several rows, alike or not, has an answer for each of them, of which none holds a row of that id. Rows are numbered
+and written down first; blocks are dealt by that number, so rows that repeat themselves spread over all blocks. Fewer candidates than
 k give them all; no candidates or an empty table, no rows.
 """
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wortfund.llm.common import quoted
+from wortfund.llm.common import quoted, stored
 
 #: Rows of a block.
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 4096
@@ -91,8 +92,8 @@ def _cell(k: int, scale: int):
         is_query = np.asarray(table["is_query"])
         queries, candidates = table.filter(pa.array(is_query)), table.filter(pa.array(~is_query))
         q, x = _ints(queries, "v", scale), _ints(candidates, "v", scale)
-        qid, xid = queries["id"].to_numpy(), candidates["id"].to_numpy()
-        found: list[tuple[int, int, int]] = []
+        qid, xid, uid = queries["id"].to_numpy(), candidates["id"].to_numpy(), queries["uid"].to_numpy()
+        found: list[tuple[int, int, int, int]] = []
         if len(q) and len(x):
             for at in range(0, len(q), 256):
                 some = q[at : at + 256]
@@ -103,9 +104,9 @@ def _cell(k: int, scale: int):
                     keep = xid[places] != own
                     score, ids = score[keep], xid[places][keep]
                     best = np.lexsort((ids, -score.astype(np.float64)))[:k] if score.dtype != object else sorted(range(len(ids)), key=lambda j: (-score[j], ids[j]))[:k]
-                    found += [(int(own), int(ids[j]), int(score[j])) for j in best]
-        columns = list(zip(*found)) or [(), (), ()]
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("query_id", "id", "score"), columns)})
+                    found += [(int(uid[at + i]), int(own), int(ids[j]), int(score[j])) for j in best]
+        columns = list(zip(*found)) or [(), (), (), ()]
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("uid", "query_id", "id", "score"), columns)})
 
     return run
 
@@ -115,15 +116,18 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col=
     vector = quoted(vector_col).cast("array<double>")
     sound = vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = df.where(quoted(id_col).isNotNull()).where(F.coalesce(sound, F.lit(False)))
-    rows = rows.select(quoted(id_col).cast("long").alias("id"), vector.alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    # as wide as they came: floats stay floats until they are scaled
+    kept = quoted(vector_col) if df.schema[vector_col].dataType.simpleString() == "array<float>" else vector
+    rows = rows.select(quoted(id_col).cast("long").alias("id"), kept.alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()), "vectors")
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()
     q_blocks, c_blocks = max(1, -(-sizes.q // QUERY_BLOCK)), max(1, -(-sizes.n // CANDIDATE_BLOCK))
-    part = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "id", "v"), F.lit(n)).cast("int")
+    part = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "uid"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     dims = F.size("v").alias("dims")
-    queries = rows.where("is_query").dropDuplicates(["id"]).select("id", "v", F.lit(True).alias("is_query"), dims, part(q_blocks, 1).alias("qb"), every(c_blocks).alias("cb"))
-    candidates = rows.select("id", "v", F.lit(False).alias("is_query"), dims, part(c_blocks, 2).alias("cb"), every(q_blocks).alias("qb"))
+    queries = rows.where("is_query").select("uid", "id", "v", F.lit(True).alias("is_query"), dims, part(q_blocks, 1).alias("qb"), every(c_blocks).alias("cb"))
+    candidates = rows.select("uid", "id", "v", F.lit(False).alias("is_query"), dims, part(c_blocks, 2).alias("cb"), every(q_blocks).alias("qb"))
     cells = queries.unionByName(candidates).repartition(min(q_blocks * c_blocks, 100_000), "dims", "qb", "cb")
-    best = cells.groupBy("dims", "qb", "cb").applyInArrow(_cell(k, scale), "query_id long, id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    best = cells.groupBy("dims", "qb", "cb").applyInArrow(_cell(k, scale), "uid long, query_id long, id long, score long")
+    rank = F.row_number().over(Window.partitionBy("uid").orderBy(F.desc("score"), "id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")

@@ -7,7 +7,7 @@ in use, so that a few words count in a text of any length. Misspelt words share
 their vectors, with the words seen in training.
 
 Training takes a bounded sample of labelled documents: at most `per_class` of each label, in an order given by
-a seeded digest of their ids, with whole texts of at most SAMPLE_BYTES together. Scoring is a map over all
+a seeded digest of their ids, with whole texts of at most LONGEST_TEXT bytes each and SAMPLE_BYTES together. Scoring is a map over all
 documents; the numbers sent to the tasks are BUCKETS scores.
 
 A null or empty text, like one without a word, has the score of an empty bag, which is below 0.5. Repeated rows are
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ BUCKETS, DIM = 1 << 17, 8
 GRAMS = (3, 4, 5)
 STRETCH = 6
 PER_CLASS = 2_000
-SAMPLE_BYTES = 64 << 20
+SAMPLE_BYTES, LONGEST_TEXT = 64 << 20, 4 << 20
 STEPS, RATE = 120, 0.05
 #: Steps in which a document is its average, before it is its most toxic stretch.
 WARM_STEPS = 40
@@ -125,21 +126,31 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> tuple[np.ndarra
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 3, id_col="doc_id", text_col="text", label_col="toxic"):
-    """(texts, labels): the bounded training sample."""
+    """(texts, labels): the bounded training sample.
+
+    Labelled ids in the order of a seeded hash, the first `per_class` of each label; one row of each id, its shortest text. Texts
+    of more than LONGEST_TEXT bytes take no part. Of the rest both labels are filled in turn; a text that no longer fits into
+    SAMPLE_BYTES is passed over, not the end. What comes to the driver before the texts are ids and sizes.
+    """
     known = labels.select(quoted(id_col).alias("id"), quoted(label_col).cast("int").alias("y")).dropna().groupBy("id").agg(F.max("y").alias("y"))
-    ids = None
-    for y in (0, 1):
-        some = known.where(F.col("y") == y).orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(per_class)
-        ids = some if ids is None else ids.unionByName(some)
     texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).where("text IS NOT NULL")
-    chosen = texts.join(F.broadcast(ids), "id")  # 2 * per_class ids at most
-    got, size = [], 0
-    for row in chosen.orderBy(F.xxhash64(F.lit(seed), "id"), "id").toLocalIterator():
-        size += len(row.text.encode())
-        if size > SAMPLE_BYTES or len(got) >= 4 * per_class:
-            break
-        got.append((row.text, row.y))
-    return [t for t, _ in got], [y for _, y in got]
+    sizes = texts.join(known, "id").select("id", "y", F.octet_length("text").alias("size"), F.xxhash64("text").alias("key"))
+    one = sizes.where(F.col("size") <= LONGEST_TEXT).groupBy("id").agg(F.max("y").alias("y"), F.min(F.struct("size", "key")).alias("text"))
+    by_hash = F.xxhash64(F.lit(seed), "id")
+    lines = [one.where(F.col("y") == y).orderBy(by_hash, "id").limit(per_class).select("id", "y", "text.*").collect() for y in (0, 1)]
+    chosen, left = [], SAMPLE_BYTES
+    for pair in zip_longest(*lines):
+        for row in pair:
+            if row is not None and row["size"] <= left:
+                left -= row["size"]
+                chosen.append((row["id"], row["y"], row["key"]))
+    if not chosen:
+        return [], []
+    kind = docs.schema[id_col].dataType.simpleString()
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, f"id {kind}, y int, key bigint"))  # 2 * per_class rows at most
+    found = texts.withColumn("key", F.xxhash64("text")).join(wanted, ["id", "key"]).groupBy("id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    got = found.orderBy(by_hash, "id").toLocalIterator()
+    return [list(x) for x in zip(*((row.text, row.y) for row in got))] or ([], [])
 
 
 def fit(docs: DataFrame, labels: DataFrame, **options) -> tuple[np.ndarray, float] | None:
