@@ -1,8 +1,10 @@
+import zlib
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from wortfund.llm import sharding
+from wortfund.llm.queries import op1_sharding
 
 
 def check(rows, shards, n):
@@ -42,3 +44,18 @@ def test_write(spark, documents, tmp_path):
     path = str(tmp_path / "shards")
     sharding.write_shards(documents, path, shards=4, bucket_bytes=50_000)
     check(spark.read.parquet(path).collect(), 4, documents.count())
+
+
+def test_query_columns(spark, sf, documents):
+    """Size, checksum and law of the query, row by row."""
+    text = {r.doc_id: r.text for r in documents.collect()}
+    rows = op1_sharding(spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(text)
+    for r in rows:
+        raw = (text[r.doc_id] or "").encode()
+        assert (r.size, r.law, r.grown_shard) == (len(raw) + 8, "rows", None)
+        assert text[r.doc_id] is None or r.text_crc32 == zlib.crc32(raw)
+    counts = Counter(r.shard for r in rows)
+    assert set(counts) == set(range(24)) and max(counts.values()) - min(counts.values()) <= 1
+    for shard in counts:
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(counts[shard]))
