@@ -170,26 +170,49 @@ def encode(df: DataFrame, content: str, text_col="text", ids_col="ids") -> DataF
     return out.select(*unpacked(out, ids_col), F.col("ids").alias(ids_col))
 
 
+def _text_of(pieces: list[bytes]):
+    """A function from ids to their text."""
+    size = np.array([len(p) for p in pieces], dtype=np.int64)
+    flat, start = np.frombuffer(b"".join(pieces), dtype=np.uint8), np.cumsum(size) - size
+
+    def text(ids: pa.ListScalar) -> str:
+        own = ids.values.to_numpy() if ids.is_valid else np.empty(0, dtype=np.int64)
+        n = size[own]
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        # bytes that make no character become the replacement character
+        return flat[np.repeat(start[own], n) + inner].tobytes().decode("utf-8", "replace")
+
+    return text
+
+
 def _pieces(pieces: list[bytes]):
     def run(batches):
-        size = np.array([len(p) for p in pieces], dtype=np.int64)
-        flat, start = np.frombuffer(b"".join(pieces), dtype=np.uint8), np.cumsum(size) - size
+        text = _text_of(pieces)
         for batch in batches:
             sizes = 4 * pc.fill_null(pc.list_value_length(batch["ids"]), 0).to_numpy(zero_copy_only=False)
             for some in _some_rows(batch, sizes):
-                out = []
-                for ids in some["ids"]:
-                    own = ids.values.to_numpy() if ids.is_valid else np.empty(0, dtype=np.int64)
-                    n = size[own]
-                    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    # bytes that make no character become the replacement character
-                    out.append(flat[np.repeat(start[own], n) + inner].tobytes().decode("utf-8", "replace"))
-                yield pa.record_batch([some["row"], pa.array(out, pa.string())], names=["row", "decoded"])
+                yield pa.record_batch([some["row"], pa.array([text(x) for x in some["ids"]], pa.string())], names=["row", "decoded"])
         hand_back_memory()
 
     return run
 
 
+def encode_and_decode(df: DataFrame, content: str, then, schema: str, text_col="text") -> DataFrame:
+    """then(batches of (row, ids, decoded)), with the row of df as a struct: encoding, decoding and what follows in one Python worker
+    for each core, where a chain of encode() and decode() holds one for each of them."""
+    pieces = piece_bytes(content)
+
+    def run(batches):
+        text = _text_of(pieces)
+        coded = (
+            pa.record_batch([b["row"], b["ids"], pa.array([text(x) for x in b["ids"]], pa.string())], names=["row", "ids", "decoded"])
+            for b in _encoded(content, text_col)(batches)
+        )
+        yield from then(coded)
+
+    return df.select(packed(df)).mapInArrow(run, schema)
+
+
 def decode(df: DataFrame, content: str, ids_col="ids", text_col="decoded") -> DataFrame:
     """df with `decoded`, the text of its ids: each id is joined with its piece, a table as large as the vocabulary."""
     rows = df.select(packed(df), quoted(ids_col).alias("ids"))

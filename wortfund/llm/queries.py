@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wortfund.llm import bpe, hard_negatives, html_text, langid, lm, mixing, near_dup, periodic, quality, secret_scan, sharding, topk, toxicity
-from wortfund.llm.common import hand_back_memory
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -105,28 +104,27 @@ def op9_toxicity(spark, sf_dir):
     return out.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
-def _digests(batches):
-    sha = lambda b: hashlib.sha256(b).hexdigest()
-    for batch in batches:
-        ids = [np.asarray(x.values.to_numpy(), dtype="<u4") for x in batch["ids"]]
-        yield pa.record_batch(
-            [
-                batch["doc_id"],
-                pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([sha(x.tobytes()) for x in ids]),
-                pa.array([sha(x.encode()) for x in batch["decoded"].to_pylist()]),
-                *batch.columns[3:],
-            ],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *batch.schema.names[3:]],
-        )
-    hand_back_memory()
+def _digests(*more: str):
+    def run(batches):
+        sha = lambda b: hashlib.sha256(b).hexdigest()
+        for batch in batches:
+            ids = [np.asarray(x.values.to_numpy(), dtype="<u4") for x in batch["ids"]]
+            columns = {
+                "doc_id": batch["row"].field("doc_id"),
+                "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
+                "ids_sha256": pa.array([sha(x.tobytes()) for x in ids], pa.string()),
+                "decoded_sha256": pa.array([sha(x.encode()) for x in batch["decoded"].to_pylist()], pa.string()),
+            }
+            columns |= {c: batch["row"].field(c) for c in more}
+            yield pa.record_batch(list(columns.values()), names=list(columns))
+
+    return run
 
 
 def tokens_of(docs: DataFrame, content: str, *more: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, and its columns `more`, which are whole numbers."""
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text", *more), content), content)
     columns = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(f", {c} long" for c in more)
-    return coded.select("doc_id", "ids", "decoded", *more).mapInArrow(_digests, columns)
+    return bpe.encode_and_decode(docs.select("doc_id", "text", *more), content, _digests(*more), columns)
 
 
 def vocabulary_path() -> str:
