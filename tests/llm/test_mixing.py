@@ -1,6 +1,8 @@
+import heapq
 import math
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import functions as F
 
 from wortfund.llm import mixing
@@ -18,16 +20,53 @@ def simulate(parts):
     return out
 
 
-def test_schedule(spark):
-    for parts in ([1], [1, 1], [5, 3, 2], [32, 9, 9, 9, 1, 4], [1, 100], [7, 7, 7]):
-        got = spark.range(1).select(mixing._schedule(F.array(*[F.lit(p).cast("long") for p in parts])).alias("s")).first().s
-        assert got.picks == simulate(parts)
+def picks(spark, parts):
+    slots, period = mixing.schedule(spark.createDataFrame(list(enumerate(parts)), "i long, parts long"))
+    got = sorted(slots.collect(), key=lambda r: r.slot)
+    assert period == sum(parts) and [r.slot for r in got] == list(range(period))
+    return [r.i for r in got]
+
+
+@pytest.mark.parametrize("segment, chunk", [(1 << 19, 512), (10, 3)])
+def test_schedule(spark, monkeypatch, segment, chunk):
+    monkeypatch.setattr(mixing, "SEGMENT", segment)
+    monkeypatch.setattr(mixing, "CHUNK", chunk)
+    for parts in ([1], [1, 1], [5, 3, 2], [32, 9, 9, 9, 1, 4], [1, 30], [7, 7, 7], [3, 9, 3, 1, 9, 3, 2]):
+        got = picks(spark, parts)
+        assert got == simulate(parts)
         total = sum(parts)
         for t in range(total + 1):
-            had = [got.picks[:t].count(i) for i in range(len(parts))]
+            had = [got[:t].count(i) for i in range(len(parts))]
             assert all(abs(h - Fraction(t * p, total)) < 1 for h, p in zip(had, parts))
 
 
+def test_many_sources(spark):
+    """5,000 sources of 1 to 40 rows: the order of a plain simulation."""
+    size = [1 + s * 7919 % 40 for s in range(5_000)]
+    docs = spark.createDataFrame([(s, n) for s, n in enumerate(size)], "s long, n long")
+    docs = docs.select(F.format_string("s%04d", "s").alias("source"), F.explode(F.sequence(F.lit(1), "n")).alias("doc_id"), F.lit("t").alias("text"))
+    rows = order(mixing.mix(docs, block_rows=4).collect())
+    assert len(rows) == sum(size)
+    parts = [max(1, math.floor(32 * math.sqrt(n) / math.sqrt(40))) for n in size]
+    total = sum(parts)
+    slots = [[] for _ in parts]
+    for p in set(parts):
+        same = [i for i, x in enumerate(parts) if x == p]
+        for j in range(p):
+            for i in same:
+                slots[i].append((math.ceil(Fraction((j + 1) * total, p)), j * total // p))
+    ready, released, had = [], sorted((slots[i][j][1], i, j) for i in range(len(parts)) for j in range(parts[i])), 0
+    expected = []
+    for t in range(total):
+        while had < len(released) and released[had][0] <= t:
+            _, i, j = released[had]
+            heapq.heappush(ready, (slots[i][j][0], i, j))
+            had += 1
+        _, i, j = heapq.heappop(ready)
+        expected += [(i, t)] * max(0, min(4, size[i] - 4 * j))
+    assert [(int(r.source[1:]), r.mix_slot) for r in rows] == expected
+
+
 def order(rows):
     rows = sorted(rows, key=lambda r: r.mix_position)
     assert [r.mix_position for r in rows] == list(range(len(rows)))
