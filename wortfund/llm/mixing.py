@@ -14,7 +14,7 @@ A column of the input named like a new one is replaced.
 
 There may be any number of sources. Sources with as many parts have the same windows and take turns, so the
 schedule is drawn up for classes of them: at most ROOT_PARTS classes, or as many different weights as add up to MAX_PARTS (under 200).
-It is made SEGMENT slots at a time (a slot takes some 50 microseconds) and stored as a table (source, own block, slot), which the
+It is made SEGMENT slots at a time (5,000 sources, 26 classes, 106,375 slots: 47 s, so some 0.4 ms a slot, one after another) and stored as a table (source, own block, slot), which the
 blocks of the sources are joined to. What lies before a block is a running sum over ranges of slots. All that one row or task
 holds of the sources is eight bytes for each of them.
 """
