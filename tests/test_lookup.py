@@ -15,7 +15,7 @@ from wortfund.operators import index as I
 from wortfund.operators import lookup as L
 from wortfund.plans import jobs
 from wortfund.sources import tables as S
-from wortfund.sources.buckets import write_bucketed, write_by_term
+from wortfund.sources.buckets import CHUNK_FOLDERS, write_bucketed, write_by_term, write_merged_by_term
 
 TEXTS = [(1, "a b a"), (2, "b c"), (3, "a c c"), (4, ""), (5, "b")]
 
@@ -305,3 +305,22 @@ def test_by_term_write_moves_postings_once(spark):
     keyed = rows.select((F.col("docid") % 5).alias("chunk_5"), buckets.bucket_of(F.col("word"), 2).alias("bucket_word_2"), "word", "docid")
     plan = plan_of(keyed.repartitionByRange(*order).groupBy(*order).agg(F.collect_list("docid")), "simple")
     assert plan.count("Exchange") == 1
+
+
+def test_narrow_chunks_share_folders(spark, tmp_path):
+    """Chunks are as many as the documents allow, folders are not; a lookup of a document still reads its chunk alone."""
+    rows = spark.range(1000).selectExpr("concat('w', id % 3) AS word", "id - 100 AS docid", "array(0) AS occurences")
+    written, merged = str(tmp_path / "written"), str(tmp_path / "merged")
+    write_by_term(rows, written, 5, 2)
+    write_merged_by_term(I.index_by_term(rows, 5), merged, 5, 2)
+    for path in (written, merged):
+        assert len(glob.glob(f"{path}/chunk_5=*")) == CHUNK_FOLDERS
+        index = S.read_layout(spark, path, "by_term")
+        assert index.count() == index.select("word", "chunk").distinct().count() == 600
+        assert sorted(I.by_term_to_postings(index).collect()) == sorted(rows.collect())
+        # 32 and 64 chunks from it lie in the same folder
+        found = L.lookup_doc_words_by_term(index, 7)
+        assert [(r.word, r.chunk) for r in found.collect()] == [("w2", 1)]
+        assert "EqualTo(chunk,1)" in plan_of(found)
+        keys = spark.createDataFrame([(-7,), (7,), (167,), (5000,)], "docid long")
+        assert {r.docid: r.n for r in L.batch_lookup_doc_words_by_term(index, keys).collect()} == {-7: 1, 7: 1, 167: 1, 5000: 0}
