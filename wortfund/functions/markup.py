@@ -71,27 +71,35 @@ def apply_rules(text: Column, rules) -> Column:
 
 def _with_closings(text: Column) -> Column:
     closings = F.array_distinct(F.regexp_extract_all(text, F.lit("</[a-z0-9 ]+>"), F.lit(0)))
-    return F.struct(text.alias("text"), closings.alias("closings"))
+    return F.struct(text.alias("text"), closings.alias("closings"), F.rlike(text, F.lit("<(/[a-z0-9 ]*)?<")).alias("joins"))
+
+
+def _after_rule(done: Column, text: Column) -> Column:
+    """The state after a rule has run. All that goes starts with "<", so pieces can only become a new closing tag where the beginning
+    of one stands before a "<". A text without that never comes to have it, and needs no new list: what its list
+    holds too much costs a rule that finds nothing."""
+    same = F.struct(text.alias("text"), done["closings"].alias("closings"), F.lit(False).alias("joins"))
+    return F.when(done["joins"], bind(text, _with_closings)).otherwise(same)
 
 
 def apply_element_rules(text: Column, rules) -> Column:
     """The same for rules whose literal is a closing tag.
 
-    The closing tags of the text are listed once, and again after each rule that ran; most of the
-    many rules then cost a look into a short list and no scan of the text.
+    The closing tags of the text are listed once, and again after a rule that ran only if pieces of the text could make
+    new ones; most of the many rules then cost a look into a short list and no scan of the text.
     """
     return F.aggregate(
         _rule_table(rules),
         bind(text, _with_closings),
         lambda done, rule: F.when(
             F.array_contains(done["closings"], rule["literal"]),
-            bind(
+            _after_rule(
+                done,
                 _up_to_last(
                     done["text"],
                     rule["literal"],
                     lambda head: F.regexp_replace(head, rule["pattern"], rule["replacement"]),
                 ),
-                _with_closings,
             ),
         ).otherwise(done),
         lambda done: done["text"],
