@@ -85,3 +85,17 @@ def test_a_full_table_starts_anew(documents, content, library, monkeypatch):
     batch = pa.record_batch([pa.array(range(len(texts)))], names=["at"])
     slices = list(bpe._some_rows(batch, np.array([len((t or "").encode()) for t in texts])))
     assert [x for s in slices for x in s["at"].to_pylist()] == list(range(len(texts))) and len(slices) > 3
+
+
+def test_short_texts_are_looked_up_together(content, library, monkeypatch):
+    calls, look_up = [], bpe._Table.encode_sized
+    monkeypatch.setattr(bpe._Table, "encode_sized", lambda self, words: calls.append(len(words)) or look_up(self, words))
+    texts = [f"short text number {i}" for i in range(2_000)] + ["", None, "x" * 300_000] + TRICKY
+    batch = pa.record_batch([pa.array([{"text": t} for t in texts], pa.struct([("text", pa.string())]))], names=["row"])
+    out = list(bpe._encoded(content, "text")(iter([batch])))
+    ids = [x for b in out for x in b["ids"].to_pylist()]
+    assert ids == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert 1 < len(calls) < 8
+    pieces = bpe._texts_of(bpe.piece_bytes(content))
+    assert [t for b in out for t in pieces(b["ids"])] == [library.decode(x, skip_special_tokens=False) for x in ids]
+    assert pieces(pa.array([[ids[0][0]], None, [], ids[1]], pa.list_(pa.int32())).slice(1)) == ["", "", texts[1]]

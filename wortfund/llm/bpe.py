@@ -91,10 +91,24 @@ def piece_bytes(content: str) -> list[bytes]:
 
 #: Bytes of a task's table, about, and of the texts that are put out together; a longer text is put out alone.
 TABLE_BYTES, TEXT_BYTES = 48 << 20, 4 << 20
+#: Characters of texts that are looked up together, and ids that are put together to texts: many short texts cost a few calls.
+_TOGETHER = 128 << 10
 #: Bytes of a word in the table besides its characters: the string, its entry and number, and where its ids are.
 _ENTRY_BYTES = 180
 
 
+class _Numbers(dict):
+    """Words and their numbers; a word that is looked up for the first time gets the next one."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class _Table:
     """The distinct words of a task, numbered, and their ids one after another."""
 
@@ -103,12 +117,14 @@ class _Table:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.ids, self.end, self.bytes = np.empty(1 << 16, dtype=np.int32), np.zeros(1 << 14, dtype=np.int64), 0
 
     def _add(self, words: list[str]) -> None:
+        """The ids of words that have just been numbered."""
         found = self.splitter.encode(words)
-        n, at = len(self.number), int(self.end[len(self.number)])
+        n = len(self.number) - len(words)
+        at = int(self.end[n])
         ends = at + np.cumsum([len(f) for f in found])
         while len(self.end) <= n + len(words):
             self.end = np.concatenate([self.end, np.zeros_like(self.end)])
@@ -116,20 +132,38 @@ class _Table:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.end[n + 1 : n + 1 + len(words)] = ends
         self.ids[at : ends[-1]] = np.fromiter(chain.from_iterable(found), dtype=np.int32)
-        self.number.update(zip(words, range(n, n + len(words))))
         self.bytes += int(ends[-1] - at) * 4 + sum(map(len, words)) + _ENTRY_BYTES * len(words)
 
     def encode(self, words: list[str]) -> np.ndarray:
         """The ids of words, one after another."""
+        return self.encode_sized(words)[0]
+
+    def encode_sized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same, and how many ids each word has."""
         if self.bytes > TABLE_BYTES:
             self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.number]
-        if new:
-            self._add(new)
         own = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        if self.number.new:
+            self._add(self.number.new)
+            self.number.new = []
         start, size = self.end[own], self.end[own + 1] - self.end[own]
-        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        return self.ids[np.repeat(start, size) + inner]
+        return self.ids[_places(start, size)], size
+
+
+def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each of the sizes, one after another."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
+def _at_once(sizes: list[int], most: int) -> list[tuple[int, int]]:
+    """Borders of runs of neighbours that hold `most` in all or are one."""
+    out, start, held = [], 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > most:
+            out.append((start, i))
+            start, held = i, 0
+        held += size
+    return [*out, (start, len(sizes))] if sizes else out
 
 
 def _some_rows(batch: pa.RecordBatch, sizes: np.ndarray):
@@ -155,8 +189,17 @@ def _encoded(content: str, text_col: str):
         table = _Table(splitter)
         for batch in batches:
             for some in _some_rows(batch, _text_sizes(batch["row"].field(text_col))):
-                out = [table.encode(splitter.words(text.as_py())) for text in some["row"].field(text_col)]
-                yield pa.record_batch([some["row"], pa.array(out, pa.list_(pa.int32()))], names=["row", "ids"])
+                texts = [text or "" for text in some["row"].field(text_col).to_pylist()]
+                ids, counts = [np.empty(0, dtype=np.int32)], [np.zeros(1, dtype=np.int64)]
+                for a, b in _at_once([len(text) for text in texts], _TOGETHER):
+                    words = [splitter.words(text) for text in texts[a:b]]
+                    found, size = table.encode_sized(list(chain.from_iterable(words)))
+                    ends = np.cumsum([len(w) for w in words])
+                    total = np.concatenate([[0], np.cumsum(size)])[ends]
+                    ids.append(found)
+                    counts.append(np.diff(total, prepend=0))
+                offsets = pa.array(np.cumsum(np.concatenate(counts)), pa.int32())
+                yield pa.record_batch([some["row"], pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))], names=["row", "ids"])
         del splitter, table
         hand_back_memory()
 
@@ -170,28 +213,35 @@ def encode(df: DataFrame, content: str, text_col="text", ids_col="ids") -> DataF
     return out.select(*unpacked(out, ids_col), F.col("ids").alias(ids_col))
 
 
-def _text_of(pieces: list[bytes]):
-    """A function from ids to their text."""
+def _texts_of(pieces: list[bytes]):
+    """A function from a column of ids to their texts."""
     size = np.array([len(p) for p in pieces], dtype=np.int64)
     flat, start = np.frombuffer(b"".join(pieces), dtype=np.uint8), np.cumsum(size) - size
 
-    def text(ids: pa.ListScalar) -> str:
-        own = ids.values.to_numpy() if ids.is_valid else np.empty(0, dtype=np.int64)
-        n = size[own]
-        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        # bytes that make no character become the replacement character
-        return flat[np.repeat(start[own], n) + inner].tobytes().decode("utf-8", "replace")
+    def texts(ids: pa.ListArray) -> list[str]:
+        counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        # null lists have no values here
+        values, at = ids.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(counts)])
+        out = []
+        for a, b in _at_once(counts.tolist(), _TOGETHER):
+            own = values[at[a] : at[b]]
+            n = size[own]
+            some = flat[_places(start[own], n)].tobytes()
+            ends = np.concatenate([[0], np.cumsum(n)])[at[a : b + 1] - at[a]].tolist()
+            # bytes that make no character become the replacement character
+            out += [some[c:d].decode("utf-8", "replace") for c, d in zip(ends, ends[1:])]
+        return out
 
-    return text
+    return texts
 
 
 def _pieces(pieces: list[bytes]):
     def run(batches):
-        text = _text_of(pieces)
+        texts = _texts_of(pieces)
         for batch in batches:
             sizes = 4 * pc.fill_null(pc.list_value_length(batch["ids"]), 0).to_numpy(zero_copy_only=False)
             for some in _some_rows(batch, sizes):
-                yield pa.record_batch([some["row"], pa.array([text(x) for x in some["ids"]], pa.string())], names=["row", "decoded"])
+                yield pa.record_batch([some["row"], pa.array(texts(some["ids"]), pa.string())], names=["row", "decoded"])
         hand_back_memory()
 
     return run
@@ -203,9 +253,9 @@ def encode_and_decode(df: DataFrame, content: str, then, schema: str, text_col="
     pieces = piece_bytes(content)
 
     def run(batches):
-        text = _text_of(pieces)
+        texts = _texts_of(pieces)
         coded = (
-            pa.record_batch([b["row"], b["ids"], pa.array([text(x) for x in b["ids"]], pa.string())], names=["row", "ids", "decoded"])
+            pa.record_batch([b["row"], b["ids"], pa.array(texts(b["ids"]), pa.string())], names=["row", "ids", "decoded"])
             for b in _encoded(content, text_col)(batches)
         )
         yield from then(coded)
