@@ -1,4 +1,7 @@
+import re
+
 import numpy as np
+from explain import plan_of
 from pyspark.sql import functions as F
 
 from wortfund.llm import langid, toxicity
@@ -111,6 +114,26 @@ def test_proportions_against_a_plain_loop(spark, documents):
         assert np.allclose(langid._proportions(like, count)[0], share)
 
 
+def test_sample_moves_no_texts(spark, documents, monkeypatch):
+    plans = []
+    limit = type(documents).limit
+    monkeypatch.setattr(type(documents), "limit", lambda self, n: plans.append(plan_of(self)) or limit(self, n))
+    labels = documents.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        toxicity.sample(documents, labels, per_class=3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(plans) == 2
+    for plan in plans:
+        moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: (.*)", plan)
+        assert len(moved) >= 2
+        # the text itself has a plain number; size and key of it are a struct
+        texts = re.findall(r"Output \[\d+\]: \[doc_id#\d+L?, (text#\d+)", plan)
+        assert texts and not any(re.search(texts[0] + r"\b", columns) for columns in moved)
+
+
 def test_sample_passes_over_what_does_not_fit(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 2_000)
     monkeypatch.setattr(toxicity, "LONGEST_TEXT", 1_000)

@@ -125,6 +125,15 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> tuple[np.ndarra
     return vectors @ (softmax[1] - softmax[0]), float(bias[1] - bias[0])
 
 
+def _shortest(texts: DataFrame) -> DataFrame:
+    """(id, text): (size, key) of each id's shortest text of LONGEST_TEXT bytes or less.
+
+    One line of each id before ids meet their labels: a join would move the texts, and read size and key off them behind it.
+    """
+    lines = texts.select("id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("key"))
+    return lines.where(F.col("size") <= LONGEST_TEXT).groupBy("id").agg(F.min(F.struct("size", "key")).alias("text"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 3, id_col="doc_id", text_col="text", label_col="toxic"):
     """(texts, labels): the bounded training sample.
 
@@ -134,8 +143,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
     """
     known = labels.select(quoted(id_col).alias("id"), quoted(label_col).cast("int").alias("y")).dropna().groupBy("id").agg(F.max("y").alias("y"))
     texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).where("text IS NOT NULL")
-    sizes = texts.join(known, "id").select("id", "y", F.octet_length("text").alias("size"), F.xxhash64("text").alias("key"))
-    one = sizes.where(F.col("size") <= LONGEST_TEXT).groupBy("id").agg(F.max("y").alias("y"), F.min(F.struct("size", "key")).alias("text"))
+    one = _shortest(texts).join(known, "id").select("id", "y", "text")
     by_hash = F.xxhash64(F.lit(seed), "id")
     lines = [one.where(F.col("y") == y).orderBy(by_hash, "id").limit(per_class).select("id", "y", "text.*").collect() for y in (0, 1)]
     chosen, left = [], SAMPLE_BYTES
