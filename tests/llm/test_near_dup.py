@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from wortfund.llm import near_dup as D
@@ -216,3 +217,19 @@ def test_scratch_tables_go(spark, monkeypatch):
     # what the lazy result reads: rows, nodes, the last labels, and the tested pairs
     assert {os.path.basename(p).split("-")[0] for p in left} <= {"rows", "nodes", "stars", "verified"}
     assert sum("nodes-" in p or "rows-" in p or "stars-" in p for p in left) == 3
+
+
+def test_sketches_are_made_of_few_words_at_a_time(monkeypatch):
+    size = [0, 40, 300, 7, 0, 500, 20, 20]
+    ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+    words = pa.ListArray.from_arrays(ends, pa.array(np.random.default_rng(5).integers(-(2**60), 2**60, sum(size))))
+    names, number = ["id", "key", "node", "words"], pa.array(range(len(size)), pa.int64())
+    batch = pa.record_batch([number, number, pa.array([b"n"] * len(size)), words], names=names)
+    whole = pa.Table.from_batches(D._signed([batch]))
+    monkeypatch.setattr(D, "WORDS_AT_ONCE", 100)
+    made = []
+    sketches = D.sketches
+    monkeypatch.setattr(D, "sketches", lambda word, size: made.append(len(word)) or sketches(word, size))
+    parts = pa.Table.from_batches(D._signed([batch]))
+    assert parts.to_pylist() == whole.to_pylist()
+    assert whole["sketches"].null_count == 2 and max(made) < 100 + max(size) and len(made) > 2

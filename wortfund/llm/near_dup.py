@@ -47,6 +47,8 @@ ROUND_SKETCHES = 20
 BINS, FINE_BINS = 128, 2048
 #: Nodes to verify that are sent to every task: 100 bytes each.
 BROADCAST_ROWS = 200_000
+#: Words that a task sketches at a time, besides those of the text that goes beyond.
+WORDS_AT_ONCE = 1 << 18
 #: Members that one task compares with one another.
 CHUNK = 1024
 
@@ -121,24 +123,34 @@ def sketches(word: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _signed(batches):
+def _slices(batches, most: int):
+    """The rows of batches in order, so many at a time that their lists `words` hold `most` words and those of a last row."""
     for batch in batches:
+        last = np.cumsum(np.diff(batch["words"].offsets.to_numpy()))
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(np.maximum(last - 1, 0) // most)) + 1, [len(batch)]])
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(a, b - a)
+
+
+def _signed(batches):
+    for batch in _slices(batches, WORDS_AT_ONCE):
         flat = batch["words"]
         value = flat.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
         size = np.diff(flat.offsets.to_numpy())
         full = size > 0
-        found = iter(sketches(value, size[full]))
+        every = sketches(value, size[full])
         ends = np.cumsum(size)
         bins = (value % np.uint64(BINS)).astype(np.int64)
         # a byte each: a full bin counts no further
         bags = [np.minimum(np.bincount(bins[e - n : e], minlength=BINS), 255).astype(np.uint8).tobytes() if n else None for e, n in zip(ends, size)]
+        begin = np.concatenate([[0], np.cumsum(full * SKETCHES)]).astype(np.int32)
         yield pa.record_batch(
             [
                 batch["id"],
                 batch["key"],
                 batch["node"],
                 pa.array(size.astype(np.int64)),
-                pa.array([next(found) if f else None for f in full], pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(pa.array(begin), pa.array(every.reshape(-1)), mask=pa.array(~full)),
                 pa.array(bags, pa.binary()),
             ],
             names=["id", "key", "node", "n", "sketches", "bag"],
@@ -533,10 +545,12 @@ def _open_pairs(members: DataFrame, graph: _Graph, similarity: float, closest: b
         text = graph.words(open_.select("node").distinct())
         fine = stored(text.mapInArrow(_fine, "node binary, bag binary"), "fine")
         dropped(text)
-        # the groups of a node, so that a pair comes up in the least that both are in
-        groups = open_.groupBy("node").agg(F.collect_list("s").alias("groups"))
-        alls, bins = open_.drop("bag").join(fine, "node").join(groups, "node"), FINE_BINS
-        alls = alls.withColumn("less", F.filter("groups", lambda g: g < F.col("s"))).drop("groups")
+        # the groups of a node, so that a pair comes up in the least that both are in. The bins meet a node once, before its groups
+        # are told apart
+        groups = F.collect_list(F.struct("s", "size", "major")).alias("groups")
+        of_node = open_.groupBy("node").agg(F.first("n").alias("n"), F.first("label").alias("label"), groups).join(fine, "node")
+        alls, bins = of_node.select("*", F.inline("groups")), FINE_BINS
+        alls = alls.withColumn("less", F.filter("groups.s", lambda g: g < F.col("s"))).drop("groups")
         minors = alls.where("label != major")
         tables.append(fine)
     blocks = minors.groupBy("s").agg(F.ceil(F.count("*") / CHUNK).alias("blocks"))
