@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from explain import plan_of
@@ -227,3 +228,20 @@ def test_by_term_job(spark, tmp_path):
     jobs.write_index(articles(spark, corpus()), stop(spark, "wa"), "by_term", path, "word", 2)
     found = as_dict(I.by_term_to_postings(spark.read.parquet(path)))
     assert found == brute_force(corpus(), {"wa"})
+
+
+def test_entries_of_many_articles_come_by_word(monkeypatch):
+    """However many words are sorted at a time; articles of one docid, or of none, stay apart."""
+    words = [["b", "a", "b"], [], ["a"], ["é", "z", "é", "a"], ["b"], None]
+    docids = [9, 3, None, 2, 9, 1]
+    batch = pa.record_batch([pa.array(docids, pa.int64()), pa.array(words, pa.list_(pa.string()))], names=["docid", "words"])
+    expected = [("b", 9, [0, 2]), ("a", 9, [1]), ("a", None, [0]), ("a", 2, [3]), ("z", 2, [1]), ("é", 2, [0, 2]), ("b", 9, [0])]
+    for most in (1 << 20, 3, 1):
+        monkeypatch.setattr(I, "TOKENS_AT_ONCE", most)
+        parts = [part.to_pylist() for part in I._entries([batch])]
+        found = [(r["word"], r["docid"], r["occurences"]) for part in parts for r in part]
+        assert sorted(found, key=str) == sorted(expected, key=str)
+        for part in parts:
+            assert [r["word"] for r in part] == sorted((r["word"] for r in part), key=str.encode)
+        assert len(parts) == 1 or most < 4
+    assert list(I._entries([batch.slice(1, 1)])) == []

@@ -40,3 +40,12 @@ def test_compound_keys(run):
         return K.compound_keys(K.tokenize_plain(text))
 
     assert run(keys, ["b a c", "a", "", "a a"]) == [["ab", "ac"], [], [], ["aa"]]
+
+
+def test_texts_lowered_whole_have_the_same_keys(run):
+    """Every character that may stand in one, between letters and between digits; and those that may not."""
+    whole = [chr(c) for c in (*range(0x130), *range(0x2000, 0x2070))]
+    texts = [" ".join(f"A{c}B 1{c}2" for c in whole)] + [f"A{c}B {c}" for c in ("İ", "Σ", "Ⱥ", "\U00010400", "ẞ")]
+    each = run(lambda text: K.normalize_tokens(K.tokenize_display(text)), texts)
+    assert run(K.build_index_keys, texts) == each
+    assert each[0][:2] == ["a", "b"] and "aöb" in each[0]
