@@ -324,3 +324,66 @@ def test_narrow_chunks_share_folders(spark, tmp_path):
         assert "EqualTo(chunk,1)" in plan_of(found)
         keys = spark.createDataFrame([(-7,), (7,), (167,), (5000,)], "docid long")
         assert {r.docid: r.n for r in L.batch_lookup_doc_words_by_term(index, keys).collect()} == {-7: 1, 7: 1, 167: 1, 5000: 0}
+
+
+def counted(spark, rows):
+    """The rows, and a counter of how often one was computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    return rows.mapInArrow(count, rows.schema), seen
+
+
+def test_by_term_write_computes_postings_once(spark, tmp_path):
+    rows, seen = counted(spark, spark.range(6000).selectExpr("concat('w', id % 7) AS word", "id AS docid", "array(0) AS occurences"))
+    path = str(tmp_path / "index")
+    write_by_term(rows, path, 50, 2)
+    assert seen.value == 6000
+    # a folder is one file, by chunk and word
+    for folder in glob.glob(f"{path}/chunk_50=*/bucket_word_2=*"):
+        (file,) = glob.glob(f"{folder}/*.parquet")
+        found = pq.read_table(file, columns=["chunk", "word"]).to_pylist()
+        assert found == sorted(found, key=lambda r: (r["chunk"], r["word"]))
+    assert S.read_layout(spark, path, "by_term").count() == 120 * 7
+
+
+@pytest.mark.parametrize("layout", ["postings", "positions"])
+def test_index_write_draws_borders_from_few_articles(spark, tmp_path, monkeypatch, layout):
+    """The articles are tokenized once and a small share of them once more; files still do not overlap, and a hot word is cut."""
+    for name, value in (("RANGE_BYTES", 4000), ("SAMPLE_BYTES", 10_000), ("SAMPLE_ARTICLES", 40), ("KEYS_A_BORDER", 100)):
+        monkeypatch.setattr(jobs, name, value)
+    texts = [(None if i == 7 else i, "hot " + " ".join(f"w{chr(97 + (i * k) % 23)}{chr(97 + k)}" for k in range(i % 9))) for i in range(3000)]
+    articles = spark.createDataFrame(texts, "docid long, wikitext string")
+    stop = spark.createDataFrame([("wab",)], "word string")
+    seen = []
+
+    def build(some, words, of):
+        rows, count = counted(spark, index_of(some, words, of))
+        seen.append(count)
+        return rows
+
+    index_of = jobs.build_index
+    monkeypatch.setattr(jobs, "build_index", build)
+    path = str(tmp_path / "index")
+    jobs.write_index(articles, stop, layout, path, "word", 4)
+    expected = index_of(articles, stop, layout)
+    index = spark.read.parquet(path).drop("bucket_word_4")
+    assert sorted(map(str, index.select(expected.columns).collect())) == sorted(map(str, expected.collect()))
+    n = expected.count()
+    assert n <= sum(c.value for c in seen) < 1.5 * n
+    cut = 0
+    for folder in glob.glob(f"{path}/bucket_word_4=*"):
+        ranges = []
+        for file in glob.glob(f"{folder}/*.parquet"):
+            keys = [(r["word"], -1 if r["docid"] is None else r["docid"]) for r in pq.read_table(file, columns=["word", "docid"]).to_pylist()]
+            assert keys == sorted(keys)
+            ranges.append((keys[0], keys[-1]))
+        ranges.sort()
+        for (_, last), (first, _) in zip(ranges, ranges[1:]):
+            assert last < first
+            cut += last[0] == first[0] == "hot"
+    assert cut
