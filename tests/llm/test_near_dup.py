@@ -233,3 +233,34 @@ def test_sketches_are_made_of_few_words_at_a_time(monkeypatch):
     parts = pa.Table.from_batches(D._signed([batch]))
     assert parts.to_pylist() == whole.to_pylist()
     assert whole["sketches"].null_count == 2 and max(made) < 100 + max(size) and len(made) > 2
+
+
+def test_fine_bins_of_few_and_of_many_words():
+    """Few words are written as their bins, many as counts; both are read as the same counts, up to 255."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 2**63, n, dtype=np.int64) for n in (1, 5, D.FINE_BINS // 2 - 1, D.FINE_BINS // 2, 5000)]
+    texts += [np.full(300, 7, dtype=np.int64), np.full(3000, -1, dtype=np.int64)]
+    batch = pa.record_batch([pa.array([b"%d" % i for i in range(len(texts))], pa.binary()), pa.array(texts, pa.list_(pa.int64()))], names=["node", "words"])
+    (found,) = D._fine([batch])
+    bags = found["bag"].to_pylist()
+    assert [len(b) for b in bags] == [2, 10, D.FINE_BINS - 2, D.FINE_BINS, D.FINE_BINS, 600, D.FINE_BINS]
+    want = [np.minimum(np.bincount(t.view(np.uint64) % np.uint64(D.FINE_BINS), minlength=D.FINE_BINS), 255) for t in texts]
+    assert (D._counts(bags, D.FINE_BINS) == np.array(want)).all()
+    assert (D._counts([bytes(range(128))], 128) == np.arange(128)).all()
+
+
+def test_groups_of_a_node_are_told_apart_once(spark, monkeypatch):
+    """Not once for each side of the cells."""
+    rng, plans, paired = random.Random(4), [], D._paired
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [passage + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(20 + i % 40)) for i in range(40)]
+    texts += [" ".join(["x", *t.split()[1:]]) for t in texts[:5]]
+
+    def spied(rows, *args):
+        plans.append(rows._jdf.queryExecution().toString())
+        return paired(rows, *args)
+
+    monkeypatch.setattr(D, "_paired", spied)
+    got = {r.id: r.class_id for r in D.classify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == classes(texts)
+    assert len(plans) > 2 and all("inline(" not in p for p in plans)

@@ -297,15 +297,31 @@ def _possible(one: np.ndarray, rows: np.ndarray, n_one, n_rows, similarity: floa
 
 
 def _fine(batches):
-    """(node, bag): the words of a node in FINE_BINS bins of a byte each; a full bin counts no further."""
+    """(node, bag): the words of a node in FINE_BINS bins. Of a text with few words the bins themselves, two bytes a word; else a byte
+    for each bin, and a full bin counts no further. _counts reads both."""
     for batch in batches:
         bags = []
         for words in batch["words"]:
-            bins = (words.values.to_numpy().view(np.uint64) % np.uint64(FINE_BINS)).astype(np.int64)
-            bags.append(np.minimum(np.bincount(bins, minlength=FINE_BINS), 255).astype(np.uint8).tobytes())
+            bins = (words.values.to_numpy().view(np.uint64) % np.uint64(FINE_BINS)).astype(np.uint16)
+            if 2 * len(bins) < FINE_BINS:
+                bags.append(np.sort(bins).tobytes())
+            else:
+                bags.append(np.minimum(np.bincount(bins, minlength=FINE_BINS), 255).astype(np.uint8).tobytes())
         yield pa.record_batch([batch["node"], pa.array(bags, pa.binary())], names=["node", "bag"])
 
 
+def _counts(bags: list[bytes], bins: int) -> np.ndarray:
+    """The word counts in so many bins, a row for each bag: a byte for each bin, or the bins of fewer words."""
+    out = np.zeros((len(bags), bins), dtype=np.uint8)
+    for row, bag in zip(out, bags):
+        if len(bag) == bins:
+            row[:] = np.frombuffer(bag, dtype=np.uint8)
+        else:
+            own, count = np.unique(np.frombuffer(bag, dtype=np.uint16), return_counts=True)
+            row[own] = np.minimum(count, 255)
+    return out
+
+
 _PAIRS = "a binary, b binary"
 
 
@@ -315,7 +331,7 @@ def _in_groups(keys: list[str], pairs_of, bins: int):
 
     def pairs_in(table: pa.Table, cuts: np.ndarray):
         node, n = table["node"].to_pylist(), table["n"].to_numpy()
-        bag = np.frombuffer(b"".join(table["bag"].to_pylist()), dtype=np.uint8).reshape(len(node), bins)
+        bag = _counts(table["bag"].to_pylist(), bins)
         more = [table[c].to_numpy(zero_copy_only=False) for c in table.column_names if c not in (*keys, "node", "n", "bag")]
         found = []
         for a, b in zip(cuts, cuts[1:]):
@@ -546,13 +562,14 @@ def _open_pairs(members: DataFrame, graph: _Graph, similarity: float, closest: b
         fine = stored(text.mapInArrow(_fine, "node binary, bag binary"), "fine")
         dropped(text)
         # the groups of a node, so that a pair comes up in the least that both are in. The bins meet a node once, before its groups
-        # are told apart
+        # are told apart, and these are told apart once, for both sides of the cells
         groups = F.collect_list(F.struct("s", "size", "major")).alias("groups")
         of_node = open_.groupBy("node").agg(F.first("n").alias("n"), F.first("label").alias("label"), groups).join(fine, "node")
         alls, bins = of_node.select("*", F.inline("groups")), FINE_BINS
-        alls = alls.withColumn("less", F.filter("groups.s", lambda g: g < F.col("s"))).drop("groups")
+        alls = stored(alls.withColumn("less", F.filter("groups.s", lambda g: g < F.col("s"))).drop("groups"), "apart")
+        dropped(fine)
         minors = alls.where("label != major")
-        tables.append(fine)
+        tables.append(alls)
     blocks = minors.groupBy("s").agg(F.ceil(F.count("*") / CHUNK).alias("blocks"))
     part = lambda n: F.pmod(F.xxhash64("node"), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
