@@ -160,3 +160,22 @@ def test_merged_dictionaries(spark):
     assert show(I.merge_dictionaries([part, rest])) == show(whole)
     assert show(I.merge_dictionaries([whole], [part])) == show(rest)
     assert I.merge_dictionaries([whole], [whole]).count() == 0
+
+
+@pytest.mark.parametrize("layout", ["postings", "by_term"])
+def test_replaced_documents_are_a_list_of_known_size(spark, tmp_path, monkeypatch, layout):
+    """So that Spark compares an index with it where its postings lie; the size of loaded rows may be unknown, and so very large."""
+    words, path, sizes = stop(spark, "x"), str(tmp_path / "index"), []
+    load = articles(spark, CHANGED).withColumn("n", F.lit(1))
+    load = spark.createDataFrame(load.rdd, load.schema)
+    name = "merge_by_term" if layout == "by_term" else "merge_postings"
+    merge = getattr(jobs.I, name)
+
+    def spied(*args):
+        sizes.append(int(str(args[-1][-1]._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+        return merge(*args)
+
+    monkeypatch.setattr(jobs.I, name, spied)
+    for rows in (articles(spark, TEXTS), load):
+        jobs.upsert_index(spark, rows, words, layout, path, buckets=4, docids=16)
+    assert len(sizes) == 1 and sizes[0] < 100_000
