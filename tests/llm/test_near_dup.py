@@ -264,3 +264,19 @@ def test_groups_of_a_node_are_told_apart_once(spark, monkeypatch):
     got = {r.id: r.class_id for r in D.classify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert [got[i] for i in range(len(texts))] == classes(texts)
     assert len(plans) > 2 and all("inline(" not in p for p in plans)
+
+
+def test_members_are_sent_once_for_many_others(spark):
+    """A group of 1500 different texts is one block: each is on one side of two cells, and on the other side of one."""
+    rows = spark.range(1500).selectExpr("7L AS s", "1500L AS size", "unhex(md5(string(id))) AS node", "10L AS n", f"unhex(repeat('00', {D.BINS})) AS bag")
+    sent, paired = [], D._paired
+
+    class Graph:
+        labels = None
+
+    try:
+        D._paired = lambda cells, *args: sent.append(cells.groupBy("minor").count().collect())
+        D._open_pairs(rows, Graph, 0.8, True)
+    finally:
+        D._paired = paired
+    assert dict(map(tuple, sent[0])) == {True: 2 * 1499, False: 1500}
