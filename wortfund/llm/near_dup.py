@@ -49,9 +49,9 @@ BINS, FINE_BINS = 128, 2048
 BROADCAST_ROWS = 200_000
 #: Words that a task sketches at a time, besides those of the text that goes beyond.
 WORDS_AT_ONCE = 1 << 18
-#: Members that one task compares with one another, and members outside the largest class that it compares with those. A member is
-#: sent to a task for every such block of its group.
-CHUNK, BLOCK = 1024, 2048
+#: Members that one task compares with one another, or with up to twice as many outside the largest class. A member is sent to a task
+#: for every block of those in its group.
+CHUNK = 1024
 
 # Multipliers of the hash functions that pick k-mers. 32 bits do: a tie between k-mers of a text only makes a sketch less telling.
 _ODD = np.random.default_rng(17).integers(1, 2**31, SKETCHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -571,7 +571,7 @@ def _open_pairs(members: DataFrame, graph: _Graph, similarity: float, closest: b
         dropped(fine)
         minors = alls.where("label != major")
         tables.append(alls)
-    blocks = minors.groupBy("s").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    blocks = minors.groupBy("s").agg(F.ceil(F.count("*") / (2 * CHUNK)).alias("blocks"))
     part = lambda n: F.pmod(F.xxhash64("node"), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     chunks = F.ceil(F.col("size") / CHUNK)
