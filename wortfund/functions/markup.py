@@ -167,11 +167,12 @@ def bind_sql(value: Column, name: str, use: str) -> Column:
 
 
 #: Tags after which the list of what was found is started anew, so that no long array is copied a tag at a time.
-_TAGS_AT_ONCE = 256
+_TAGS_AT_ONCE = 32
 
 
 def _have_partner(kinds: str) -> str:
-    """SQL: for tags in order, 1 for one kind and -1 for the other, whether each of the second kind closes one of the first before it.
+    """SQL: for tags in order, 1 for one kind and -1 for the other, `closes`, whether each of the second kind closes one of the first
+    before it, and `open`, how many of the first kind none closes.
 
     How many of the first kind are open is carried along; one of the second kind closes the last of them, if there is one.
     """
@@ -183,7 +184,7 @@ def _have_partner(kinds: str) -> str:
     some = f"aggregate(some, named_struct('open', st.open, 'closes', cast(array() AS array<boolean>)), {look})"
     after = let(some, "d", "named_struct('open', d.open, 'closes', concat(st.closes, array(d.closes)))")
     start = "named_struct('open', 0, 'closes', cast(array() AS array<array<boolean>>))"
-    return f"aggregate({pieces}, {start}, (st, some) -> {after}, st -> flatten(st.closes))"
+    return f"aggregate({pieces}, {start}, (st, some) -> {after}, st -> named_struct('open', st.open, 'closes', flatten(st.closes)))"
 
 
 def _without_partners(text: Column, tag: str) -> Column:
@@ -191,21 +192,23 @@ def _without_partners(text: Column, tag: str) -> Column:
     holds a tag that stands in none of its pieces, which might have to come before those farther out.
 
     Only openings that a closing tag follows count, so the text before the last closing tag is cut at its tags. A closing tag
-    belongs to the last opening before it that has no other. Every step is one scan.
+    belongs to the last opening before it that has no other. Every step is one scan. Pieces between tags hold none, so the tags that
+    stay and those behind the last closing tag are all there may be.
     """
     closing = f"</{tag}>"
     # The attributes hold no opening tag, and are never given back (possessive).
-    any_tag = f"r'<{tag}(?:>| (?:[^<>]++|<(?!{tag}[> ]))*+>)|{closing}'"
+    any_tag = f"r'<(?:{tag}(?:>| (?:[^<>]++|<(?!{tag}[> ]))*+>)|/{tag}>)'"
     tail = f"substring_index(t, '{closing}', -1)"
     body = f"left(t, length(t) - length({tail}) - {len(closing)})"
     pieces = f"concat(split({body}, {any_tag}, -1), array({tail}))"
-    goes = "get(gone.closes, i - 1) OR get(gone.opens, i - 1)"
-    parts = f"flatten(transform({pieces}, (p, i) -> array(IF(i = 0 OR {goes}, '', get(tags, i - 1)), p)))"
-    joined = "array_join(parts, '')"
-    own = f"flatten(transform(parts, p -> regexp_extract_all(p, {any_tag}, 0)))"
-    use = let(parts, "parts", f"IF(regexp_extract_all({joined}, {any_tag}, 0) = {own}, {joined}, NULL)")
-    # read from the end, with the kinds exchanged, an opening closes a closing tag
-    gone = f"named_struct('closes', {_have_partner('k.forth')}, 'opens', reverse({_have_partner('k.back')}))"
+    joined = f"array_join(transform({pieces}, (p, i) -> IF(i = 0, p, concat(get(stay, i - 1), p))), '')"
+    left = f"concat(filter(stay, x -> x != ''), regexp_extract_all({tail}, {any_tag}, 0))"
+    use = let(joined, "joined", f"IF(regexp_extract_all(joined, {any_tag}, 0) = {left}, joined, NULL)")
+    goes = f"IF(x = '{closing}', get(gone.closes, i), gone.opens IS NULL OR get(gone.opens, i))"
+    use = let(f"transform(tags, (x, i) -> IF({goes}, '', x))", "stay", use)
+    # read from the end, with the kinds exchanged, an opening closes a closing tag; where none is left open, each does
+    opens = f"IF(d.open = 0, NULL, reverse({_have_partner('k.back')}.closes))"
+    gone = let(_have_partner("k.forth"), "d", f"named_struct('closes', d.closes, 'opens', {opens})")
     forth = f"transform(tags, x -> IF(x = '{closing}', -1, 1))"
     back = f"reverse(transform(tags, x -> IF(x = '{closing}', 1, -1)))"
     use = let(let(f"named_struct('forth', {forth}, 'back', {back})", "k", gone), "gone", use)
