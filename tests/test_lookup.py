@@ -14,6 +14,7 @@ from wortfund import schemas
 from wortfund.operators import index as I
 from wortfund.operators import lookup as L
 from wortfund.plans import jobs
+from wortfund.sources import buckets as B
 from wortfund.sources import tables as S
 from wortfund.sources.buckets import CHUNK_FOLDERS, write_bucketed, write_by_term, write_merged_by_term
 
@@ -387,3 +388,17 @@ def test_index_write_draws_borders_from_few_articles(spark, tmp_path, monkeypatc
             assert last < first
             cut += last[0] == first[0] == "hot"
     assert cut
+
+
+def test_borders_are_searched_by_halves(spark):
+    """As many borders are passed as a plain search says, keys that are null in part included, without an interpreted expression."""
+    low = lambda key: [(v is not None, v.encode() if isinstance(v, str) else v) for v in key]
+    words = ["", "a", "b", "ä", "b\U0001f600", "z"]
+    keys = [(word, docid) for word in words for docid in (None, -3, 0, 7, 8)]
+    for n in (0, 1, 2, 3, 4, 7, 20):
+        own = sorted(keys[:: max(1, len(keys) // n)][:n] if n else [], key=low)
+        rows = spark.createDataFrame([(*key, own) for key in keys], "word string, docid long, own array<struct<word: string, docid: long>>")
+        found = B._with_passed(rows, F.struct("word", "docid"), len(own))
+        assert "lambda" not in found._jdf.queryExecution().executedPlan().toString()
+        for row in found.collect():
+            assert row.passed == sum(low(border) <= low((row.word, row.docid)) for border in own)

@@ -42,9 +42,9 @@ def write_bucketed(df: DataFrame, path: str, column: str, n: int, mode: str = "a
     )
 
 
-def _ranges(sample: DataFrame, order: list[str], n: int, ranges: int) -> DataFrame:
+def _ranges(sample: DataFrame, order: list[str], n: int, ranges: int) -> tuple[DataFrame, int]:
     """(folder, before, own): the borders in each of the `n` folders and how many lie in the folders before it; borders cut `sample`
-    into that many ranges of `order`, whose first column is the folder, or into fewer ones."""
+    into that many ranges of `order`, whose first column is the folder, or into fewer ones. And how many a folder has at most."""
     low = lambda key: [(v is not None, v.encode() if isinstance(v, str) else v) for v in key]
     keys = sorted((tuple(row) for row in sample.select(*order).collect()), key=low)
     borders = sorted({keys[i * len(keys) // ranges] for i in range(1, ranges)} if keys else (), key=low)
@@ -54,7 +54,21 @@ def _ranges(sample: DataFrame, order: list[str], n: int, ranges: int) -> DataFra
         rows.append((folder, before, own))
         before += len(own)
     key = ", ".join(f"{sample.schema[c].name}: {sample.schema[c].dataType.simpleString()}" for c in order[1:])
-    return sample.sparkSession.createDataFrame(rows, f"{order[0]} int, before int, own array<struct<{key}>>")
+    borders = sample.sparkSession.createDataFrame(rows, f"{order[0]} int, before int, own array<struct<{key}>>")
+    return borders, max(len(own) for _, _, own in rows)
+
+
+def _with_passed(rows: DataFrame, key: Column, longest: int) -> DataFrame:
+    """`rows` with `passed`, how many of the sorted `own` borders, `longest` at most, are not above the key.
+
+    A binary search with a column for each of its steps, so that it is compiled and costs the same few comparisons whatever the number
+    of borders; a lambda expression would be interpreted for each row and border.
+    """
+    rows = rows.withColumn("key", key).withColumn("passed", F.lit(0))
+    for step in reversed([1 << i for i in range(longest.bit_length())]):
+        border = F.get("own", F.col("passed") + F.lit(step - 1))
+        rows = rows.withColumn("passed", F.col("passed") + F.when(border <= F.col("key"), step).otherwise(0))
+    return rows
 
 
 def write_in_ranges(
@@ -80,11 +94,10 @@ def write_in_ranges(
     if sample is None or ranges < 1:
         cut = rows.repartitionByRange(*order)
     else:
-        borders = _ranges(sample.withColumn(name, bucket_of(F.col(column), n)), order, n, ranges)
-        key = F.array(F.struct(column, *then))
-        passed = F.transform(key, lambda row: F.size(F.filter("own", lambda border: border <= row)))[0]
+        borders, longest = _ranges(sample.withColumn(name, bucket_of(F.col(column), n)), order, n, ranges)
+        passed = _with_passed(rows.join(F.broadcast(borders), name), F.struct(column, *then), longest)
         # partition numbers, which no shuffle puts together in another order
-        cut = rows.join(F.broadcast(borders), name).repartitionById(ranges, F.col("before") + passed).select(*rows.columns)
+        cut = passed.repartitionById(ranges, F.col("before") + F.col("passed")).select(*rows.columns)
     (
         cut.sortWithinPartitions(*order)
         .write.mode(mode)
