@@ -12,6 +12,7 @@ from wortfund import schemas
 from wortfund.operators import index as I
 from wortfund.operators import keyed
 from wortfund.plans import jobs
+from wortfund.plans.registry import QUERIES
 from wortfund.sources import lists
 
 
@@ -245,3 +246,23 @@ def test_entries_of_many_articles_come_by_word(monkeypatch):
             assert [r["word"] for r in part] == sorted((r["word"] for r in part), key=str.encode)
         assert len(parts) == 1 or most < 4
     assert list(I._entries([batch.slice(1, 1)])) == []
+
+
+def test_replaced_docids_leave_the_postings_in_place(spark, tmp_path):
+    """The loaded pages are too large to broadcast, the list of their docids is not: postings move once, by word."""
+    rng = random.Random(19)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(150)) for _ in range(300)]
+    rows = [(i, text, f"<title>t</title> {text}") for i, text in enumerate(texts)]
+    tables = spark.createDataFrame(rows, "id long, text string, html string")
+    tables.select(F.col("id").alias("doc_id"), "text").write.parquet(f"{tmp_path}/documents.parquet")
+    tables.where("id < 100").select(F.col("id").alias("page_id"), "html").write.parquet(f"{tmp_path}/pages.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "24k")
+    try:
+        found = QUERIES["index_merge_replaced"](spark, str(tmp_path))
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        entries = found.select("word", F.explode(F.split("inv_index", ";")).alias("entry"))
+        docids = {int(row.entry.split(":")[0]) for row in entries.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert docids == {i for i in range(300) if i < 100 or i % 10 != 3}
