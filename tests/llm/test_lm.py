@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from wortfund.llm import lm
+from wortfund.llm import blocks, lm
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -51,3 +51,24 @@ def test_one_block(spark):
 def test_odd_and_empty(odd, empty):
     assert len(check(odd.drop("w"), block_bytes=100_000)) == 10
     assert lm.score(empty).count() == 0
+
+
+def test_blocks_do_not_follow_the_partition_size(spark):
+    """A Python process holds a block whole."""
+    docs = spark.range(20).selectExpr("id AS doc_id", "repeat('x ', 500000) AS text")
+    kept = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+    try:
+        assert blocks.in_blocks(docs, "doc_id", "text")[1] == 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", kept)
+
+
+def test_own_counts_some_documents_at_a_time(monkeypatch):
+    monkeypatch.setattr(lm, "WORDS_AT_ONCE", 100)
+    rng = lm.np.random.default_rng(1)
+    of = lm.np.sort(rng.integers(0, 40, 3000)).astype(lm.np.int32)
+    gram = rng.integers(0, 50, 3000).astype(lm.np.uint64)
+    total = lm.np.full(len(lm.np.unique(gram)), 1000)
+    own = Counter(zip(of.tolist(), gram.tolist()))
+    assert lm._without_own(total, gram, of).tolist() == [1000 - own[d, g] for d, g in zip(of.tolist(), gram.tolist())]

@@ -11,18 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wortfund.llm.common import packed, part_bytes, pieces, quoted, spread_key, text_bytes
+from wortfund.llm.common import packed, pieces, quoted, spread_key, text_bytes
 
 
-#: Text in a block, at least: a block sends a row to every part of the table, and there are as many parts as blocks.
-LEAST_BLOCK = 8 << 20
+#: Text in a block. A Python process holds a block whole, and some twenty times its size in numbers, so this does not grow with the
+#: session's partition size; nor is it less, since a block sends a row to every part of the table, and there are as many parts as blocks.
+BLOCK_BYTES = 8 << 20
 
 
 def in_blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int | None = None) -> tuple[DataFrame, int]:
-    """(row, block) and the number of blocks of about block_bytes of text, by default the session's
-    advisory partition size, LEAST_BLOCK at least. The text stands in the row only, so that it is moved once."""
-    limit = block_bytes or max(LEAST_BLOCK, part_bytes(df.sparkSession))
-    blocks = pieces(df.sparkSession, text_bytes(df, text_col), limit)
+    """(row, block) and the number of blocks of about block_bytes of text, BLOCK_BYTES by default. The text stands in the row only, so
+    that it is moved once."""
+    blocks = pieces(df.sparkSession, text_bytes(df, text_col), block_bytes or BLOCK_BYTES)
     block = spread_key(quoted(id_col), quoted(text_col), parts=blocks)
     return df.select(packed(df), block.alias("block")).repartition(blocks, F.col("block")), blocks
 

@@ -22,10 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wortfund.llm.blocks import in_blocks, looked_up
-from wortfund.llm.common import quoted, words
+from wortfund.llm.common import hand_back_memory, quoted, words
 
 BACKOFF = 0.4
 
+#: Words whose own counts are taken at a time, besides those of the document that goes beyond.
+WORDS_AT_ONCE = 1 << 17
+
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -38,7 +41,7 @@ def _grams(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     column = table["words"].combine_chunks()
     word = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
     count = np.diff(column.offsets.to_numpy())
-    doc = np.repeat(np.arange(len(count)), count)
+    doc = np.repeat(np.arange(len(count), dtype=np.int32), count)
     second = np.flatnonzero(doc[1:] == doc[:-1]) + 1
     # one to tell the lengths of n-grams apart
     pair = _mixed(word[second - 1] * np.uint64(3) + np.uint64(1)) + word[second] * np.uint64(0x9E3779B97F4A7C15)
@@ -54,13 +57,18 @@ def _entries(parts: int):
             # parts are ranges of the hash, so the parts of a sorted table are slices
             part = ((value >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             cut = np.searchsorted(part, np.arange(parts + 1))
-            for p in range(parts):
-                a, b = cut[p], cut[p + 1]
-                if a < b:
-                    out.append((block, p, order, value[a:b].view(np.int64), count[a:b].astype(np.int32)))
-        columns = list(zip(*out)) or [(), (), (), (), ()]
-        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-        return pa.table({c: pa.array(v, k) for c, v, k in zip(("block", "part", "order", "grams", "counts"), columns, kinds)})
+            some = np.flatnonzero(cut[1:] > cut[:-1])
+            ends = pa.array(np.append(cut[some], len(value)).astype(np.int32))
+            columns = [
+                pa.array(np.full(len(some), block, dtype=np.int32)),
+                pa.array(some.astype(np.int32)),
+                pa.array(np.full(len(some), order, dtype=np.int32)),
+                pa.ListArray.from_arrays(ends, pa.array(value.view(np.int64))),
+                pa.ListArray.from_arrays(ends, pa.array(count.astype(np.int32))),
+            ]
+            out.append(pa.table(columns, names=["block", "part", "order", "grams", "counts"]))
+        hand_back_memory()
+        return pa.concat_tables(out)
 
     return run
 
@@ -81,7 +89,23 @@ def _totals(table: pa.Table) -> pa.Table:
             out.append((block, rows["part"][0].as_py(), int(order), total[at[offset[row] : offset[row + 1]]]))
     columns = list(zip(*out)) or [(), (), (), ()]
     kinds = (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
-    return pa.table({c: pa.array(v, k) for c, v, k in zip(("block", "part", "order", "totals"), columns, kinds)})
+    answers = pa.table({c: pa.array(v, k) for c, v, k in zip(("block", "part", "order", "totals"), columns, kinds)})
+    del out, columns
+    hand_back_memory()
+    return answers
+
+
+def _without_own(total: np.ndarray, gram: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """For each n-gram of a block its total, less its count in the own document. total: of the distinct n-grams in order; of: the
+    documents, ascending. Own counts are taken some documents at a time."""
+    at = np.unique(gram, return_inverse=True)[1].astype(np.int32)
+    left = total[at]
+    borders = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1, [len(of)]])
+    cuts = np.append(borders[np.unique(np.searchsorted(borders, np.arange(0, len(of), WORDS_AT_ONCE)))], len(of))
+    for a, b in zip(cuts, cuts[1:]):
+        _, back, count = np.unique(of[a:b].astype(np.int64) * len(total) + at[a:b], return_inverse=True, return_counts=True)
+        left[a:b] -= count[back]
+    return left
 
 
 def _scores(total_words: int):
@@ -93,14 +117,8 @@ def _scores(total_words: int):
         for order, gram, of in ((1, word, doc), (2, pair, doc[second])):
             total = got.filter(pa.array(orders == order))["totals"].combine_chunks()
             total = total.flatten().to_numpy() if len(total) else np.empty(0, dtype=np.int64)
-            at = np.unique(gram, return_inverse=True)[1]
-            # the document's own count of each of its n-grams
-            by = np.lexsort((at, of))
-            new = np.r_[True, (at[by][1:] != at[by][:-1]) | (of[by][1:] != of[by][:-1])] if len(by) else np.empty(0, bool)
-            run_of = np.cumsum(new) - 1
-            own = np.empty(len(gram), dtype=np.int64)
-            own[by] = np.bincount(run_of)[run_of] if len(by) else 0
-            others.append(total[at] - own)
+            others.append(_without_own(total, gram, of))
+        del got, pair, gram, of, total
         length = np.bincount(doc, minlength=n_docs)
         n = (total_words - length)[doc].astype(np.float64)
         one, two = others
@@ -121,6 +139,8 @@ def _scores(total_words: int):
                 "lm_score": pa.array(log / np.maximum(length, 1), pa.float64(), mask=length == 0),
             }
         )
+        del word, doc, second, others, one, two, n, single, value, known, places
+        hand_back_memory()
         return out
 
     return run
